@@ -7,8 +7,7 @@ grow with the data and would overflow a 32-bit int on a large cluster.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 # fixed values: model -> output columns, in output order
 COLUMNS: dict[str, list[str]] = {}
@@ -291,20 +290,16 @@ def column_type(model: str, column: str) -> str:
     return _TYPE_OF.get(column, "string")
 
 
-def typed_null(model: str, column: str) -> Column:
-    return F.lit(None).cast(column_type(model, column)).alias(column)
-
-
-def conform(df: DataFrame, model: str) -> DataFrame:
+def conform(df: DataFrame, model: str, columns: list[str] | None = None) -> DataFrame:
     """Project to the contract: order, names and explicit output types.
 
     Contract columns the frame lacks become typed NULLs, so a document type
     that does not carry an attribute still fits the shared schema.
     """
     have = set(df.columns)
-    return df.select(
+    return df.selectExpr(
         *(
-            F.col(c).cast(column_type(model, c)).alias(c) if c in have else typed_null(model, c)
-            for c in COLUMNS[model]
+            f"CAST({c if c in have else 'NULL'} AS {column_type(model, c)}) AS {c}"
+            for c in columns or COLUMNS[model]
         )
     )

@@ -22,8 +22,12 @@ def product(a: Column, b: Column) -> Column:
 
 
 def guarded_ratio(numerator: Column, denominator: Column) -> Column:
-    """numerator / denominator where the denominator is positive, else NULL."""
-    return money(F.when(denominator > 0, numerator / denominator))
+    """numerator / denominator where the denominator is positive, else NULL.
+
+    Both sides are brought to the money type first, which leaves the quotient
+    enough decimals to be rounded once.
+    """
+    return money(F.when(denominator > 0, money(numerator) / money(denominator)))
 
 
 def sales_sign(document_type: Column, canceled: Column) -> Column:

@@ -68,7 +68,7 @@ class Warehouse:
         def make() -> DataFrame:
             if (given := self._cache.get(("given", name))) is not None:
                 return given.select(*wanted)
-            return conform(BUILDERS[name](self, set(wanted)), name).select(*wanted)
+            return conform(BUILDERS[name](self, set(wanted)), name, wanted)
 
         return self._once(("model", name, tuple(wanted)), make)
 

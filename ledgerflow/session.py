@@ -11,6 +11,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    # call-site capture costs milliseconds per expression while a plan is built
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

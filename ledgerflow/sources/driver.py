@@ -9,12 +9,20 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerflow.sources.raw_sql import RAW_SQL
 
 
-def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def raw_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One raw ERP table over the driver tables, fully lazy."""
-    text = RAW_SQL[name]
-    used = set(re.findall(r"{(\w+)}", text))
-    return spark.sql(text, **{t: driver_table(spark, sf_dir, t) for t in used})
+class DriverTables:
+    """The driver's parquet tables and the raw ERP tables over them, all lazy."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark = spark
+        self.sf_dir = sf_dir
+        self._read: dict[str, DataFrame] = {}
+
+    def table(self, name: str) -> DataFrame:
+        if name not in self._read:
+            self._read[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._read[name]
+
+    def raw(self, name: str) -> DataFrame:
+        text = RAW_SQL[name]
+        used = set(re.findall(r"{(\w+)}", text))
+        return self.spark.sql(text, **{t: self.table(t) for t in used})

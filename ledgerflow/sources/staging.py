@@ -749,15 +749,13 @@ def mapping(name: str) -> list[tuple[str, str, str]]:
 
 def project(raw: DataFrame, name: str) -> DataFrame:
     """Apply the staging projection `name` to its raw table."""
-    columns = []
-    for source, staged, rule in mapping(name):
-        c = F.col(f"`{source}`")
-        if rule in _CLEANING:
-            c = _CLEANING[rule](c)
-        elif rule:
-            c = c.cast(rule)
-        columns.append(c.alias(staged))
-    return raw.select(*columns, STAMP)
+    rows = mapping(name)
+    cleaned = {source: _CLEANING[rule](F.col(f"`{source}`")) for source, _, rule in rows if rule in _CLEANING}
+    columns = [
+        f"CAST(`{source}` AS {rule}) AS {staged}" if rule and rule not in _CLEANING else f"`{source}` AS {staged}"
+        for source, staged, rule in rows
+    ]
+    return (raw.withColumns(cleaned) if cleaned else raw).selectExpr(*columns, STAMP)
 
 
 def stamp_ingested_at(df: DataFrame, run_ts: Column) -> DataFrame:
