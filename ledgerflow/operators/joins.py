@@ -95,11 +95,11 @@ def overlapping_periods(
     a = a.where(F.col("_reach") > F.col("start_a")).withColumn(
         "_bucket", F.explode(F.sequence(bucket(F.col("start_a")), bucket(F.col("_reach"))))
     )
-    b = periods.select(*keys, F.col(start).alias("start_b"), F.col(end).alias("end_b")).where(
-        F.coalesce(F.col("end_b"), F.lit(OPEN_END)) >= F.col("start_b")
-    )
+    b = periods.select(*keys, F.col(start).alias("start_b"), F.col(end).alias("end_b"))
     b = b.withColumn("_bucket", bucket(F.col("start_b")))
     pairs = a.join(b, [*keys, "_bucket"]).where(
-        (F.col("start_b") > F.col("start_a")) & (F.col("start_b") <= F.col("_reach"))
+        (F.col("start_b") > F.col("start_a"))
+        & (F.col("start_b") <= F.col("_reach"))
+        & (F.col("start_a") <= F.coalesce(F.col("end_b"), F.lit(OPEN_END)))
     )
     return pairs.select(*keys, "start_a", "end_a", "start_b", "end_b")
