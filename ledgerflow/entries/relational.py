@@ -114,18 +114,21 @@ def _constant(t):
     return docs.join(freight, "doc_entry", "left").fillna(0, ["freight_amount"])
 
 
-_PERIODS = """(SELECT user_id, event_id AS version, CAST(ts AS DATE) AS day_from,
-                      CAST(lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS DATE) - 1 AS day_to
-               FROM events WHERE event_type IN ('signup', 'purchase'))"""
+_PERIODS = """(SELECT user_id, version, day_from, lead(day_from) OVER (PARTITION BY user_id ORDER BY day_from) - 1 AS day_to
+               FROM (SELECT user_id, CAST(ts AS DATE) AS day_from, max(event_id) AS version FROM events
+                     WHERE event_type IN ('signup', 'purchase') GROUP BY 1, 2))"""
 
 
 def event_periods(t):
-    """Validity periods between consecutive changes of a user; the last one is open."""
-    changes = t.events.where("event_type IN ('signup', 'purchase')").select(
-        "user_id", F.col("event_id").alias("version"), F.col("ts").cast("date").alias("day_from"), "ts", "event_id"
-    )
-    following = F.lead("day_from").over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
-    return changes.select("user_id", "version", "day_from", F.date_sub(following, 1).alias("day_to"))
+    """Validity periods between a user's days of change; the last one is open.
+
+    Changes are reduced to one row per user and day first, so the window of a
+    user is never longer than the calendar.
+    """
+    changes = t.events.where("event_type IN ('signup', 'purchase')")
+    per_day = changes.groupBy("user_id", F.col("ts").cast("date").alias("day_from")).agg(F.max("event_id").alias("version"))
+    following = F.lead("day_from").over(Window.partitionBy("user_id").orderBy("day_from"))
+    return per_day.withColumn("day_to", F.date_sub(following, 1))
 
 
 @query(

@@ -14,8 +14,8 @@ HOT_PARTS = 2000
 
 
 def input_bytes(df: DataFrame) -> int:
-    """Estimated bytes of the scans under a frame (not of its joins)."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    """Bytes of the tables scanned under a frame, before any join inflates the estimate."""
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
     return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 

@@ -9,7 +9,7 @@ from ledgerflow.functions import codes, text
 from ledgerflow.functions.predicates import bridge_salesperson, listed_goal, valid_salesperson
 from ledgerflow.operators.joins import lookup, match_key
 from ledgerflow.operators.scd2 import scd2_apply
-from ledgerflow.operators.setops import union_bricks, union_labelled
+from ledgerflow.operators.setops import union_labelled
 from ledgerflow.plans.warehouse import Warehouse, model
 
 
@@ -163,11 +163,15 @@ def goal_rows(w: Warehouse) -> DataFrame:
 
 @model("goal_name_entry")
 def goal_name_entry(w: Warehouse, need: set[str]) -> DataFrame:
-    """First goal per name; spellings that differ in accents only are one name."""
-    goals = goal_rows(w).select(text.normalized_name(F.col("salesperson")).alias("normalized_name"), "date")
-    return (
-        goals.groupBy(match_key(F.col("normalized_name")).alias("_key"))
-        .agg(F.min("normalized_name").alias("normalized_name"), F.min("date").alias("first_goal"))
+    """First goal per name; spellings that differ in accents only are one name.
+
+    Goals are first reduced to one row per spelling by a hash aggregation, so
+    a name with very many goals stays cheap.
+    """
+    name = text.normalized_name(F.col("salesperson"))
+    per_spelling = goal_rows(w).groupBy(name.alias("normalized_name")).agg(F.min("date").alias("first_goal"))
+    return per_spelling.groupBy(match_key(F.col("normalized_name")).alias("_key")).agg(
+        F.min("normalized_name").alias("normalized_name"), F.min("first_goal").alias("first_goal")
     )
 
 
@@ -207,8 +211,3 @@ def salesperson_bridge_step(w: Warehouse, current: DataFrame) -> DataFrame:
     master = w.stage("salesperson_oslp").select("salesperson_code", "store_code")
     return scd2_apply(current, incoming, master, "salesperson_code", "store_code", w.params.run_date)
 
-
-__all__ = [
-    "bridge_candidates", "goal_rows", "salesperson_bridge_step", "store_label", "union_bricks",
-    "with_branch", "with_item", "with_partner",
-]

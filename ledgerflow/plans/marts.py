@@ -12,7 +12,7 @@ from ledgerflow.functions import dates, predicates, text
 from ledgerflow.functions.measures import (
     guarded_ratio, money, payment_status, product, sales_sign, sentinel_to_null,
 )
-from ledgerflow.operators.joins import match_key
+from ledgerflow.operators.joins import lookup, match_key
 from ledgerflow.operators.setops import union_bricks
 from ledgerflow.operators.skew import join_lines_to_headers
 from ledgerflow.plans.common import ITEM_HIERARCHY, store_label, with_item
@@ -112,10 +112,9 @@ def sales_scope(kind: str) -> Column:
 
 
 _SALES_LINE = (
-    "document_type", "doc_entry", "line_number", "item_code", "warehouse_code", "usage_id",
-    "main_usage_id", "main_usage_description", "cfop", "quantity", "unit_price",
-    "price_before_discount", "discount_percentage", "line_total", "total_taxes",
-    "inventory_cost_price", "bdi_price", "cost_price", "margin",
+    "document_type", "doc_entry", "line_number", "item_code", "warehouse_code", "usage_id", "cfop",
+    "quantity", "unit_price", "price_before_discount", "discount_percentage", "line_total",
+    "total_taxes", "inventory_cost_price", "bdi_price", "cost_price", "margin",
 )
 _SALES_DOCUMENT = (
     "document_id", "doc_entry", "document_number", "creation_date", "customer_code",
@@ -124,23 +123,27 @@ _SALES_DOCUMENT = (
 )
 
 
+def with_header_usage(documents: DataFrame, usage: DataFrame, need: set[str]) -> DataFrame:
+    columns = {c: F.col(c) for c in ("main_usage_id", "main_usage_description")}
+    return lookup(documents, usage, {"doc_entry": "doc_entry"}, columns, need)
+
+
 @model("fact_sales")
 def fact_sales(w: Warehouse, need: set[str]) -> DataFrame:
     """Signed invoice and return lines.
 
-    Each document type joins its own lines and headers on the document key, so
-    the header dedup, the header usage and the lines share one partitioning;
-    the union only concatenates.
+    Each document type joins its own lines and headers on the document key.
+    The header usage is attached to the headers, one row each, so the lines
+    are shuffled and joined once; the union only concatenates.
     """
     quantity, cost = F.col("quantity"), F.col("inventory_cost_price")
 
     def signed(kind: str) -> DataFrame:
-        usage = {"main_usage_id", "main_usage_description"}
-        required = {"doc_entry", "document_type", "usage_id", "quantity", "line_total", "inventory_cost_price"}
-        if kind == "return":
-            required = required | {"main_usage_id"}
-        lines = w.model(f"sales_{kind}_lines", *(c for c in _SALES_LINE if c not in usage or c in need | required))
-        documents = w.model(f"sales_{kind}_documents", *_SALES_DOCUMENT)
+        usage_needed = need | ({"main_usage_id"} if kind == "return" else set())
+        documents = with_header_usage(
+            w.model(f"sales_{kind}_documents", *_SALES_DOCUMENT), w.model(f"sales_fiscal_usage_{kind}"), usage_needed
+        )
+        lines = w.model(f"sales_{kind}_lines", *_SALES_LINE)
         joined = join_lines_to_headers(lines, documents, ["doc_entry"], spread_by=["line_number"])
         kept = joined.where(
             predicates.force_display(
@@ -184,8 +187,8 @@ def fact_goals(w: Warehouse, need: set[str]) -> DataFrame:
 
 _PURCHASE_LINE = (
     "document_type", "doc_entry", "line_number", "item_code", "warehouse_code", "usage_id",
-    "main_usage_id", "main_usage_description", "quantity", "unit_price", "price_before_discount",
-    "discount_percentage", "line_total", "total_taxes", "inventory_cost_price", "ledger_account",
+    "quantity", "unit_price", "price_before_discount", "discount_percentage", "line_total",
+    "total_taxes", "inventory_cost_price", "ledger_account",
 )
 _PURCHASE_DOCUMENT = (
     "document_id", "doc_entry", "document_number", "issue_date", "accrual_date", "due_date",
@@ -202,6 +205,7 @@ def fact_purchases(w: Warehouse, need: set[str]) -> DataFrame:
     documents = w.model("purchases_invoice_documents", *_PURCHASE_DOCUMENT).where(
         predicates.purchases_visible(F.col("canceled"), F.col("partner_show_in_bi"), F.col("group_code"))
     )
+    documents = with_header_usage(documents, w.model("purchases_fiscal_usage_invoice"), need)
     joined = join_lines_to_headers(lines, documents, ["doc_entry"], spread_by=["line_number"])
     return joined.withColumns(
         {
