@@ -12,11 +12,12 @@ from ledgerflow.functions import dates, predicates, text
 from ledgerflow.functions.measures import (
     guarded_ratio, money, payment_status, product, sales_sign, sentinel_to_null,
 )
-from ledgerflow.operators.joins import lookup, match_key
+from ledgerflow.operators.joins import match_key
 from ledgerflow.operators.setops import union_bricks
 from ledgerflow.operators.skew import join_lines_to_headers
 from ledgerflow.plans.common import ITEM_HIERARCHY, store_label, with_item
 from ledgerflow.plans.inventory import WAREHOUSE_PLACE, with_warehouse
+from ledgerflow.plans.sales import with_header_usage
 from ledgerflow.plans.warehouse import Warehouse, model
 
 
@@ -123,11 +124,6 @@ _SALES_DOCUMENT = (
 )
 
 
-def with_header_usage(documents: DataFrame, usage: DataFrame, need: set[str]) -> DataFrame:
-    columns = {c: F.col(c) for c in ("main_usage_id", "main_usage_description")}
-    return lookup(documents, usage, {"doc_entry": "doc_entry"}, columns, need)
-
-
 @model("fact_sales")
 def fact_sales(w: Warehouse, need: set[str]) -> DataFrame:
     """Signed invoice and return lines.
@@ -140,9 +136,8 @@ def fact_sales(w: Warehouse, need: set[str]) -> DataFrame:
 
     def signed(kind: str) -> DataFrame:
         usage_needed = need | ({"main_usage_id"} if kind == "return" else set())
-        documents = with_header_usage(
-            w.model(f"sales_{kind}_documents", *_SALES_DOCUMENT), w.model(f"sales_fiscal_usage_{kind}"), usage_needed
-        )
+        documents = w.model(f"sales_{kind}_documents", *_SALES_DOCUMENT)
+        documents = with_header_usage(w, documents, f"sales_fiscal_usage_{kind}", usage_needed)
         lines = w.model(f"sales_{kind}_lines", *_SALES_LINE)
         joined = join_lines_to_headers(lines, documents, ["doc_entry"], spread_by=["line_number"])
         kept = joined.where(
@@ -205,7 +200,7 @@ def fact_purchases(w: Warehouse, need: set[str]) -> DataFrame:
     documents = w.model("purchases_invoice_documents", *_PURCHASE_DOCUMENT).where(
         predicates.purchases_visible(F.col("canceled"), F.col("partner_show_in_bi"), F.col("group_code"))
     )
-    documents = with_header_usage(documents, w.model("purchases_fiscal_usage_invoice"), need)
+    documents = with_header_usage(w, documents, "purchases_fiscal_usage_invoice", need)
     joined = join_lines_to_headers(lines, documents, ["doc_entry"], spread_by=["line_number"])
     return joined.withColumns(
         {

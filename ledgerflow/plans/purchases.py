@@ -11,7 +11,7 @@ from ledgerflow.functions import codes, text
 from ledgerflow.operators.joins import lookup
 from ledgerflow.operators.setops import union_bricks
 from ledgerflow.plans.common import with_branch, with_item, with_partner
-from ledgerflow.plans.sales import header_usage, newest_versions, translated
+from ledgerflow.plans.sales import header_usage, newest_versions, translated, with_header_usage
 from ledgerflow.plans.warehouse import Warehouse, model
 
 
@@ -67,10 +67,7 @@ def purchase_documents(w: Warehouse, kind: str, need: set[str]) -> DataFrame:
 def purchase_lines(w: Warehouse, kind: str, need: set[str]) -> DataFrame:
     lines = w.stage(KINDS[kind].lines).withColumn("document_type", F.lit(kind))
     if kind == "invoice":
-        usage = {c: F.col(c) for c in ("main_usage_id", "main_usage_description")}
-        lines = lookup(
-            lines, w.model("purchases_fiscal_usage_invoice"), {"doc_entry": "doc_entry"}, usage, need
-        )
+        lines = with_header_usage(w, lines, "purchases_fiscal_usage_invoice", need)
     return with_item(w, lines, need, "manufacturer_code")
 
 
@@ -90,7 +87,7 @@ for _kind in KINDS:
 
 @model("purchases_fiscal_usage_invoice")
 def purchases_fiscal_usage_invoice(w: Warehouse, need: set[str]) -> DataFrame:
-    return header_usage(w, "purchase_invoice_usage_pch12")
+    return header_usage(w, "purchase_invoice_usage_pch12", need)
 
 
 @model("purchases_fiscal_documents")

@@ -128,15 +128,26 @@ def sales_documents(w: Warehouse, kind: str, need: set[str]) -> DataFrame:
     return docs
 
 
-def header_usage(w: Warehouse, staging: str) -> DataFrame:
+def header_usage(w: Warehouse, staging: str, need: set[str] | None = None) -> DataFrame:
     """Fiscal usage of a document header with its description."""
     usage = w.stage(staging).select("doc_entry", F.col("main_usage").alias("main_usage_id"))
     return lookup(
         usage, w.stage("fiscal_usage_ousg"), {"main_usage_id": "usage_id"},
-        {"main_usage_description": F.lower("usage_description")},
+        {"main_usage_description": F.lower("usage_description")}, need,
     )
 
 
+USAGE_COLUMNS = ("main_usage_id", "main_usage_description")
+
+
+def with_header_usage(w: Warehouse, df: DataFrame, usage: str, need: set[str]) -> DataFrame:
+    """Attach the header usage (a usage model) on the document key."""
+    used = [c for c in USAGE_COLUMNS if c in need]
+    if not used:
+        return df
+    return df.join(w.model(usage, "doc_entry", *used), "doc_entry", "left")
+
+
 def sales_lines(w: Warehouse, kind: str, need: set[str]) -> DataFrame:
     """Lines with header usage and item hierarchy.
 
@@ -149,10 +160,7 @@ def sales_lines(w: Warehouse, kind: str, need: set[str]) -> DataFrame:
         {c: F.lower(c) for c in ("item_description", "cfop") if c in lines.columns}
     )
     if spec.usage:
-        lines = lookup(
-            lines, header_usage(w, spec.usage), {"doc_entry": "doc_entry"},
-            {c: F.col(c) for c in ("main_usage_id", "main_usage_description")}, need,
-        )
+        lines = with_header_usage(w, lines, f"sales_fiscal_usage_{kind}", need)
     return with_item(w, lines, need, "manufacturer_code")
 
 
@@ -170,7 +178,7 @@ def _register_kind(kind: str) -> None:
 
         @model(f"sales_fiscal_usage_{kind}")
         def usage(w: Warehouse, need: set[str]) -> DataFrame:
-            return header_usage(w, spec.usage)
+            return header_usage(w, spec.usage, need)
 
         @model(f"sales_prices_{kind}")
         def prices(w: Warehouse, need: set[str]) -> DataFrame:
