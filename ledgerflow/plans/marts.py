@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerflow.contract import COLUMNS
+from ledgerflow.contract import COLUMNS, conform
 from ledgerflow.functions import dates, predicates, text
 from ledgerflow.functions.measures import (
     guarded_ratio, money, payment_status, product, sales_sign, sentinel_to_null,
@@ -308,17 +308,22 @@ def fact_inventory(w: Warehouse, need: set[str]) -> DataFrame:
 
 @model("fact_daily_inventory_movement")
 def fact_daily_inventory_movement(w: Warehouse, need: set[str]) -> DataFrame:
-    return daily_movement(w, need=need)
+    return daily_rows(w, need)
 
 
-def daily_movement(w: Warehouse, since: dt.date | None = None, need: set[str] | None = None) -> DataFrame:
+def daily_movement(w: Warehouse, since: dt.date | None = None) -> DataFrame:
+    """The daily fact restricted to the closed days after `since`."""
+    name = "fact_daily_inventory_movement"
+    return conform(daily_rows(w, set(COLUMNS[name]), since), name)
+
+
+def daily_rows(w: Warehouse, need: set[str], since: dt.date | None = None) -> DataFrame:
     """Flow and end-of-day state per (date, item, warehouse) of the closed days after `since`.
 
     Flow sums and the last movement's state come from one hash aggregation
     that combines on the map side; labels are attached to the daily rows, not
     to the movements.
     """
-    need = set(COLUMNS["fact_daily_inventory_movement"]) if need is None else need
     state = ("calculated_average_price", "inventory_value_after_movement", "quantity_after_movement")
     flow = ("inflow_quantity", "outflow_quantity", "movement_quantity")
     keys = ["movement_date", "item_code", "warehouse_code"]

@@ -27,6 +27,15 @@ def local_session(cpus: int = 8, **settings: str) -> SparkSession:
     return spark
 
 
+def shuffle_partitions(input_bytes: int, cores: int, target_bytes: int = 256 << 20) -> int:
+    """Shuffle partitions for a run: about `target_bytes` each, at least three per core.
+
+    Adaptive execution merges what turns out smaller, so the estimate errs on
+    the high side.
+    """
+    return max(3 * cores, -(-input_bytes // target_bytes))
+
+
 def shared_folder(spark: SparkSession, default: str | None = None) -> str:
     """The cluster's shared folder (spark.checkpoint.dir).
 

@@ -48,10 +48,20 @@ def current(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/{versions[-1]}")
 
 
+def expire_versions(spark: SparkSession, path: str, keep: int = 2) -> None:
+    """Delete all but the newest complete versions of a published table."""
+    jvm = spark._jvm
+    fs = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    for name in _versions(spark, path)[: -max(keep, 1)]:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(f"{path}/{name}"), True)
+
+
 def append_days(df: DataFrame, path: str, day: str) -> None:
     """Append rows to a table partitioned by day; a rerun of a day replaces that day only."""
     (
         df.withColumn("_day", F.col(day))
+        # one day goes to few files, and a very large day to several
+        .hint("rebalance", "_day")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("_day")

@@ -1,14 +1,13 @@
-"""Streaming upsert: a table that holds the newest version per key."""
+"""Streaming upsert: the newest version per key of a change feed."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerflow.operators.latest import latest_per_key
-from ledgerflow.sources.sinks import current, publish
 
 
 def newest_of(state: DataFrame | None, changes: DataFrame, keys: Sequence[str], *newest: str) -> DataFrame:
@@ -24,22 +23,24 @@ def newest_of(state: DataFrame | None, changes: DataFrame, keys: Sequence[str],
 def start_upsert(
     changes: DataFrame, path: str, checkpoint: str, keys: Sequence[str], *newest: str
 ) -> StreamingQuery:
-    """Fold a change feed into the table at `path`, one published version per batch.
+    """Append the newest row per key of every batch to the change log at `path`.
 
-    A lost executor or a restart replays the batch from the checkpoint; the
-    table's last complete version is its state, so nothing is kept elsewhere.
+    A batch costs what it carries, whatever the size of the table; reading the
+    log with `newest_state` gives one row per key.  A batch replayed after a
+    failure only repeats rows, which the reading side collapses.
     """
 
-    def apply(batch: DataFrame, _: int) -> None:
-        try:
-            state = current(batch.sparkSession, path)
-        except FileNotFoundError:
-            state = None
-        publish(newest_of(state, batch, keys, *newest), path)
+    def append(batch: DataFrame, _: int) -> None:
+        latest_per_key(batch, keys, *newest).write.mode("append").parquet(path)
 
     return (
-        changes.writeStream.foreachBatch(apply)
+        changes.writeStream.foreachBatch(append)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+
+
+def newest_state(spark: SparkSession, path: str, keys: Sequence[str], *newest: str) -> DataFrame:
+    """Current table of a change log; publish it now and then to start a shorter log."""
+    return latest_per_key(spark.read.parquet(path), keys, *newest)

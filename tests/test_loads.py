@@ -89,6 +89,9 @@ def test_full_reload_is_versioned(spark, tmp_path):
     sinks.publish(sinks.current(spark, path).unionByName(src.select("k")), path)
     (tmp_path / "t" / "v00000009").mkdir()
     assert rows(sinks.current(spark, path)) == [(1,), (2,), (2,)]
+    sinks.expire_versions(spark, path, keep=1)
+    assert rows(sinks.current(spark, path)) == [(1,), (2,), (2,)]
+    assert not (tmp_path / "t" / "v00000000").exists()
 
 
 def test_append_days_and_bucketed_tables(spark, tmp_path):
