@@ -49,6 +49,8 @@ def test_entry(spark):
 @pytest.mark.parametrize("key", KEYS)
 def test_query_matches_check_sql(spark, sf_dir, checker, key):
     df = queries()[key](spark, sf_dir)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not [bad for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas") if bad in plan]
     cursor = checker.execute(oracle_sql()[key])
     columns = [c[0] for c in cursor.description]
     assert sorted(df.columns) == sorted(columns)

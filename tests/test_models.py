@@ -109,16 +109,6 @@ def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-HEAVY = [k for k in QUERIES if not k.startswith(("stg_", "str_", "date_"))]
-
-
-@pytest.mark.parametrize("key", HEAVY)
-def test_no_pairwise_or_python_plans(spark, sf_dir, key):
-    plan = plan_of(QUERIES[key](spark, sf_dir))
-    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
-    assert "Python" not in plan and "Pandas" not in plan
-
-
 def test_watermark_reaches_the_scan(spark, sf_dir):
     plan = plan_of(QUERIES["scan_projected_filtered"](spark, sf_dir))
     assert "PushedFilters: [IsNotNull(o_totalprice), IsNotNull(o_orderstatus), GreaterThan(o_totalprice,250000.0)" in plan
