@@ -14,6 +14,7 @@ inside a word between letters and other characters where the table allows it.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 import sentencepiece
@@ -50,7 +51,7 @@ class Pieces:
         got = self.ids.get(piece)
         return [got] if got is not None else [self.byte_ids[b] for b in piece.encode("utf-8", "replace")]
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, ids: Iterable[int]) -> str:
         """The text of token ids; the space put in front is taken off."""
         names = self.names
         data = b"".join([names[i] for i in ids]).decode("utf-8", "replace")
