@@ -34,27 +34,33 @@ from pyspark.sql import types as T
 from ledgerflow.llm.common import partitions
 from ledgerflow.llm.pieces import MODEL, SPACE, Pieces, load, prepared
 
-CHUNKS_PER_PARTITION, OWNERS_PER_PARTITION = 2, 4
+#: a chunk asks an owner once, so there are never more requests than distinct units of chunks
+CHUNKS_PER_PARTITION, OWNERS_PER_PARTITION = 0.5, 3
 _RANKS = 1 << 20  # ranks below this share a number with the end and length of an edge
 _PART = 1024  # back pointers in one string while the fold goes on
+_CODES = pa.list_(pa.int32())
 _DOC = pa.schema([("doc_id", pa.int64()), ("text", pa.string())])
 
 
+def _stream(batch: pa.RecordBatch) -> bytes:
+    """A batch as a compressed Arrow stream."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=4))) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
 def _pack(n_chunks: int):
     """Documents by chunk, as compressed Arrow streams."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        options = pa.ipc.IpcWriteOptions(compression="zstd")
         for batch in batches:
             rows: dict[int, list[int]] = {}
             for i, key in enumerate(batch.column("row_key").to_pylist()):
                 rows.setdefault(key % n_chunks, []).append(i)
             blobs = []
             for at in rows.values():
-                sink = pa.BufferOutputStream()
-                with pa.ipc.new_stream(sink, _DOC, options=options) as out:
-                    out.write_batch(batch.select(["doc_id", "text"]).take(pa.array(at)).cast(_DOC))
-                blobs.append(sink.getvalue().to_pybytes())
+                blobs.append(_stream(batch.select(["doc_id", "text"]).take(pa.array(at)).cast(_DOC)))
             yield pa.RecordBatch.from_arrays([pa.array(list(rows), pa.int64()), pa.array(blobs, pa.binary())], names=["chunk", "docs"])
 
     return pack
@@ -157,13 +163,13 @@ def back_track(unit: str, steps: str, pieces: Pieces) -> array:
 def _reply(pieces):
     def reply(key: tuple[pa.Scalar, ...], asked: pa.Table, encoded: pa.Table) -> pa.Table:
         units, table = encoded.column("unit").combine_chunks(), pieces.value
-        codes = pa.array([back_track(u, s, table).tobytes() for u, s in zip(units.to_pylist(), encoded.column("steps").to_pylist(), strict=True)], pa.binary())
-        chunks, owners, lists = [], [], []
-        for batch in asked.to_batches():
-            lists.append(pa.ListArray.from_arrays(batch.column("units").offsets, codes.take(pc.index_in(batch.column("units").values, value_set=units))))
-            chunks.append(batch.column("chunk"))
-            owners.append(batch.column("owner"))
-        return pa.table({"chunk": pa.chunked_array(chunks, pa.int64()), "owner": pa.chunked_array(owners, pa.int64()), "codes": pa.chunked_array(lists, pa.list_(pa.binary()))})
+        codes = pa.array([back_track(u, s, table) for u, s in zip(units.to_pylist(), encoded.column("steps").to_pylist(), strict=True)], _CODES)
+        chunks, owners, blobs = [], [], []
+        for chunk, owner, mine in zip(asked.column("chunk").to_pylist(), asked.column("owner").to_pylist(), asked.column("units"), strict=True):
+            chunks.append(chunk)
+            owners.append(owner)
+            blobs.append(_stream(pa.RecordBatch.from_arrays([codes.take(pc.index_in(mine.values, value_set=units))], names=["codes"])))
+        return pa.table({"chunk": pa.array(chunks, pa.int64()), "owner": pa.array(owners, pa.int64()), "codes": pa.array(blobs, pa.binary())})
 
     return reply
 
@@ -174,7 +180,9 @@ def _spell(pieces, owners: int):
         wanted = _wanted(packed, table, owners)
         known: dict[str, bytes] = {}
         for owner, codes in zip(replies.column("owner").to_pylist(), replies.column("codes"), strict=True):
-            known.update(zip(wanted.pop(owner), codes.as_py(), strict=True))
+            lists = pa.ipc.open_stream(codes.as_py()).read_all().column("codes").combine_chunks()
+            flat, ends = lists.values.to_numpy().astype(np.int32).tobytes(), (4 * lists.offsets.to_numpy()).tolist()
+            known.update((u, flat[a:b]) for u, a, b in zip(wanted.pop(owner), ends, ends[1:], strict=False))
         words: dict[str, array] = {}
         doc_ids, digests, same, offsets = [], [], [], [0]
         ids = array("i")
@@ -207,13 +215,13 @@ def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
     owners = OWNERS_PER_PARTITION * n
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     read = read.withColumn("row_key", F.xxhash64("doc_id", "text"))
-    packed = read.mapInArrow(_pack(CHUNKS_PER_PARTITION * n), "chunk long, docs binary")
+    packed = read.mapInArrow(_pack(max(1, int(CHUNKS_PER_PARTITION * n))), "chunk long, docs binary")
     asked = packed.groupBy("chunk").applyInArrow(_ask(pieces, owners), "chunk long, owner long, units array<string>").repartition(owners, "owner")
     # reads every column of `asked`, so that both of its readers share one shuffle
     units = asked.select("owner", "chunk", F.explode_outer("units").alias("unit")).groupBy("owner", "unit").agg(F.min("chunk").alias("asked_by"))
     vocabulary = spark.createDataFrame([(p, int(-s)) for p, s in table.scores.items()], "piece string, rank int")
     encoded = lattice(units, vocabulary, table.longest, int(-table.unknown)).withColumnRenamed("owner", "unit_owner")
-    replies = asked.groupBy("owner").cogroup(encoded.groupBy("unit_owner")).applyInArrow(_reply(pieces), "chunk long, owner long, codes array<binary>")
+    replies = asked.groupBy("owner").cogroup(encoded.groupBy("unit_owner")).applyInArrow(_reply(pieces), "chunk long, owner long, codes binary")
     replies = replies.withColumnRenamed("chunk", "asking_chunk")
     return packed.groupBy("chunk").cogroup(replies.groupBy("asking_chunk")).applyInArrow(_spell(pieces, owners), "doc_id long, text_sha256 string, ids array<int>, same boolean")
 
