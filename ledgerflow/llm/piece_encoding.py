@@ -22,11 +22,11 @@ from __future__ import annotations
 import hashlib
 from array import array
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,7 +35,7 @@ from ledgerflow.llm.common import partitions
 from ledgerflow.llm.pieces import MODEL, SPACE, Pieces, load, prepared
 
 #: a chunk asks an owner once, so there are never more requests than distinct units of chunks
-CHUNKS_PER_PARTITION, OWNERS_PER_PARTITION = 0.5, 3
+CHUNKS_PER_PARTITION, OWNERS_PER_PARTITION = 0.75, 3
 _RANKS = 1 << 20  # ranks below this share a number with the end and length of an edge
 _PART = 1024  # back pointers in one string while the fold goes on
 _CODES = pa.list_(pa.int32())
@@ -78,26 +78,27 @@ def _plain(text: str) -> bool:
     return not ("  " in text or SPACE in text or text[0] == " " or text[-1] == " ")
 
 
-def _wanted(packed: pa.Table, pieces: Pieces, owners: int) -> dict[int, list[str]]:
-    """The chunk's distinct units by owner, sorted: the same whenever it is asked again."""
-    words: set[str] = set()
+def _wanted(packed: pa.Table, pieces: Pieces, owners: int) -> tuple[dict[int, list[str]], dict[str, list[str]]]:
+    """The chunk's distinct units by owner, sorted, the same whenever it is asked again; and the units of its words."""
+    words: dict[str, list[str]] = {}
     units: set[str] = set()
     for _, text in _documents(packed):
         if text and _plain(text):
-            words.update(text.split(" "))
+            words.update(dict.fromkeys(text.split(" ")))
         else:
             units.update(pieces.units(prepared(text)))
     for word in words:
-        units.update(pieces.units(SPACE + word))
+        words[word] = got = pieces.units(SPACE + word)
+        units.update(got)
     out: dict[int, list[str]] = {}
     for unit in sorted(units):
-        out.setdefault(xxhash.xxh32_intdigest(unit.encode("utf-8", "replace")) % owners, []).append(unit)
-    return out
+        out.setdefault(crc32(unit.encode("utf-8", "replace")) % owners, []).append(unit)
+    return out, words
 
 
 def _ask(pieces, owners: int):
     def ask(key: tuple[pa.Scalar, ...], packed: pa.Table) -> pa.Table:
-        wanted = _wanted(packed, pieces.value, owners)
+        wanted, _ = _wanted(packed, pieces.value, owners)
         return pa.table({"chunk": pa.array([key[0].as_py()] * len(wanted), pa.int64()), "owner": pa.array(list(wanted), pa.int64()), "units": pa.array(list(wanted.values()), pa.list_(pa.string()))})
 
     return ask
@@ -177,7 +178,7 @@ def _reply(pieces):
 def _spell(pieces, owners: int):
     def spell(packed: pa.Table, replies: pa.Table) -> pa.Table:
         table = pieces.value
-        wanted = _wanted(packed, table, owners)
+        wanted, split = _wanted(packed, table, owners)
         known: dict[str, bytes] = {}
         for owner, codes in zip(replies.column("owner").to_pylist(), replies.column("codes"), strict=True):
             lists = pa.ipc.open_stream(codes.as_py()).read_all().column("codes").combine_chunks()
@@ -191,7 +192,7 @@ def _spell(pieces, owners: int):
                 for word in text.split(" "):
                     got = words.get(word)
                     if got is None:
-                        got = words[word] = array("i", b"".join([known[u] for u in table.units(SPACE + word)]))
+                        got = words[word] = array("i", b"".join([known[u] for u in split.pop(word)]))
                     ids.extend(got)
             else:
                 for unit in table.units(prepared(text)):
