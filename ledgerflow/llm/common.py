@@ -45,12 +45,13 @@ def hot_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner") ->
 
     Both sides get the key's hash as a second join column. It is new to either
     side, so Spark shuffles both for this join alone and its skew handling may
-    split a hot key of the left side.
+    split a hot key of the left side. Sizes are estimated badly behind Python
+    operators, so neither side is broadcast on an estimate.
     """
     salted = F.xxhash64(F.lit("join"), F.col(key))
     renamed = right.withColumnRenamed(key, f"{key}__right").withColumn("h__right", F.xxhash64(F.lit("join"), F.col(f"{key}__right")))
     marked = left.withColumn("h__left", salted)
-    joined = marked.join(renamed, F.col("h__left").eqNullSafe(F.col("h__right")) & F.col(key).eqNullSafe(F.col(f"{key}__right")), how)
+    joined = marked.join(renamed.hint("merge"), F.col("h__left").eqNullSafe(F.col("h__right")) & F.col(key).eqNullSafe(F.col(f"{key}__right")), how)
     return joined.drop("h__left", "h__right", f"{key}__right")
 
 

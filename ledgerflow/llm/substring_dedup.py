@@ -3,6 +3,8 @@
 A window is `WINDOW` consecutive words. A word goes if a window covers it whose
 word sequence also starts in a document with a smaller doc_id.
 
+0. Of documents of equal words the first stands for all; every word of the
+   others goes, if there are `WINDOW` of them.
 1. Every window names an anchor, its 10-word phrase of least hash, so equal
    windows name equal anchors. Anchors are about one phrase in twenty; those
    found under two doc_ids or more are the recurring ones.
@@ -29,7 +31,7 @@ import ahocorasick
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerflow.llm.common import hot_join, stored
@@ -90,16 +92,20 @@ def anchors(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, phrases[at]
 
 
-def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A narrow row per document: number of words, digest of its words, digest of its text as kept whole, anchors."""
     for batch in batches:
-        found, sizes = [], []
+        out = []
         for text in batch.column("text"):
-            _, hashes = anchors(_word_hashes((text.as_py() or b"").split()))
-            found.append(np.unique(hashes))
-            sizes.append(len(found[-1]))
-        keys = pa.array(np.repeat(np.arange(len(sizes)), sizes))
-        every = np.concatenate(found) if found else np.empty(0, np.uint64)
-        yield pa.RecordBatch.from_arrays([pa.array(every.view(np.int64)), batch.column("doc_id").take(keys), batch.column("row_key").take(keys)], names=["phrase", "doc_id", "row_key"])
+            words = (text.as_py() or b"").split()
+            joined = b" ".join(words)
+            _, phrases = anchors(_word_hashes(words))
+            out.append((len(words), xxhash.xxh3_128_digest(joined), hashlib.sha256(joined.decode("utf-8", "replace").encode()).hexdigest(), np.unique(phrases).view(np.int64)))
+        n, digests, whole, phrases = zip(*out, strict=True) if out else ((), (), (), ())
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), batch.column("row_key"), pa.array(n, pa.int64()), pa.array(digests, pa.binary()), pa.array(whole, pa.string()), pa.array(phrases, pa.list_(pa.int64()))],
+            names=["doc_id", "row_key", "n_words", "words_key", "whole_sha256", "phrases"],
+        )
 
 
 def _occurrences(automaton, words: list[bytes]) -> np.ndarray:
@@ -131,6 +137,11 @@ def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _candidates(batch, shard, phrases)
 
 
+def _tags(batch: pa.RecordBatch) -> np.ndarray:
+    """32 bits of the rows' keys, above the place in the text: tell apart rows that repeat a doc_id."""
+    return batch.column("row_key").to_numpy() >> 32 << 32
+
+
 def _candidates(batch: pa.RecordBatch, shard: list[tuple], phrases: set[str]) -> pa.RecordBatch:
     automaton = ahocorasick.Automaton()
     for phrase in phrases:
@@ -155,10 +166,9 @@ def _candidates(batch: pa.RecordBatch, shard: list[tuple], phrases: set[str]) ->
             pa.array(np.concatenate(keys).view(np.int64)),
             pa.array(np.concatenate(checks).view(np.int32)),
             batch.column("doc_id").take(of),
-            batch.column("row_key").take(of),
-            pa.array(np.concatenate(places).astype(np.int32)),
+            pa.array(_tags(batch)[of.to_numpy()] | np.concatenate(places)),
         ],
-        names=["window", "check", "doc_id", "row_key", "at"],
+        names=["window", "check", "doc_id", "place"],
     )
 
 
@@ -172,45 +182,67 @@ def keep_words(words: list[bytes], marked: np.ndarray) -> list[bytes]:
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """`places` are the starts of the marked windows of all rows of the doc_id, with their tags."""
     for batch in batches:
-        counts, kept = [], []
-        for text, marked in zip(batch.column("text"), batch.column("marked"), strict=True):
+        kept, counts = [], []
+        for text, tag, places in zip(batch.column("text"), _tags(batch).tolist(), batch.column("places"), strict=True):
             words = (text.as_py() or b"").split()
-            counts.append(len(words))
-            kept.append(words if not marked.is_valid else keep_words(words, marked.values.to_numpy(zero_copy_only=False)))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("row_key"), pa.array(counts, pa.int64()), pa.array([n - len(k) for n, k in zip(counts, kept, strict=True)], pa.int64()), pa.array([b" ".join(k).decode("utf-8", "replace") for k in kept], pa.string())],
-            names=["doc_id", "row_key", "n_words", "n_removed", "kept"],
-        )
+            places = places.values.to_numpy(zero_copy_only=False)
+            left = keep_words(words, places[places >> 32 << 32 == tag] & 0xFFFFFFFF)
+            counts.append(len(words) - len(left))
+            kept.append(b" ".join(left).decode("utf-8", "replace"))
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row_key"), pa.array(counts, pa.int64()), pa.array(kept, pa.string())], names=["cut_id", "cut_key", "n_cut", "kept"])
 
 
-def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in _cut(batches):
-        digests = [hashlib.sha256(t.as_py().encode()).hexdigest() for t in batch.column("kept")]
-        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "n_words", "n_removed")), pa.array(digests, pa.string())], names=["doc_id", "n_words", "n_removed", "kept_sha256"])
-
-
-def _marked(docs: DataFrame) -> DataFrame:
-    """doc_id, row_key, text and `marked`, the starts of the windows to cut (null: none)."""
+def _plan(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Narrow rows of all documents with `copy` (all words stand in a smaller document), and the cut texts of those with marks."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     rows = rows.withColumn("row_key", F.xxhash64("text"))
-    named = stored(rows.mapInArrow(_anchor_rows, "phrase long, doc_id long, row_key long").where("doc_id IS NOT NULL"))
-    recurring = named.groupBy("phrase").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("phrase")
-    lists = hot_join(named, recurring, "phrase").groupBy("doc_id", "row_key").agg(F.collect_set("phrase").alias("phrases"))
-    key = ["doc_id", "row_key"]
-    windows = rows.join(lists, key).select(*key, "text", "phrases").mapInArrow(_window_rows, "window long, check int, doc_id long, row_key long, at int")
+    named = stored(rows.mapInArrow(_named, "doc_id long, row_key long, n_words long, words_key binary, whole_sha256 string, phrases array<long>"))
+    # the first of documents of equal words stands for all of them: the others go whole
+    first = named.groupBy("words_key").agg(F.min("doc_id").alias("first_id"))
+    told = hot_join(named, first, "words_key").withColumn("copy", F.coalesce(F.col("doc_id") > F.col("first_id"), F.lit(False)) & (F.col("n_words") >= WINDOW))
+    told = stored(told.drop("words_key", "first_id"))
+
+    present = rows.where("doc_id IS NOT NULL")
+    anchored = told.where("NOT copy AND doc_id IS NOT NULL").select("doc_id", F.explode("phrases").alias("phrase"))
+    recurring = anchored.groupBy("phrase").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("phrase")
+    lists = hot_join(anchored, recurring, "phrase").groupBy("doc_id").agg(F.collect_set("phrase").alias("phrases"))
+    windows = present.join(lists.hint("merge"), "doc_id").select("doc_id", "row_key", "text", "phrases").mapInArrow(_window_rows, "window long, check int, doc_id long, place long")
     least = windows.groupBy("window", "check").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
-    least = least.select("window", F.col("check").alias("least_check"), "first")
-    later = hot_join(windows, least, "window").where("check = least_check AND doc_id > first")
-    marks = later.groupBy(*key).agg(F.collect_set("at").alias("marked"))
-    return rows.join(marks, key, "left")
+    least = least.select(F.col("window").alias("least_window"), F.col("check").alias("least_check"), "first")
+    # joined on the window alone: a new shuffle of both sides, so a window of very many documents may be split
+    later = windows.join(least.hint("merge"), F.col("window") == F.col("least_window")).where("check = least_check AND doc_id > first")
+    marks = later.groupBy("doc_id").agg(F.collect_set("place").alias("places"))
+    cut = present.join(marks.hint("merge"), "doc_id").select("doc_id", "row_key", "text", "places").mapInArrow(_cut, "cut_id long, cut_key long, n_cut long, kept string")
+    return told, cut
 
 
-def cut_repeats(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, row_key (hash of its raw text), n_words, n_removed, kept (words joined by one space)."""
-    return _marked(docs).mapInArrow(_cut, "doc_id long, row_key long, n_words long, n_removed long, kept string")
+def _same_row() -> Column:
+    return (F.col("doc_id") == F.col("cut_id")) & (F.col("row_key") == F.col("cut_key"))
 
 
 def digests(docs: DataFrame) -> DataFrame:
-    """As `cut_repeats`, with the SHA-256 of the kept text in its place."""
-    return _marked(docs).mapInArrow(_digest, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    """One row per document: doc_id, n_words, n_removed, kept_sha256 (of the kept words joined by one space)."""
+    told, cut = _plan(docs)
+    cut = cut.select("cut_id", "cut_key", "n_cut", F.sha2(F.col("kept").cast("binary"), 256).alias("cut_sha256"))
+    cut = cut.groupBy("cut_id", "cut_key").agg(F.first("n_cut").alias("n_cut"), F.first("cut_sha256").alias("cut_sha256"))
+    out = told.join(cut, _same_row(), "left")
+    nothing = hashlib.sha256(b"").hexdigest()
+    return out.select(
+        "doc_id",
+        "n_words",
+        F.when(F.col("copy"), F.col("n_words")).otherwise(F.coalesce("n_cut", F.lit(0))).cast("long").alias("n_removed"),
+        F.when(F.col("copy"), F.lit(nothing)).otherwise(F.coalesce("cut_sha256", "whole_sha256")).alias("kept_sha256"),
+    )
+
+
+def cut_repeats(docs: DataFrame) -> DataFrame:
+    """The documents with the repeated passages cut from their text, words joined by one space where any was cut; other columns stay."""
+    told, cut = _plan(docs)
+    changed = cut.groupBy("cut_id", "cut_key").agg(F.first("kept").alias("cut_text"))
+    copies = told.where("copy").select(F.col("doc_id").alias("cut_id"), F.col("row_key").alias("cut_key"), F.lit("").alias("cut_text")).distinct()
+    changed = copies.unionByName(changed.join(copies.select("cut_id", "cut_key"), ["cut_id", "cut_key"], "left_anti"))
+    keyed = docs.withColumn("cut_left_id", F.col("doc_id").cast("long")).withColumn("cut_left_key", F.xxhash64(F.col("text").cast("binary")))
+    joined = keyed.join(changed, (F.col("cut_left_id") == F.col("cut_id")) & (F.col("cut_left_key") == F.col("cut_key")), "left")
+    return joined.withColumn("text", F.coalesce("cut_text", F.col("text").cast("string"))).select(*[F.col(f"`{c}`") for c in docs.columns])
