@@ -36,8 +36,9 @@ from pyspark.sql import functions as F
 from ledgerflow.llm.common import components, hot_join, partitions, stored
 
 SHINGLE, MAX_BITS, SEED = 4, 4, 42
-#: fingerprints of one key that are compared with each other; larger buckets link through midpoints
-BUCKET = 64
+#: fingerprints of one key that are compared with each other; members of larger buckets link through their 2081
+#: midpoints, which costs about as much as this many comparisons
+BUCKET = 1024
 #: first bit and length of the segments
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 _GENERATOR = 0xAE3  # x^11 + x^9 + x^7 + x^6 + x^5 + x + 1
@@ -118,8 +119,16 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _near(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    different = np.bitwise_count(prints[:, None] ^ prints[None, :])
-    return np.nonzero(np.triu(different <= MAX_BITS, 1))
+    """Links of a bucket, thinned to one per fingerprint: each to the first of its component."""
+    close = np.bitwise_count(prints[:, None] ^ prints[None, :]) <= MAX_BITS
+    first = close.argmax(axis=1)
+    while True:
+        least = np.where(close, first[None, :], len(prints)).min(axis=1)
+        if (least == first).all():
+            break
+        first = least
+    member = np.flatnonzero(first != np.arange(len(prints)))
+    return member, first[member]
 
 
 def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
