@@ -106,6 +106,8 @@ def judged(docs: DataFrame, refs: DataFrame) -> DataFrame:
     """The documents with the base measures, distances and the verdict; columns are prefixed `quality_`.
 
     `refs` has one row per language of `COMMON` and one more, so it is broadcast.
+    Store or cache the result before filtering on other measures than the verdict:
+    Spark would push such a filter down and compute them again inside it.
     """
     out = measured(docs)
     lines = F.filter(F.split(F.col("q.text"), "\n"), lambda x: F.rlike(x, F.lit(r"[^\x20\x09-\x0D]")))
@@ -137,8 +139,11 @@ def judged(docs: DataFrame, refs: DataFrame) -> DataFrame:
         word_distance.alias("quality_word_distance"),
     )
     failed = (F.col("quality_n_words") < BASE_MIN_WORDS) | (100 * F.col("quality_n_repeat_words") > BASE_REPEAT_PERCENT * F.col("quality_n_words"))
-    far = (F.coalesce("quality_char_distance", F.lit(0.0)) > MAX_CHAR_DISTANCE) | (F.coalesce("quality_word_distance", F.lit(0.0)) > MAX_WORD_DISTANCE)
-    return out.withColumn("quality_base_failed", failed).withColumn("quality_kept", ~failed & ~far)
+    # one number of both sides of the join, so that a filter on the verdict stays above it and measures each text once
+    excess = F.greatest(
+        F.coalesce("quality_char_distance", F.lit(0.0)) / MAX_CHAR_DISTANCE, F.coalesce("quality_word_distance", F.lit(0.0)) / MAX_WORD_DISTANCE, F.when(failed, F.lit(2.0)).otherwise(F.lit(0.0))
+    )
+    return out.withColumn("quality_base_failed", failed).withColumn("quality_kept", excess <= 1)
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
