@@ -269,10 +269,10 @@ _TYPED = {
         doc_entry document_number delivery_number payment_number ledger_transaction_id
         transaction_id transaction_number source_doc_entry effective_source_doc_entry
         doc_entry_sales_invoice movement_count installment_count paid_installment_count
-        open_installment_count partial_installment_count
+        open_installment_count partial_installment_count line_number source_line_number
     """,
     "int": """
-        line_number source_line_number source_document_type usage_id main_usage_id
+        source_document_type usage_id main_usage_id
         branch_id group_code salesperson_code employee_code series_code series_number
         user_id department_id manufacturer_code price_list_number installment_number
         expense_code lead_time_days days_without_outflow year quarter month day
