@@ -371,7 +371,7 @@ def audit_log(t):
     SELECT execution_id, table_name, strftime(s, '%Y-%m-%d %H:%M:%S') AS started_at,
            CASE WHEN st <> 'running' THEN strftime(ts, '%Y-%m-%d %H:%M:%S') END AS finished_at, st AS status,
            CASE WHEN st = 'success' THEN event_id * 10 END AS row_count,
-           CASE WHEN st = 'error' THEN left(repeat(props, 500), 4000) END AS error_message
+           CASE WHEN st = 'error' THEN repeat(props, 500) END AS error_message
     FROM l
     """,
 )

@@ -55,7 +55,7 @@ def _lines_headers(t):
     keys = ["document_type", "doc_entry"]
     lines = t.w.model("sales_fiscal_lines", *keys, "line_number", "line_total")
     headers = t.w.model("sales_fiscal_documents", *keys, "document_number")
-    return join_lines_to_headers(lines, headers, keys, spread_by=["line_number"])
+    return join_lines_to_headers(lines, headers, keys)
 
 
 @query(

@@ -7,56 +7,19 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# below this much input even a single task can hold a hot key's rows
-SPLIT_FROM_BYTES = 4 << 30
-# a key is hot from one part in this many rows; so there are fewer hot keys than this
-HOT_PARTS = 2000
 
+def join_lines_to_headers(lines: DataFrame, headers: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join many lines to their one header row, whatever share of the lines a key holds.
 
-def input_bytes(df: DataFrame) -> int:
-    """Bytes of the tables scanned under a frame, before any join inflates the estimate."""
-    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-
-
-def hot_keys(df: DataFrame, keys: Sequence[str], parts: int = HOT_PARTS) -> DataFrame:
-    """Keys holding more than 1/parts of the rows: always fewer than `parts` keys.
-
-    The count per key is combined on the map side, so a hot key costs one row
-    per task.
-    """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    total = df.agg(F.count(F.lit(1)))
-    return counts.where(F.col("_rows") * parts > total.scalar()).select(*keys)
-
-
-def join_lines_to_headers(
-    lines: DataFrame,
-    headers: DataFrame,
-    keys: Sequence[str],
-    how: str = "inner",
-    spread: int = 64,
-    spread_by: Sequence[str] = (),
-    split_from_bytes: int = SPLIT_FROM_BYTES,
-) -> DataFrame:
-    """Join many lines to their header row, spreading hot keys over `spread` tasks.
-
-    Adaptive skew handling cannot split a side that is already deduplicated by
-    the join key, so on large inputs the rows of hot keys get a salt on the
-    line side and one copy per salt on the header side; all other keys keep
-    salt 0 and a single header row.  The hot list is broadcast: it is smaller
-    than HOT_PARTS rows by construction.
+    Adaptive skew handling splits a hot key only between two shuffles made for
+    the join itself, which a header side deduplicated on the key would not get.
+    So the keys' hash joins as one more column: neither side is partitioned by
+    it yet, both are shuffled for this join and a hot key's lines are dealt
+    over as many tasks as their bytes need.
     """
+    if how not in ("inner", "left"):
+        raise ValueError(f"a hot key's header is copied, so only inner and left joins are right, not {how}")
     keys = list(keys)
-    if input_bytes(lines) < split_from_bytes:
-        return lines.join(headers, keys, how)
-    hot = F.broadcast(hot_keys(lines, keys).withColumn("_hot", F.lit(True)))
-    salt_source = [F.col(c) for c in (spread_by or [c for c in lines.columns if c not in keys])]
-    salted = lines.join(hot, keys, "left").withColumn(
-        "_salt",
-        F.when(F.col("_hot"), F.pmod(F.xxhash64(*salt_source), F.lit(spread)).cast("int")).otherwise(0),
-    )
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(spread - 1))).otherwise(F.array(F.lit(0)))
-    replicated = headers.join(hot, keys, "left").withColumn("_salt", F.explode(copies))
-    joined = salted.drop("_hot").join(replicated.drop("_hot"), [*keys, "_salt"], how)
-    return joined.drop("_salt")
+    split = F.xxhash64(F.lit("lines"), *keys)
+    joined = lines.withColumn("_split", split).join(headers.withColumn("_split", split), [*keys, "_split"], how)
+    return joined.drop("_split")

@@ -139,7 +139,7 @@ def fact_sales(w: Warehouse, need: set[str]) -> DataFrame:
         documents = w.model(f"sales_{kind}_documents", *_SALES_DOCUMENT)
         documents = with_header_usage(w, documents, f"sales_fiscal_usage_{kind}", usage_needed)
         lines = w.model(f"sales_{kind}_lines", *_SALES_LINE)
-        joined = join_lines_to_headers(lines, documents, ["doc_entry"], spread_by=["line_number"])
+        joined = join_lines_to_headers(lines, documents, ["doc_entry"])
         kept = joined.where(
             predicates.force_display(
                 F.col("document_show_in_bi"),
@@ -201,7 +201,7 @@ def fact_purchases(w: Warehouse, need: set[str]) -> DataFrame:
         predicates.purchases_visible(F.col("canceled"), F.col("partner_show_in_bi"), F.col("group_code"))
     )
     documents = with_header_usage(w, documents, "purchases_fiscal_usage_invoice", need)
-    joined = join_lines_to_headers(lines, documents, ["doc_entry"], spread_by=["line_number"])
+    joined = join_lines_to_headers(lines, documents, ["doc_entry"])
     return joined.withColumns(
         {
             "partner_code": F.col("supplier_code"),

@@ -13,7 +13,6 @@ from ledgerflow.operators.latest import latest_per_key
 
 # fixed values of the audit rules
 STUCK_MINUTES = 60
-MESSAGE_LIMIT = 4000
 HEALED = "interrupted: previous execution did not finish (closed when starting a new load)"
 ORPHANED = "interrupted: execution did not finish (closed by orphan cleanup)"
 
@@ -26,7 +25,7 @@ def fold_status(events: DataFrame) -> DataFrame:
     """Event log (execution_id, table_name, at, event_id, status, row_count, message) -> one row per load.
 
     The last event decides: running, success with its row count, or error with
-    a bounded message.
+    its whole message.
     """
     last = F.max(F.struct("at", "event_id", "status", "row_count", "message")).alias("last")
     folded = events.groupBy("execution_id", "table_name").agg(F.min("at").alias("started_at"), last)
@@ -36,7 +35,7 @@ def fold_status(events: DataFrame) -> DataFrame:
         F.when(status != "running", F.col("last.at")).alias("finished_at"),
         status.alias("status"),
         F.when(status == "success", F.col("last.row_count")).alias("row_count"),
-        F.when(status == "error", F.left(F.col("last.message"), F.lit(MESSAGE_LIMIT))).alias("error_message"),
+        F.when(status == "error", F.col("last.message")).alias("error_message"),
     )
 
 

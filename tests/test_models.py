@@ -125,8 +125,8 @@ def test_sales_lines_are_shuffled_once_for_the_header_join(spark, sf_dir):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert plan.count("lineitem.parquet") == 2  # invoices and returns, one scan each
     assert "Exchange hashpartitioning(l_orderkey" not in plan  # the raw tables read the lines as they are
-    # per type: lines, header dedup, headers after the partner join; returns also their header usage
-    assert plan.count("Exchange hashpartitioning(doc_entry") == 7
+    # per type: lines, header dedup, headers after the partner join and again for this join, so a hot document may be split
+    assert plan.count("Exchange hashpartitioning(doc_entry") == 8
 
 
 def test_lean_models_read_fewer_tables(w):

@@ -13,7 +13,7 @@ from ledgerflow.operators import quality
 from ledgerflow.operators.joins import code_or_name, lookup, overlapping_periods, temporal_left_join
 from ledgerflow.operators.latest import first_per_key, latest_per_key
 from ledgerflow.operators.scd2 import scd2_apply
-from ledgerflow.operators.skew import hot_keys, join_lines_to_headers
+from ledgerflow.operators.skew import join_lines_to_headers
 
 D = dt.date
 
@@ -105,22 +105,41 @@ def test_overlaps_equal_brute_force(spark, width):
     assert rows(got) == sorted(expected, key=repr)
 
 
-def test_hot_key_join_equals_plain_join(spark):
-    lines = spark.range(9000).select(
-        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 700).alias("doc"), F.col("id").alias("line")
-    )
-    headers = spark.range(600).select(F.col("id").alias("doc"), (F.col("id") * 2).alias("total"))
-    assert {r.doc for r in hot_keys(lines, ["doc"], parts=10).collect()} == {0}
-    for how in ("inner", "left"):
-        split = join_lines_to_headers(lines, headers, ["doc"], how, spread=8, spread_by=["line"], split_from_bytes=0)
-        assert rows(split.select("doc", "line", "total")) == rows(lines.join(headers, ["doc"], how).select("doc", "line", "total"))
+def _lines_and_headers(spark):
+    """A third of the lines on one document, and a header table deduplicated on its key."""
+    lines = spark.range(60_000).selectExpr("if(id % 3 = 0, 0, id) AS doc", "id AS line", "repeat('x', 200) AS note")
+    headers = spark.range(50_000).selectExpr("id AS doc", "id % 7 AS kind").groupBy("doc").agg(F.max("kind").alias("kind"))
+    return lines, headers
 
 
-def test_hot_key_is_spread_over_salts(spark):
-    lines = spark.range(4000).select(F.lit(1).alias("doc"), F.col("id").alias("line"))
-    headers = spark.createDataFrame([(1, "x")], "doc int, v string")
-    joined = join_lines_to_headers(lines, headers, ["doc"], spread=16, spread_by=["line"], split_from_bytes=0)
-    assert "_salt" in plan_of(joined) and joined.count() == 4000
+def test_hot_key_join_equals_plain_join(spark):
+    lines, headers = _lines_and_headers(spark)
+    for how in ("inner", "left"):
+        got = join_lines_to_headers(lines, headers, ["doc"], how)
+        assert got.exceptAll(lines.join(headers, ["doc"], how)).count() == 0
+        assert got.count() == lines.join(headers, ["doc"], how).count()
+    with pytest.raises(ValueError):
+        join_lines_to_headers(lines, headers, ["doc"], "full")
+
+
+def test_hot_key_is_split_by_adaptive_execution(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        lines, headers = _lines_and_headers(spark)
+        joined = join_lines_to_headers(lines.repartition(8), headers, ["doc"])
+        joined.collect()
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def test_quality_checks(spark):
