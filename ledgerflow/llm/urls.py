@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerflow.llm.common import ascii_lower
+from ledgerflow.llm.common import ascii_lower, stored
 
 RULES = {"com/": "allow", "example.com/en/": "block", "www.example.com/en/": "allow", "net/es/": "block", "net/fr/": "block"}
 VOCABULARY, TRAIN_ROWS, LONGEST = 50_000, 20_000, 24
@@ -59,9 +59,9 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def unigrams(pages: DataFrame) -> dict[str, int]:
     """Counts of the frequent words of all page texts; at most `VOCABULARY` words reach the driver."""
-    words = pages.select("html").mapInArrow(_count_words, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    total = words.select(F.sum("n").alias("total"))
-    frequent = words.join(F.broadcast(total), F.col("n") * VOCABULARY >= F.col("total"))  # one row
+    words = stored(pages.select("html").mapInArrow(_count_words, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")))
+    total = words.agg(F.sum("n")).first()[0] or 0
+    frequent = words.where(F.col("n") * VOCABULARY >= total)
     return {r["word"]: r["n"] for r in frequent.select("word", "n").collect()}
 
 
