@@ -36,7 +36,9 @@ from ledgerflow.llm.pieces import MODEL, SPACE, Pieces, load, prepared
 
 #: a chunk asks an owner once, so there are never more requests than distinct units of chunks
 CHUNKS_PER_PARTITION, OWNERS_PER_PARTITION = 0.75, 3
-_RANKS = 1 << 20  # ranks below this share a number with the end and length of an edge
+_EDGE_BITS = 26  # of an edge's number: 6 for its length, the others for its rank; its end stands above
+_EDGE = 1 << _EDGE_BITS
+_BLOCK = 512  # characters of a long unit that are exploded together
 _PART = 1024  # back pointers in one string while the fold goes on
 _CODES = pa.list_(pa.int32())
 _DOC = pa.schema([("doc_id", pa.int64()), ("text", pa.string())])
@@ -107,45 +109,62 @@ def _ask(pieces, owners: int):
 def viterbi(edges: Column, longest: int) -> Column:
     """Fold of sorted edges: lengths of the best last piece at each position, as characters.
 
-    An edge is one number: its end, 63 - length and rank, so the order is by end
-    and the earlier start first. A score is minus the rank; the fold keeps the
-    least sums of ranks.
+    An edge is one number: its end, its rank and 63 - length, so the order is by
+    end. A score is minus the rank; the fold keeps the least sum of ranks of a
+    position above the 63 - length of its last piece, so the lesser number is the
+    better split and, among equal sums, the one that starts earlier.
     """
 
+    def back(x: Column) -> Column:
+        """Minus the length of an edge's piece."""
+        return (x.bitwiseAND(63) - 63).cast("int")
+
+    def told(s: Column) -> Column:
+        return F.concat(s["told"], F.char(F.lit(127) - s["cost"].bitwiseAND(63)))
+
     def step(s: Column, x: Column) -> Column:
-        moves = F.shiftright(x, 26) > s["at"] + 1
-        n = (F.lit(63) - F.shiftright(x, 20).bitwiseAND(63)).cast("int")
-        before = F.when(~moves, F.element_at(s["best"], -n)).when(n == 1, s["cost"]).otherwise(F.element_at(s["best"], 1 - n))
-        total = before + x.bitwiseAND(_RANKS - 1)
-        better = moves | (s["length"] == 0) | (total < s["cost"])
-        told = F.concat(s["told"], F.char(s["length"] + 64))
-        full = moves & (F.pmod(s["at"] + 1, F.lit(_PART)) == 0)
-        recent = F.concat(F.slice(s["best"], F.greatest(F.size(s["best"]) - longest + 2, F.lit(1)), F.lit(longest)), F.array(s["cost"]))
-        return F.struct(
-            F.when(moves, s["at"] + 1).otherwise(s["at"]).alias("at"),
-            F.when(moves, recent).otherwise(s["best"]).alias("best"),
-            F.when(better, total).otherwise(s["cost"]).alias("cost"),
-            F.when(better, n).otherwise(s["length"]).alias("length"),
-            F.when(full, F.lit("")).when(moves, told).otherwise(s["told"]).alias("told"),
-            F.when(full, F.array_append(s["parts"], told)).otherwise(s["parts"]).alias("parts"),
+        cost = x.bitwiseAND(_EDGE - 1)
+        same_end = F.shiftright(x, _EDGE_BITS) == s["at"]
+        less = F.least(s["cost"], F.element_at(s["best"], back(x)).bitwiseAND(~63) + cost)
+        stays = F.struct(s["at"].alias("at"), s["best"].alias("best"), less.alias("cost"), s["told"].alias("told"), s["parts"].alias("parts"))
+        before = F.when(back(x) == -1, s["cost"]).otherwise(F.element_at(s["best"], back(x) + 1))
+        full = F.pmod(s["at"] + 1, F.lit(_PART)) == 0
+        moves = F.struct(
+            (s["at"] + 1).alias("at"),
+            F.concat(F.slice(s["best"], F.greatest(F.size(s["best"]) - longest + 2, F.lit(1)), F.lit(longest)), F.array(s["cost"])).alias("best"),
+            (before.bitwiseAND(~63) + cost).alias("cost"),
+            F.when(full, F.lit("")).when(s["at"] > 0, told(s)).otherwise(s["told"]).alias("told"),
+            F.when(full, F.array_append(s["parts"], told(s))).otherwise(s["parts"]).alias("parts"),
         )
+        return F.when(same_end, stays).otherwise(moves)
 
     zero = F.lit(0).cast("long")
-    start = F.struct(F.lit(0).alias("at"), F.array(zero).alias("best"), zero.alias("cost"), F.lit(0).alias("length"), F.lit("").alias("told"), F.array().cast("array<string>").alias("parts"))
-    return F.aggregate(edges, start, step, lambda s: F.concat(F.array_join(s["parts"], ""), s["told"], F.char(s["length"] + 64)))
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<bigint>").alias("best"), zero.alias("cost"), F.lit("").alias("told"), F.array().cast("array<string>").alias("parts"))
+    return F.aggregate(edges, start, step, lambda s: F.concat(F.array_join(s["parts"], ""), told(s)))
 
 
 def lattice(units: DataFrame, table: DataFrame, longest: int, unknown: int) -> DataFrame:
     """Distinct (owner, unit, asked_by) with `steps`, what the fold tells of each. `table`: piece, rank; a fixed file, broadcast."""
+    # long units are cut into blocks and grouped by a hash, so that no row of the lattice carries a long text;
+    # one more edge of a long unit's first character carries it whole
+    short = F.char_length("unit") <= _BLOCK
+    no_text = F.lit(None).cast("string")
+    begins = F.sequence(F.lit(0), F.char_length("unit") - 1, F.lit(_BLOCK))
+    cut = F.transform(begins, lambda b: F.struct(b.alias("begin"), F.substr("unit", b + 1, F.lit(_BLOCK + longest - 1)).alias("text"), no_text.alias("whole")))
+    first = F.struct(F.lit(0).alias("begin"), F.substr("unit", F.lit(1), F.lit(1)).alias("text"), F.col("unit").alias("whole"))
+    blocks = F.when(short, F.array(F.struct(F.lit(0).alias("begin"), F.col("unit").alias("text"), no_text.alias("whole")))).otherwise(F.array_append(cut, first))
     # in order, so that grouping the edges finds them sorted
-    ordered = units.sortWithinPartitions("owner", "unit")
-    starts = ordered.withColumn("start", F.explode(F.sequence(F.lit(0), F.char_length("unit") - 1)))
-    ends = starts.withColumn("length", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), F.char_length("unit") - F.col("start")))))
-    parts = ends.withColumn("part", F.substr("unit", F.col("start") + 1, F.col("length")))
+    ordered = units.select("owner", "asked_by", short.alias("short"), F.when(short, F.col("unit")).otherwise(F.sha2("unit", 256)).alias("key"), blocks.alias("blocks")).sortWithinPartitions("owner", "key", "short")
+    texts = ordered.select("owner", "asked_by", "short", "key", F.explode("blocks").alias("b")).select("owner", "asked_by", "short", "key", "b.*")
+    starts = texts.withColumn("start", F.explode(F.sequence(F.lit(0), F.least(F.lit(_BLOCK), F.char_length("text")) - 1)))
+    ends = starts.withColumn("length", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), F.char_length("text") - F.col("start")))))
+    parts = ends.withColumn("part", F.substr("text", F.col("start") + 1, F.col("length")))
     edges = parts.join(F.broadcast(table), F.col("part") == F.col("piece"), "left").where("piece IS NOT NULL OR length = 1")
-    edge = F.shiftleft((F.col("start") + F.col("length")).cast("long"), 26) + (F.lit(63) - F.col("length")) * _RANKS + F.coalesce("rank", F.lit(unknown))
-    grouped = edges.select("owner", "unit", "asked_by", edge.alias("edge")).groupBy("owner", "unit").agg(F.sort_array(F.collect_list("edge")).alias("edges"), F.min("asked_by").alias("asked_by"))
-    return grouped.select("owner", "unit", "asked_by", viterbi(F.col("edges"), longest).alias("steps"))
+    end = (F.col("begin") + F.col("start") + F.col("length")).cast("long")
+    edge = F.shiftleft(end, _EDGE_BITS) + F.shiftleft(F.coalesce("rank", F.lit(unknown)), 6) + (F.lit(63) - F.col("length"))
+    grouped = edges.select("owner", "key", "short", "whole", "asked_by", edge.alias("edge")).groupBy("owner", "key", "short")
+    grouped = grouped.agg(F.sort_array(F.collect_list("edge")).alias("edges"), F.min("asked_by").alias("asked_by"), F.max("whole").alias("whole"))
+    return grouped.select("owner", F.coalesce("whole", "key").alias("unit"), "asked_by", viterbi(F.col("edges"), longest).alias("steps"))
 
 
 def back_track(unit: str, steps: str, pieces: Pieces) -> array:
