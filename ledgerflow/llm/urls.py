@@ -6,8 +6,9 @@ a unigram Viterbi splits the letter runs of host labels and path parts into
 words, and multinomial naive Bayes (add-one smoothing) weighs the words. The
 unigram counts are those of all page texts, kept for words that make up at least
 1/`VOCABULARY` of all words, hence at most `VOCABULARY` of them. Naive Bayes
-learns from urls that a rule decides, at most `TRAIN_ROWS` of them, taken by the
-least hash. Without urls of both verdicts everything else is allowed; ties allow.
+learns from urls that a rule decides, at most `TRAIN_ROWS` of them, out of about
+`SCAN_ROWS` pages, both taken by the hash of the row, so a frequent url is drawn
+as often as it occurs. Without urls of both verdicts everything else is allowed; ties allow.
 
 Null urls and urls without `://` have an empty host and path. Rows are judged one
 by one and may repeat; an empty table gives an empty result.
@@ -28,6 +29,8 @@ from ledgerflow.llm.common import ascii_lower, stored
 
 RULES = {"com/": "allow", "example.com/en/": "block", "www.example.com/en/": "allow", "net/es/": "block", "net/fr/": "block"}
 VOCABULARY, TRAIN_ROWS, LONGEST = 50_000, 20_000, 24
+#: pages looked at for training, so that what meets in one task does not grow with the table
+SCAN_ROWS = 64 * TRAIN_ROWS
 _RUN = re.compile(r"[^\W\d_]+|\d+")
 
 
@@ -118,8 +121,11 @@ def _tokens(segmenter):
 
 
 def fit(labelled: DataFrame, segmenter) -> dict[str, float]:
-    """Log odds of block against allow by token; '' holds the prior, None the unseen token. `labelled`: host, path, verdict."""
-    sample = labelled.orderBy(F.xxhash64("host", "path"), "host", "path").limit(TRAIN_ROWS)
+    """Log odds of block against allow by token; '' holds the prior, None the unseen token.
+
+    `labelled`: host, path, verdict; with page_id too, rows of one url are drawn apart.
+    """
+    sample = labelled.orderBy(F.xxhash64(*labelled.columns), "host", "path").limit(TRAIN_ROWS).select("host", "path", "verdict")
     seen = sample.mapInArrow(_tokens(segmenter), "verdict string, tokens array<string>")
     block = F.when(F.col("verdict") == "block", 1).otherwise(0)
     rows = seen.select(block.alias("y"), F.explode(F.concat(F.array(F.lit("")), "tokens")).alias("token"))
@@ -160,7 +166,9 @@ def judged(pages: DataFrame, rules: dict[str, str] = RULES) -> DataFrame:
     rows = rows.withColumn("verdict", F.element_at(decided, F.col("rule")))
     segmenter = Segmenter(unigrams(pages))
     shared = spark.sparkContext.broadcast(segmenter)
-    odds = fit(rows.where("rule IS NOT NULL").select("host", "path", "verdict"), shared)
+    draw = 1 << 40
+    near = F.pmod(F.xxhash64("page_id", "host", "path"), F.lit(draw)) < int(draw * min(1.0, SCAN_ROWS / max(pages.count(), 1)))
+    odds = fit(rows.where("rule IS NOT NULL").where(near).select("page_id", "host", "path", "verdict"), shared)
     model = spark.sparkContext.broadcast((segmenter, odds))
     scored = rows.mapInArrow(_judge(model), "page_id long, host string, path string, rule string, verdict string, tokens string, score double")
     return scored.withColumn("verdict", F.coalesce("verdict", F.when(F.col("score") > 0, F.lit("block")).otherwise(F.lit("allow"))))
