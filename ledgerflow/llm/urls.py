@@ -4,9 +4,9 @@ A rule is `host/path`: it fits its host and all subdomains if the url's path
 starts with the rule's; the longest fitting rule decides. Other urls are scored:
 a unigram Viterbi splits the letter runs of host labels and path parts into
 words, and multinomial naive Bayes (add-one smoothing) weighs the words. The
-unigram counts are those of all page texts, kept for words that make up at least
-1/`VOCABULARY` of all words, hence at most `VOCABULARY` of them. Naive Bayes
-learns from urls that a rule decides, at most `TRAIN_ROWS` of them, out of about
+unigram counts are those of all words of all page texts; they stay a table, and
+every distinct run is split with the counts that its own substrings join to, so
+no vocabulary passes through the driver and none is cut. Naive Bayes learns from urls that a rule decides, at most `TRAIN_ROWS` of them, out of about
 `SCAN_ROWS` pages, both taken by the hash of the row, so a frequent url is drawn
 as often as it occurs. Without urls of both verdicts everything else is allowed; ties allow.
 
@@ -25,10 +25,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerflow.llm.common import ascii_lower, stored
+from ledgerflow.llm.common import ascii_lower, hot_join, stored
 
 RULES = {"com/": "allow", "example.com/en/": "block", "www.example.com/en/": "allow", "net/es/": "block", "net/fr/": "block"}
-VOCABULARY, TRAIN_ROWS, LONGEST = 50_000, 20_000, 24
+TRAIN_ROWS, LONGEST = 20_000, 24
 #: pages looked at for training, so that what meets in one task does not grow with the table
 SCAN_ROWS = 64 * TRAIN_ROWS
 _RUN = re.compile(r"[^\W\d_]+|\d+")
@@ -60,19 +60,21 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
 
 
+def word_counts(pages: DataFrame) -> DataFrame:
+    """(word, n): every word of two to `LONGEST` letters of all page texts."""
+    return stored(pages.select("html").mapInArrow(_count_words, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")))
+
+
 def unigrams(pages: DataFrame) -> dict[str, int]:
-    """Counts of the frequent words of all page texts; at most `VOCABULARY` words reach the driver."""
-    words = stored(pages.select("html").mapInArrow(_count_words, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")))
-    total = words.agg(F.sum("n")).first()[0] or 0
-    frequent = words.where(F.col("n") * VOCABULARY >= total)
-    return {r["word"]: r["n"] for r in frequent.select("word", "n").collect()}
+    """All word counts in the driver; for tables that fit there, `judged` does not use it."""
+    return {r["word"]: r["n"] for r in word_counts(pages).collect()}
 
 
 class Segmenter:
     """Unigram Viterbi over a letter run; characters outside the vocabulary stand alone."""
 
-    def __init__(self, counts: dict[str, int]):
-        total = sum(counts.values()) + 1
+    def __init__(self, counts: dict[str, int], total: int | None = None):
+        total = (sum(counts.values()) if total is None else total) + 1
         self._cost = {w: math.log(total / n) for w, n in counts.items()}
         self._alone = math.log(total) + 5.0
         self._known: dict[str, list[str]] = {}
@@ -104,11 +106,57 @@ class Segmenter:
 
     def tokens(self, host: str, path: str) -> list[str]:
         """`h:` words of the host, `p:` words of the path; numbers count as one kind."""
-        out = []
-        for kind, text in (("h:", host), ("p:", path.lower())):
-            for run in _RUN.findall(text):
-                out.extend([kind + "0"] if run.isdigit() else [kind + w for w in self.words(run)])
-        return out
+        return [kind + w for kind, run in runs(host, path) for w in ([run] if run == "0" else self.words(run))]
+
+
+def runs(host: str, path: str) -> list[tuple[str, str]]:
+    """(`h:` or `p:`, run) of the host and the path; every number is `0`."""
+    return [(kind, "0" if run.isdigit() else run) for kind, text in (("h:", host), ("p:", path.lower())) for run in _RUN.findall(text)]
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    told = pa.list_(pa.struct([("kind", pa.string()), ("run", pa.string())]))
+    for batch in batches:
+        lists = [[{"kind": k, "run": r} for k, r in runs(h, p)] for h, p in zip(batch.column("host").to_pylist(), batch.column("path").to_pylist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lists, told)], names=[*batch.schema.names, "runs"])
+
+
+def _substrings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(run, sub): the distinct substrings of two to `LONGEST` letters of each run."""
+    for batch in batches:
+        for run in batch.column("run").to_pylist():
+            subs = {run[a:b] for a in range(len(run)) for b in range(a + 2, min(a + LONGEST, len(run)) + 1)}
+            if subs:
+                yield pa.RecordBatch.from_arrays([pa.array([run] * len(subs), pa.string()), pa.array(sorted(subs), pa.string())], names=["run", "sub"])
+
+
+def _split_runs(total: int):
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = [Segmenter({k["sub"]: k["n"] for k in known}, total).words(run) for run, known in zip(batch.column("run").to_pylist(), batch.column("known").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("run"), pa.array(lists, pa.list_(pa.string()))], names=["run", "words"])
+
+    return split
+
+
+def segmented(rows: DataFrame, words: DataFrame) -> DataFrame:
+    """`rows` (with host and path) and their tokens; `words` holds the count of every word once."""
+    total = words.agg(F.sum("n")).first()[0] or 0
+    kept = rows.columns
+    marked = stored(rows.withColumn("row", F.monotonically_increasing_id()))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in marked.schema.fields)
+    listed = marked.mapInArrow(_runs, f"{schema}, runs array<struct<kind:string,run:string>>")
+    placed = stored(listed.select("row", *kept, F.posexplode_outer("runs").alias("at", "found")).select("row", *kept, "at", "found.kind", "found.run"))
+    distinct = placed.where("run IS NOT NULL").select("run").distinct()
+    pairs = distinct.mapInArrow(_substrings, "run string, sub string")
+    hits = hot_join(pairs, words.withColumnRenamed("word", "sub"), "sub").select("run", F.struct("sub", "n").alias("hit"))
+    every = hits.unionByName(distinct.select("run", F.lit(None).cast(hits.schema["hit"].dataType).alias("hit")))
+    known = every.groupBy("run").agg(F.collect_list("hit").alias("known"))
+    split = known.mapInArrow(_split_runs(total), "run string, words array<string>")
+    told = hot_join(placed, split, "run", "left")
+    some = F.collect_list(F.when(F.col("at").isNotNull(), F.struct("at", F.transform("words", lambda w: F.concat("kind", w)).alias("told"))))
+    lists = F.transform(F.sort_array(some), lambda x: x["told"])
+    return told.groupBy("row", *kept).agg(F.flatten(lists).alias("tokens")).drop("row")
 
 
 def _tokens(segmenter):
@@ -120,13 +168,23 @@ def _tokens(segmenter):
     return split
 
 
+def drawn(labelled: DataFrame) -> DataFrame:
+    """At most `TRAIN_ROWS` rows of host, path, verdict; with page_id too, rows of one url are drawn apart."""
+    key = [c for c in labelled.columns if c != "tokens"]
+    return labelled.orderBy(F.xxhash64(*key), "host", "path").limit(TRAIN_ROWS)
+
+
 def fit(labelled: DataFrame, segmenter) -> dict[str, float]:
+    """`odds_of` rows of host, path, verdict under a broadcast segmenter."""
+    sample = drawn(labelled).select("host", "path", "verdict")
+    return odds_of(sample.mapInArrow(_tokens(segmenter), "verdict string, tokens array<string>"))
+
+
+def odds_of(seen: DataFrame) -> dict[str, float]:
     """Log odds of block against allow by token; '' holds the prior, None the unseen token.
 
-    `labelled`: host, path, verdict; with page_id too, rows of one url are drawn apart.
+    `seen`: verdict, tokens.
     """
-    sample = labelled.orderBy(F.xxhash64(*labelled.columns), "host", "path").limit(TRAIN_ROWS).select("host", "path", "verdict")
-    seen = sample.mapInArrow(_tokens(segmenter), "verdict string, tokens array<string>")
     block = F.when(F.col("verdict") == "block", 1).otherwise(0)
     rows = seen.select(block.alias("y"), F.explode(F.concat(F.array(F.lit("")), "tokens")).alias("token"))
     counts = {r["token"]: (r["a"], r["b"]) for r in rows.groupBy("token").agg(F.sum(1 - F.col("y")).alias("a"), F.sum("y").alias("b")).collect()}
@@ -141,15 +199,12 @@ def fit(labelled: DataFrame, segmenter) -> dict[str, float]:
 
 def _judge(model):
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        segmenter, odds = model.value
+        odds = model.value
         for batch in batches:
-            scores, texts = [], []
-            for host, path in zip(batch.column("host").to_pylist(), batch.column("path").to_pylist(), strict=True):
-                tokens = segmenter.tokens(host, path)
-                scores.append(odds[""] + sum(odds.get(t, odds[None]) for t in tokens) if odds else 0.0)
-                texts.append(" ".join(tokens))
+            lists = batch.column("tokens").to_pylist()
+            scores = [odds[""] + sum(odds.get(t, odds[None]) for t in tokens) if odds else 0.0 for tokens in lists]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in ("page_id", "host", "path", "rule", "verdict")] + [pa.array(texts, pa.string()), pa.array(scores, pa.float64())],
+                [batch.column(c) for c in ("page_id", "host", "path", "rule", "verdict")] + [pa.array([" ".join(t) for t in lists], pa.string()), pa.array(scores, pa.float64())],
                 names=["page_id", "host", "path", "rule", "verdict", "tokens", "score"],
             )
 
@@ -164,11 +219,10 @@ def judged(pages: DataFrame, rules: dict[str, str] = RULES) -> DataFrame:
     rows = rows.withColumn("rule", fitting_rule(F.col("host"), F.col("path"), rules))
     decided = F.create_map(*[F.lit(x) for pair in rules.items() for x in pair])
     rows = rows.withColumn("verdict", F.element_at(decided, F.col("rule")))
-    segmenter = Segmenter(unigrams(pages))
-    shared = spark.sparkContext.broadcast(segmenter)
+    rows = stored(segmented(rows, word_counts(pages)))
     draw = 1 << 40
-    near = F.pmod(F.xxhash64("page_id", "host", "path"), F.lit(draw)) < int(draw * min(1.0, SCAN_ROWS / max(pages.count(), 1)))
-    odds = fit(rows.where("rule IS NOT NULL").where(near).select("page_id", "host", "path", "verdict"), shared)
-    model = spark.sparkContext.broadcast((segmenter, odds))
+    near = F.pmod(F.xxhash64("page_id", "host", "path"), F.lit(draw)) < int(draw * min(1.0, SCAN_ROWS / max(rows.count(), 1)))
+    sample = drawn(rows.where("rule IS NOT NULL").where(near).select("page_id", "host", "path", "verdict", "tokens"))
+    model = spark.sparkContext.broadcast(odds_of(sample.select("verdict", "tokens")))
     scored = rows.mapInArrow(_judge(model), "page_id long, host string, path string, rule string, verdict string, tokens string, score double")
     return scored.withColumn("verdict", F.coalesce("verdict", F.when(F.col("score") > 0, F.lit("block")).otherwise(F.lit("allow"))))

@@ -348,6 +348,18 @@ def test_url_filter(spark, sf_dir):
     assert right >= 0.8 * len(held)
 
 
+def test_url_words_are_never_cut(spark):
+    """A word of one in 120,000 still splits hosts, and tokens are those of all counts."""
+    common_text = "<li>" * 60_000
+    rows = [(1, "http://cheappills.org/farm/12/cheap-pills", common_text), (2, "http://news.com/x", common_text), (3, "http://pills.net/es/cheap", "cheap pills farm"), (3, None, None)]
+    pages = spark.createDataFrame([*rows, rows[0]], "page_id long, url string, html string")
+    segmenter = urls.Segmenter(urls.unigrams(pages))
+    got = urls.judged(pages).collect()
+    assert Counter(r["page_id"] for r in got) == {1: 2, 2: 1, 3: 2}
+    assert all(r["tokens"] == " ".join(segmenter.tokens(r["host"], r["path"])) for r in got)
+    assert "h:cheap h:pills h:o h:r h:g p:farm p:0 p:cheap p:pills" in {r["tokens"] for r in got}
+
+
 def test_pipeline(spark, sf_dir, documents, texts):
     docs = documents
     for name, stage in corpus_pipeline.STAGES[:3]:
