@@ -265,6 +265,27 @@ def test_personal_data(spark, documents, texts, none):
     assert pii.found(none).count() == 0
 
 
+def test_personal_data_adds_look_alikes(spark):
+    """National numbers and spelled-out addresses are added; dates, digits of hashes and failed checksums are not."""
+    rows, want, junk = [], {}, {}
+    for i in range(600):
+        digits, name = f"{i * 7919 % 10**7:07d}", f"name{i}"
+        phone, mail = f"({200 + i % 700}) {digits[:3]}-{digits[3:]}", f"{name} (at) host.org"
+        strict, loose = f"call +1 {phone} or mail {name}@host.org", f"call {phone} or mail {mail}"
+        hidden = f"on 2024-01-{i % 28 + 1:02d} hash ab{digits}cd, no 411111111111111{i % 10 if i % 10 != 1 else 2}"
+        text = (strict, strict, loose, hidden)[i % 4]
+        rows.append((i, text))
+        if i % 4 == 2:
+            want[i] = {("phone", phone), ("email", mail)}
+        elif i % 4 == 3:
+            junk[i] = set()
+    told = pii.found(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    texts = dict(rows)
+    got = {r["doc_id"]: {(k, texts[r["doc_id"]][int(a) : int(b)]) for k, a, b in (s.split(":") for s in r["spans"].split(",") if s)} for r in told}
+    assert {i: got[i] for i in want} == want
+    assert {i: got[i] for i in junk} == junk
+
+
 def test_exact_copies_edge_cases(edge, none):
     rows = {(r["doc_id"], r["keep_id"], r["group_size"], r["kept"]) for r in exact_dedup.exact_groups(edge).collect()}
     assert {(1, 2, 2, False), (2, 2, 2, True), (3, 3, 2, True), (5, 6, 2, False), (6, 6, 2, True), (None, None, 1, True)} <= rows
