@@ -164,9 +164,7 @@ def _append(t):
     f"WITH ht AS ({_HEADER_TARGET}), {_MARK} SELECT CAST(d AS VARCHAR) AS day, CAST(s AS INTEGER) AS second, k AS key FROM mark",
 )
 def _capture(t):
-    target = header_target(t)
-    mark = loads.capture_mark(target)
-    return t.spark.createDataFrame([(mark.day, mark.second, mark.key)], "day date, second int, key bigint")
+    return loads.mark_row(header_target(t)).withColumn("day", F.col("day").cast("date"))
 
 
 @query(

@@ -79,15 +79,26 @@ class HeaderMark:
         )
 
 
-def capture_mark(
+def mark_row(
     target: DataFrame, day: str = "UpdateDate", second: str = "UpdateTS", key: str = "DocEntry"
-) -> HeaderMark:
+) -> DataFrame:
+    """One row (day, second, key): the newest edit and the largest key of the target."""
     newest = F.max(
         F.when(F.col(day).isNotNull(), F.struct(F.col(day).alias("d"), F.coalesce(F.col(second), F.lit(0)).alias("s")))
     )
-    row = target.agg(newest.alias("newest"), F.max(key).alias("key")).first()
-    last_day, last_second = (row.newest.d, row.newest.s) if row.newest else (None, 0)
-    return HeaderMark(last_day, last_second, row.key or 0, day, second, key)
+    found = target.agg(newest.alias("newest"), F.max(key).alias("key"))
+    return found.select(
+        F.col("newest.d").alias("day"),
+        F.coalesce(F.col("newest.s"), F.lit(0)).cast("int").alias("second"),
+        F.coalesce(F.col("key"), F.lit(0)).cast("bigint").alias("key"),
+    )
+
+
+def capture_mark(
+    target: DataFrame, day: str = "UpdateDate", second: str = "UpdateTS", key: str = "DocEntry"
+) -> HeaderMark:
+    row = mark_row(target, day, second, key).first()
+    return HeaderMark(row.day, row.second, row.key, day, second, key)
 
 
 def changed_rows(src: DataFrame, mark: HeaderMark) -> DataFrame:

@@ -40,36 +40,39 @@ def column_facts(df: DataFrame) -> DataFrame:
     return df.agg(*facts)
 
 
-def inferred_type(rows: int, facts) -> str:
+def inferred_type(rows: Column, facts: Column) -> Column:
     """Type of a text column from its facts.
 
     Whole numbers with empty cells are doubles and flags with empty cells are
     text, as a data frame column with missing values would be.
     """
     filled = facts["filled"]
-    if filled == 0:
-        return EMPTY_TEXT
-    if facts["bools"] == rows:
-        return "boolean"
-    if facts["ints"] == rows:
-        return "bigint"
-    if facts["floats"] == filled:
-        return "double"
-    if facts["times"] == filled:
-        return "timestamp_ntz"
-    return SHORT_TEXT if facts["longest"] <= SHORT_LIMIT else LONG_TEXT
+    return (
+        F.when(filled == 0, EMPTY_TEXT)
+        .when(facts["bools"] == rows, "boolean")
+        .when(facts["ints"] == rows, "bigint")
+        .when(facts["floats"] == filled, "double")
+        .when(facts["times"] == filled, "timestamp_ntz")
+        .when(facts["longest"] <= SHORT_LIMIT, SHORT_TEXT)
+        .otherwise(LONG_TEXT)
+    )
+
+
+def types_row(df: DataFrame) -> DataFrame:
+    """One row with the inferred type of every column, under the column's name."""
+    facts = column_facts(df)
+    return facts.select(*(inferred_type(F.col("rows"), F.col(f"`{c}`")).alias(c) for c in df.columns))
 
 
 def infer_column_types(df: DataFrame) -> dict[str, str]:
-    """Inferred type per column; brings one row of counts to the driver."""
-    row = column_facts(df).first()
-    return {name: inferred_type(row["rows"], row[name]) for name in df.columns}
+    """Inferred type per column; brings one row of types to the driver."""
+    return types_row(df).first().asDict()
 
 
 def types_table(df: DataFrame) -> DataFrame:
     """(column_name, type) of every column."""
-    found = infer_column_types(df)
-    return df.sparkSession.createDataFrame(list(found.items()), "column_name string, type string")
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    return types_row(df).unpivot([], columns, "column_name", "type")
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:

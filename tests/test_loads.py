@@ -8,6 +8,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from ledgerflow.entries.registry import QUERIES
 from ledgerflow.sources import audit, loads, sheets, sinks
 
 D = dt.date
@@ -155,3 +156,12 @@ def test_count_comparison(spark, rows_before, rows_after, delta):
     before = loads.row_counts({"t": spark.range(rows_before)})
     after = loads.row_counts({"t": spark.range(rows_after)})
     assert rows(loads.compare_counts(before, after)) == [("t", rows_before, rows_after, delta)]
+
+
+def test_mark_and_types_stay_plans(spark, sf_dir):
+    """Both answers are aggregates over a scan, not rows made in the driver."""
+    for key in ("capture_watermark", "infer_column_types"):
+        plan = QUERIES[key](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+        assert "Scan parquet" in plan and "LocalTableScan" not in plan and "ExistingRDD" not in plan, key
+    empty = spark.createDataFrame([], "UpdateDate date, UpdateTS int, DocEntry bigint")
+    assert rows(loads.mark_row(empty)) == [(None, 0, 0)]
