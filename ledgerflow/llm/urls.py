@@ -6,9 +6,11 @@ a unigram Viterbi splits the letter runs of host labels and path parts into
 words, and multinomial naive Bayes (add-one smoothing) weighs the words. The
 unigram counts are those of all words of all page texts; they stay a table, and
 every distinct run is split with the counts that its own substrings join to, so
-no vocabulary passes through the driver and none is cut. Naive Bayes learns from urls that a rule decides, at most `TRAIN_ROWS` of them, out of about
-`SCAN_ROWS` pages, both taken by the hash of the row, so a frequent url is drawn
-as often as it occurs. Without urls of both verdicts everything else is allowed; ties allow.
+no vocabulary passes through the driver and none is cut. Naive Bayes learns from
+urls that a rule decides, of each verdict the `TRAIN_ROWS` / 2 of least row hash
+among all of them, so a rare verdict is not lost; the prior is that of all decided
+urls. A frequent url is drawn as often as it occurs. Without urls of both verdicts
+everything else is allowed; ties allow.
 
 Null urls and urls without `://` have an empty host and path. Rows are judged one
 by one and may repeat; an empty table gives an empty result.
@@ -29,8 +31,6 @@ from ledgerflow.llm.common import ascii_lower, hot_join, stored
 
 RULES = {"com/": "allow", "example.com/en/": "block", "www.example.com/en/": "allow", "net/es/": "block", "net/fr/": "block"}
 TRAIN_ROWS, LONGEST = 20_000, 24
-#: pages looked at for training, so that what meets in one task does not grow with the table
-SCAN_ROWS = 64 * TRAIN_ROWS
 _RUN = re.compile(r"[^\W\d_]+|\d+")
 
 
@@ -168,29 +168,42 @@ def _tokens(segmenter):
     return split
 
 
-def drawn(labelled: DataFrame) -> DataFrame:
-    """At most `TRAIN_ROWS` rows of host, path, verdict; with page_id too, rows of one url are drawn apart."""
-    key = [c for c in labelled.columns if c != "tokens"]
-    return labelled.orderBy(F.xxhash64(*key), "host", "path").limit(TRAIN_ROWS)
+def verdict_counts(labelled: DataFrame) -> dict[str, int]:
+    return {r["verdict"]: r["count"] for r in labelled.groupBy("verdict").count().collect()}
+
+
+def drawn(labelled: DataFrame, counts: dict[str, int]) -> DataFrame:
+    """The `TRAIN_ROWS` / 2 rows of least hash of each verdict; with page_id too, rows of one url are drawn apart.
+
+    Hashes far above the last one taken are left out first, so that what meets in one task does not grow with the table.
+    """
+    space, each = 1 << 40, TRAIN_ROWS // 2
+    marked = labelled.withColumn("at", F.pmod(F.xxhash64(*[c for c in labelled.columns if c != "tokens"]), F.lit(space)))
+    sample = labelled.limit(0)
+    for verdict, n in sorted(counts.items()):
+        near = marked.where((F.col("verdict") == verdict) & (F.col("at") < int(space * min(1.0, 2 * each / n))))
+        sample = sample.unionByName(near.orderBy("at", "host", "path").limit(each).drop("at"))
+    return sample
 
 
 def fit(labelled: DataFrame, segmenter) -> dict[str, float]:
     """`odds_of` rows of host, path, verdict under a broadcast segmenter."""
-    sample = drawn(labelled).select("host", "path", "verdict")
-    return odds_of(sample.mapInArrow(_tokens(segmenter), "verdict string, tokens array<string>"))
+    counts = verdict_counts(labelled)
+    sample = drawn(labelled, counts).select("host", "path", "verdict")
+    return odds_of(sample.mapInArrow(_tokens(segmenter), "verdict string, tokens array<string>"), counts)
 
 
-def odds_of(seen: DataFrame) -> dict[str, float]:
+def odds_of(seen: DataFrame, verdicts: dict[str, int]) -> dict[str, float]:
     """Log odds of block against allow by token; '' holds the prior, None the unseen token.
 
-    `seen`: verdict, tokens.
+    `seen`: verdict, tokens of the drawn rows; `verdicts`: how many rows there are of each.
     """
-    block = F.when(F.col("verdict") == "block", 1).otherwise(0)
-    rows = seen.select(block.alias("y"), F.explode(F.concat(F.array(F.lit("")), "tokens")).alias("token"))
-    counts = {r["token"]: (r["a"], r["b"]) for r in rows.groupBy("token").agg(F.sum(1 - F.col("y")).alias("a"), F.sum("y").alias("b")).collect()}
-    allowed, blocked = counts.pop("", (0, 0))
+    allowed, blocked = verdicts.get("allow", 0), verdicts.get("block", 0)
     if not allowed or not blocked:
         return {}
+    block = F.when(F.col("verdict") == "block", 1).otherwise(0)
+    rows = seen.select(block.alias("y"), F.explode("tokens").alias("token"))
+    counts = {r["token"]: (r["a"], r["b"]) for r in rows.groupBy("token").agg(F.sum(1 - F.col("y")).alias("a"), F.sum("y").alias("b")).collect()}
     size = len(counts) + 1
     a_all, b_all = (sum(c[i] for c in counts.values()) + size for i in (0, 1))
     odds = {t: math.log((b + 1) / b_all) - math.log((a + 1) / a_all) for t, (a, b) in counts.items()}
@@ -220,9 +233,8 @@ def judged(pages: DataFrame, rules: dict[str, str] = RULES) -> DataFrame:
     decided = F.create_map(*[F.lit(x) for pair in rules.items() for x in pair])
     rows = rows.withColumn("verdict", F.element_at(decided, F.col("rule")))
     rows = stored(segmented(rows, word_counts(pages)))
-    draw = 1 << 40
-    near = F.pmod(F.xxhash64("page_id", "host", "path"), F.lit(draw)) < int(draw * min(1.0, SCAN_ROWS / max(rows.count(), 1)))
-    sample = drawn(rows.where("rule IS NOT NULL").where(near).select("page_id", "host", "path", "verdict", "tokens"))
-    model = spark.sparkContext.broadcast(odds_of(sample.select("verdict", "tokens")))
+    labelled = rows.where("rule IS NOT NULL").select("page_id", "host", "path", "verdict", "tokens")
+    counts = verdict_counts(labelled)
+    model = spark.sparkContext.broadcast(odds_of(drawn(labelled, counts).select("verdict", "tokens"), counts))
     scored = rows.mapInArrow(_judge(model), "page_id long, host string, path string, rule string, verdict string, tokens string, score double")
     return scored.withColumn("verdict", F.coalesce("verdict", F.when(F.col("score") > 0, F.lit("block")).otherwise(F.lit("allow"))))

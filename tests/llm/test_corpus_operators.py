@@ -381,6 +381,18 @@ def test_url_words_are_never_cut(spark):
     assert "h:cheap h:pills h:o h:r h:g p:farm p:0 p:cheap p:pills" in {r["tokens"] for r in got}
 
 
+def test_url_rare_verdict_is_learned(spark, monkeypatch):
+    """Three blocked urls among 1,500 decided ones are all drawn, and the prior counts all of them."""
+    monkeypatch.setattr(urls, "TRAIN_ROWS", 40)
+    text = "casino poker slots jackpot gamble garden flowers recipes"
+    rows = [(i, f"http://garden{i}.com/flowers/recipes", text) for i in range(1497)]
+    rows += [(i, "http://casino.net/es/poker/slots/jackpot/gamble", text) for i in range(2000, 2003)] + [(3000, "http://casino.org/poker/slots/jackpot/gamble", text), (3001, "http://garden.org/flowers/recipes", text)]
+    got = {r["page_id"]: r for r in urls.judged(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert (got[3000]["verdict"], got[3001]["verdict"]) == ("block", "allow")
+    labelled = spark.createDataFrame([(r["page_id"], r["host"], r["path"], r["verdict"]) for r in got.values() if r["rule"]], "page_id long, host string, path string, verdict string")
+    assert urls.verdict_counts(urls.drawn(labelled, urls.verdict_counts(labelled))) == {"allow": 20, "block": 3}
+
+
 def test_pipeline(spark, sf_dir, documents, texts):
     docs = documents
     for name, stage in corpus_pipeline.STAGES[:3]:
