@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.llm import chat, exact_dedup, mixing, pii, piece_encoding, quality, simhash, substring_dedup, token_counts, urls
+from ledgerflow.llm import chat, exact_dedup, merkle, mixing, pairwise_quality, pii, piece_encoding, quality, simhash, source_audit, substring_dedup, token_counts, urls
 from ledgerflow.llm.common import table
 
 
@@ -52,6 +52,18 @@ def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judged(table(spark, sf_dir, "pages")).drop("tokens", "score")
 
 
+def source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.divergence(table(spark, sf_dir, "documents"))
+
+
+def merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified(table(spark, sf_dir, "documents"), merkle.every_seventh())
+
+
+def pairwise_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pairwise_quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_quality_divergence": quality_rules,
     "op2_chat_round_trip": chat_formatting,
@@ -63,6 +75,9 @@ QUERIES = {
     "op8_exact_copies": exact_copies,
     "op9_near_copies": near_copies,
     "op10_url_filter": url_filter,
+    "op11_source_divergence": source_divergence,
+    "op12_merkle_manifest": merkle_manifest,
+    "op13_pairwise_quality": pairwise_scores,
 }
 
 _EXACT_SQL = """
@@ -75,4 +90,4 @@ grouped AS (
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM grouped
 """
 
-CHECKS = {"op2_chat_round_trip": chat.SQL, "op8_exact_copies": _EXACT_SQL}
+CHECKS = {"op2_chat_round_trip": chat.SQL, "op8_exact_copies": _EXACT_SQL, "op11_source_divergence": source_audit.SQL, "op12_merkle_manifest": merkle.SQL}
