@@ -267,10 +267,11 @@ _TYPED = {
     """,
     "bigint": """
         doc_entry document_number delivery_number payment_number ledger_transaction_id
-        transaction_id transaction_number source_doc_entry effective_source_doc_entry
+        transaction_id source_doc_entry effective_source_doc_entry
         doc_entry_sales_invoice movement_count installment_count paid_installment_count
-        open_installment_count partial_installment_count line_number source_line_number
+        open_installment_count partial_installment_count
     """,
+    "decimal(38,0)": "transaction_number line_number source_line_number",
     "int": """
         source_document_type usage_id main_usage_id
         branch_id group_code salesperson_code employee_code series_code series_number

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 import re
 import textwrap
@@ -28,6 +29,8 @@ DRIVER_PARAMS = Params(
     bridge_floor=dt.date(1997, 1, 1),
     bridge_default=dt.date(1997, 10, 1),
 )
+# the declared tests look days up in a calendar over the driver's dates
+TEST_PARAMS = dataclasses.replace(DRIVER_PARAMS, calendar_start=dt.date(1995, 1, 1), calendar_end=dt.date(2001, 12, 31))
 
 
 def warehouse(spark: SparkSession, sf_dir: str, params: Params = DRIVER_PARAMS) -> Warehouse:
@@ -43,7 +46,9 @@ def published(df: DataFrame) -> DataFrame:
     out = []
     for field in df.schema.fields:
         name = f"`{field.name}`"
-        if isinstance(field.dataType, T.DecimalType):
+        if isinstance(field.dataType, T.DecimalType) and field.dataType.scale == 0 and field.dataType.precision > 18:
+            name = f"CAST({name} AS STRING) AS {name}"  # long numbers, which a double would round
+        elif isinstance(field.dataType, T.DecimalType):
             name = f"CAST({name} AS DOUBLE) AS {name}"
         elif isinstance(field.dataType, T.DateType):
             name = f"CAST({name} AS STRING) AS {name}"
@@ -60,6 +65,7 @@ class Tables:
         self.spark = spark
         self._tables = DriverTables(spark, sf_dir)
         self.w = Warehouse(self._tables.raw, DRIVER_PARAMS)
+        self.tested = Warehouse(self._tables.raw, TEST_PARAMS)
 
     def __getattr__(self, name: str) -> DataFrame:
         return self._tables.table(name)
@@ -108,6 +114,8 @@ def with_dependencies(sql: str) -> str:
 
 def check_column(column: str, kind: str) -> str:
     """Check-side counterpart of `published` for one typed column."""
+    if kind == "decimal(38,0)":
+        return f"CAST(CAST({column} AS {kind}) AS VARCHAR) AS {column}"
     if kind.startswith("decimal"):
         return f"CAST(CAST({column} AS {kind}) AS DOUBLE) AS {column}"
     if kind == "date":

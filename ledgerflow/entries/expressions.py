@@ -32,6 +32,8 @@ def _staging_check(name: str) -> str:
             c = f"CAST(CAST({c} AS {rule}) AS DOUBLE)"
         elif rule == "date":
             c = f"CAST(CAST({c} AS DATE) AS VARCHAR)"
+        elif source in ("LineNum", "BaseLine", "DocLineNum", "TransNum"):
+            c = f"CAST({c} AS VARCHAR)"
         columns.append(f"{c} AS {staged}")
     return f"SELECT {', '.join(columns)}, strftime(_ingested_at, '%Y-%m-%d %H:%M:%S') AS _ingested_at FROM raw_{raw}"
 
@@ -119,9 +121,9 @@ def _codes(t):
 
 @query(
     "movement_type_slug",
-    "SELECT TransNum AS transaction_number, coalesce(map {"
-    + ", ".join(f"{k}: '{v}'" for k, v in codes.MOVEMENT_TYPE.items())
-    + "}[TransType], 'type_' || TransType) AS slug FROM raw_oinm",
+    "SELECT CAST(TransNum AS VARCHAR) AS transaction_number, CASE TransType "
+    + " ".join(f"WHEN {k} THEN '{v}'" for k, v in codes.MOVEMENT_TYPE.items())
+    + " ELSE 'type_' || TransType END AS slug FROM raw_oinm",
 )
 def _slug(t):
     return t.w.stage("inventory_movement_oinm").select(
@@ -131,8 +133,9 @@ def _slug(t):
 
 @query(
     "movement_direction",
-    """SELECT TransNum AS transaction_number,
-              ['value_adjustment', 'inflow', 'outflow', 'mixed'][1 + CAST(InQty > 0 AS INTEGER) + 2 * CAST(OutQty > 0 AS INTEGER)] AS direction
+    """SELECT CAST(TransNum AS VARCHAR) AS transaction_number,
+              CASE WHEN InQty > 0 AND OutQty = 0 THEN 'inflow' WHEN OutQty > 0 AND InQty = 0 THEN 'outflow'
+                   WHEN InQty = 0 AND OutQty = 0 THEN 'value_adjustment' ELSE 'mixed' END AS direction
        FROM raw_oinm""",
 )
 def _direction(t):
@@ -201,7 +204,8 @@ def _retired(t):
 
 @query(
     "active_status",
-    f"""SELECT c_custkey, CASE c_custkey % 4 WHEN 3 THEN 'active' ELSE 'inactive' END AS status FROM customer""",
+    f"""SELECT c_custkey, CASE WHEN strip_accents(lower(n)) LIKE 'nao utilizar%' THEN 'inactive' ELSE 'active' END AS status
+        FROM (SELECT c_custkey, {_MARKED_NAME} AS n FROM customer)""",
 )
 def _active(t):
     rows = t.customer.selectExpr("c_custkey", f"{_MARKED_NAME} AS n")
@@ -251,7 +255,8 @@ def _fallback(t):
 
 @query(
     "sign_rule",
-    """SELECT document_type, canceled, CAST(CASE WHEN (document_type = 'return') = (canceled = 'reversal') THEN 1 ELSE -1 END AS INTEGER) AS sign,
+    """SELECT document_type, canceled, CAST(CASE WHEN document_type = 'return' AND canceled = 'reversal' THEN 1
+                                                     WHEN document_type = 'return' OR canceled = 'reversal' THEN -1 ELSE 1 END AS INTEGER) AS sign,
               count(*) AS documents
        FROM m_sales_fiscal_documents GROUP BY ALL""",
 )
@@ -264,15 +269,15 @@ def _sign(t):
 @query(
     "signed_measures",
     """SELECT document_type, count(*) AS lines, CAST(sum(quantity) AS DOUBLE) AS quantity, CAST(sum(line_total) AS DOUBLE) AS line_total,
-              CAST(CAST(sum(total_cost) AS DECIMAL(20,6)) AS DOUBLE) AS total_cost,
-              CAST(CAST(sum(gross_profit) AS DECIMAL(20,6)) AS DOUBLE) AS gross_profit
+              CAST(CAST(sum(total_cost) AS DECIMAL(38,6)) AS DOUBLE) AS total_cost,
+              CAST(CAST(sum(gross_profit) AS DECIMAL(38,6)) AS DOUBLE) AS gross_profit
        FROM m_fact_sales GROUP BY 1""",
 )
 def _signed(t):
     additive = ("quantity", "line_total", "total_cost", "gross_profit")
     sales = t.w.model("fact_sales", "document_type", *additive)
     return sales.groupBy("document_type").agg(
-        F.count(F.lit(1)).alias("lines"), *(measures.money(F.sum(c)).alias(c) for c in additive)
+        F.count(F.lit(1)).alias("lines"), *(measures.total(F.sum(c)).alias(c) for c in additive)
     )
 
 
@@ -288,7 +293,7 @@ def _sentinel(t):
 
 @query(
     "guarded_division",
-    """SELECT TransNum AS transaction_number,
+    """SELECT CAST(TransNum AS VARCHAR) AS transaction_number,
               CASE WHEN CalcPrice > 0 THEN CAST(CAST(Balance / CalcPrice AS DECIMAL(20,6)) AS DOUBLE) END AS quantity_after
        FROM raw_oinm""",
 )
@@ -370,7 +375,7 @@ def _canceled_returns(t):
     return docs.where(keep).groupBy("document_type", "canceled").agg(F.count(F.lit(1)).alias("documents"))
 
 
-@query("filter_commercial_purchase", "SELECT DocEntry AS doc_entry, LineNum AS line_number FROM raw_pch1 WHERE Usage = 3")
+@query("filter_commercial_purchase", "SELECT DocEntry AS doc_entry, CAST(LineNum AS VARCHAR) AS line_number FROM raw_pch1 WHERE Usage = 3")
 def _commercial(t):
     lines = t.w.stage("purchase_invoice_lines_pch1").where(predicates.commercial_purchase(F.col("usage_id")))
     return lines.select("doc_entry", "line_number")
@@ -412,7 +417,7 @@ def _goals_mart(t):
 
 @query(
     "filter_closed_days",
-    f"SELECT TransNum AS transaction_number, CAST(CAST(DocDate AS DATE) AS VARCHAR) AS movement_date FROM raw_oinm WHERE DocDate < {day(AS_OF)}",
+    f"SELECT CAST(TransNum AS VARCHAR) AS transaction_number, CAST(CAST(DocDate AS DATE) AS VARCHAR) AS movement_date FROM raw_oinm WHERE DocDate < {day(AS_OF)}",
 )
 def _closed(t):
     rows = t.w.stage("inventory_movement_oinm").select("transaction_number", "movement_date")
@@ -431,7 +436,7 @@ def _active_warehouse(t):
 
 @query(
     "filter_freight_expense",
-    "SELECT DocEntry AS doc_entry, LineNum AS line_number, CAST(LineTotal AS DOUBLE) AS expense_amount FROM raw_inv3 WHERE ExpnsCode = 1",
+    "SELECT DocEntry AS doc_entry, CAST(LineNum AS VARCHAR) AS line_number, CAST(LineTotal AS DOUBLE) AS expense_amount FROM raw_inv3 WHERE ExpnsCode = 1",
 )
 def _freight(t):
     rows = t.w.stage("sales_invoice_expenses_inv3").where(predicates.freight_expense(F.col("expense_code")))
@@ -447,7 +452,7 @@ def _types(t):
     """The constant type of each union branch lets the optimizer drop the others."""
     lines = t.w.model("sales_fiscal_lines", "document_type", "line_total")
     return lines.where(F.col("document_type").isin("invoice", "return")).groupBy("document_type").agg(
-        F.count(F.lit(1)).alias("lines"), measures.money(F.sum("line_total")).alias("line_total")
+        F.count(F.lit(1)).alias("lines"), measures.total(F.sum("line_total")).alias("line_total")
     )
 
 

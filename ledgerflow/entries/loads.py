@@ -3,28 +3,32 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import functions as F
 
 from ledgerflow.entries.base import query
+from ledgerflow.session import work_folder
 from ledgerflow.sources import audit, loads, sheets, sinks
+from ledgerflow.sources.families import audit_log, load_family
 from ledgerflow.sources.staging import stamp_ingested_at
+from ledgerflow.sources.store import Store
 
 # ---- splits of driver tables into an older target and a newer source --------
 
 _EVENT_TARGET = """
 SELECT event_id, CAST(ts AS DATE) AS day, user_id, event_type, value
-FROM events WHERE CAST(ts AS DATE) <= DATE '2024-01-20' AND event_id % 17 <> 3"""
+FROM events WHERE CAST(ts AS DATE) <= DATE '2024-01-20'"""
 _EVENT_SOURCE = """
 SELECT event_id, CAST(ts AS DATE) AS day, user_id, event_type,
        CASE WHEN event_id % 5 = 0 THEN value + 100 ELSE value END AS value
-FROM events WHERE event_id % 19 <> 4"""
+FROM events"""
 _EVENT_OUT = "event_id, CAST(day AS VARCHAR) AS day, user_id, event_type, value"
 
 
 def event_target(t):
     return t.events.selectExpr("event_id", "CAST(ts AS DATE) AS day", "user_id", "event_type", "value").where(
-        "day <= DATE '2024-01-20' AND event_id % 17 <> 3"
+        "day <= DATE '2024-01-20'"
     )
 
 
@@ -32,20 +36,20 @@ def event_source(t):
     return t.events.selectExpr(
         "event_id", "CAST(ts AS DATE) AS day", "user_id", "event_type",
         "CASE WHEN event_id % 5 = 0 THEN value + 100 ELSE value END AS value",
-    ).where("event_id % 19 <> 4")
+    )
 
 
 _HEADER = """o_orderkey AS DocEntry, CAST(o_orderdate AS DATE) AS UpdateDate,
        CAST((o_orderkey * 7) % 240000 AS INTEGER) AS UpdateTS, o_custkey AS CardCode"""
 _MOVED = "CASE WHEN o_orderkey % 97 = 5 THEN DATE '2001-08-01' + 1 ELSE CAST(o_orderdate AS DATE) END"
-_HEADER_TARGET = f"SELECT {_HEADER}, o_totalprice AS DocTotal FROM orders WHERE o_orderkey % 23 <> 7 AND o_orderdate < TIMESTAMP '2001-07-01'"
+_HEADER_TARGET = f"SELECT {_HEADER}, o_totalprice AS DocTotal FROM orders WHERE o_orderdate < TIMESTAMP '2001-07-01'"
 _HEADER_SOURCE = f"""
 SELECT o_orderkey AS DocEntry, {_MOVED} AS UpdateDate, CAST((o_orderkey * 7) % 240000 AS INTEGER) AS UpdateTS,
        o_custkey AS CardCode, o_totalprice + 1 AS DocTotal FROM orders"""
 
 
 def header_target(t):
-    return t.orders.where("o_orderkey % 23 <> 7 AND o_orderdate < TIMESTAMP_NTZ '2001-07-01 00:00:00'").selectExpr(
+    return t.orders.where("o_orderdate < TIMESTAMP_NTZ '2001-07-01 00:00:00'").selectExpr(
         "o_orderkey AS DocEntry", "CAST(o_orderdate AS DATE) AS UpdateDate",
         "CAST((o_orderkey * 7) % 240000 AS INT) AS UpdateTS", "o_custkey AS CardCode", "o_totalprice AS DocTotal",
     )
@@ -63,13 +67,13 @@ _CHILD = "l_orderkey AS DocEntry, l_linenumber AS LineNum, l_partkey AS ItemKey"
 
 
 def child_target(t):
-    return t.lineitem.where("l_orderkey % 23 <> 7 AND l_linenumber <> 2").selectExpr(
+    return t.lineitem.where("l_shipdate < TIMESTAMP_NTZ '2001-07-01 00:00:00'").selectExpr(
         "l_orderkey AS DocEntry", "l_linenumber AS LineNum", "l_partkey AS ItemKey", "l_quantity AS Quantity"
     )
 
 
 def child_source(t):
-    return t.lineitem.where("l_orderkey % 97 <> 5 OR l_orderkey % 2 = 0").selectExpr(
+    return t.lineitem.selectExpr(
         "l_orderkey AS DocEntry", "l_linenumber AS LineNum", "l_partkey AS ItemKey", "l_quantity + 1 AS Quantity"
     )
 
@@ -138,9 +142,9 @@ def _composite(t):
     "load_via_header",
     f"""{_FAMILY}, delta AS (
         SELECT {_CHILD}, l_quantity + 1 AS Quantity FROM lineitem
-        WHERE (l_orderkey % 97 <> 5 OR l_orderkey % 2 = 0) AND l_orderkey IN (SELECT DocEntry FROM changed))
+        WHERE l_orderkey IN (SELECT DocEntry FROM changed))
     SELECT {_CHILD}, l_quantity AS Quantity FROM lineitem
-    WHERE l_orderkey % 23 <> 7 AND l_linenumber <> 2 AND l_orderkey NOT IN (SELECT DocEntry FROM delta)
+    WHERE l_shipdate < TIMESTAMP '2001-07-01' AND l_orderkey NOT IN (SELECT DocEntry FROM delta)
     UNION ALL SELECT * FROM delta""",
 )
 def _via_header(t):
@@ -149,6 +153,40 @@ def _via_header(t):
     return loads.load_family(target, source, "header")["lines"]
 
 
+@query(
+    "load_family_stored",
+    f"""{_FAMILY}, delta AS (
+        SELECT {_CHILD}, l_quantity + 1 AS Quantity FROM lineitem
+        WHERE l_orderkey IN (SELECT DocEntry FROM changed))
+    SELECT {_CHILD}, l_quantity AS Quantity FROM lineitem
+    WHERE l_shipdate < TIMESTAMP '2001-07-01' AND l_orderkey NOT IN (SELECT DocEntry FROM delta)
+    UNION ALL SELECT * FROM delta""",
+)
+def _family_stored(t):
+    """Lines after a first load and a second one, as the store publishes them."""
+    return _loaded_family(t).read("lines")
+
+
+@query(
+    "load_family_audit",
+    f"""{_FAMILY}
+    SELECT 'first' AS execution_id, 'header' AS table_name, 'full_reload' AS strategy, 'success' AS status, count(*) AS row_count FROM ht
+    UNION ALL SELECT 'first', 'lines', 'full_reload', 'success', count(*) FROM lineitem WHERE l_shipdate < TIMESTAMP '2001-07-01'
+    UNION ALL SELECT 'second', 'header', 'upsert', 'success', count(*) FROM changed
+    UNION ALL SELECT 'second', 'lines', 'via_header', 'success', count(*) FROM lineitem
+    WHERE l_orderkey IN (SELECT DocEntry FROM changed)""",
+)
+def _family_audit(t):
+    return audit_log(_loaded_family(t)).select("execution_id", "table_name", "strategy", "status", "row_count")
+
+
+def _loaded_family(t):
+    store = Store(t.spark, f"{work_folder(t.spark)}/store/{uuid.uuid4().hex}")
+    load_family(store, {"header": header_target(t), "lines": child_target(t)}, "header", "first")
+    load_family(store, {"header": header_source(t), "lines": child_source(t)}, "header", "second")
+    return store
+
+
 @query(
     "load_append_cutoff_day",
     f"""WITH tgt AS ({_EVENT_TARGET}), mark AS (SELECT max(day) AS d FROM tgt)
@@ -174,29 +212,59 @@ def _capture(t):
            CASE WHEN n.c_custkey IS NULL THEN o.c_acctbal ELSE n.c_acctbal END AS c_acctbal, o.notes,
            CASE WHEN n.c_custkey IS NULL THEN o._updated_at ELSE '2026-01-01 00:00:00' END AS _updated_at
     FROM (SELECT c_custkey, c_name, c_acctbal, c_mktsegment AS notes, '2020-01-01 00:00:00' AS _updated_at
-          FROM customer WHERE c_custkey % 3 <> 0) o
-    FULL JOIN (SELECT c_custkey, upper(c_name) AS c_name, CASE WHEN c_custkey % 7 <> 0 THEN c_acctbal + 1 END AS c_acctbal
-               FROM customer WHERE c_custkey % 2 = 0) n ON n.c_custkey = o.c_custkey
+          FROM customer) o
+    FULL JOIN (SELECT CASE WHEN c_custkey % 2 = 0 THEN c_custkey ELSE c_custkey + 1000000000 END AS c_custkey, upper(c_name) AS c_name,
+                      CASE WHEN c_custkey % 7 <> 0 THEN c_acctbal + 1 END AS c_acctbal FROM customer) n ON n.c_custkey = o.c_custkey
     """,
 )
 def _merge(t):
-    target = t.customer.where("c_custkey % 3 <> 0").selectExpr(
+    target = t.customer.selectExpr(
         "c_custkey", "c_name", "c_acctbal", "c_mktsegment AS notes", "TIMESTAMP_NTZ '2020-01-01 00:00:00' AS _updated_at"
     )
-    src = t.customer.where("c_custkey % 2 = 0").selectExpr(
-        "c_custkey", "upper(c_name) AS c_name", "CASE WHEN c_custkey % 7 <> 0 THEN c_acctbal + 1 END AS c_acctbal"
+    src = t.customer.selectExpr(
+        "CASE WHEN c_custkey % 2 = 0 THEN c_custkey ELSE c_custkey + 1000000000 END AS c_custkey", "upper(c_name) AS c_name", "CASE WHEN c_custkey % 7 <> 0 THEN c_acctbal + 1 END AS c_acctbal"
     )
     run_ts = F.lit("2026-01-01 00:00:00").cast("timestamp_ntz")
     return loads.merge_upsert(target, src, ["c_custkey"], "_updated_at", run_ts)
 
 
+@query(
+    "merge_upsert_stored",
+    """
+    SELECT coalesce(o.c_custkey, n.c_custkey) AS c_custkey, coalesce(n.c_name, o.c_name) AS c_name,
+           CASE WHEN n.c_custkey IS NULL THEN o.c_acctbal ELSE n.c_acctbal END AS c_acctbal, o.notes,
+           CASE WHEN n.c_custkey IS NULL THEN o._updated_at ELSE '2026-01-01 00:00:00' END AS _updated_at
+    FROM (SELECT c_custkey, c_name, c_acctbal, c_mktsegment AS notes, '2020-01-01 00:00:00' AS _updated_at FROM customer) o
+    FULL JOIN (SELECT o_custkey AS c_custkey, 'order ' || o_orderkey AS c_name, o_totalprice AS c_acctbal FROM orders
+               WHERE o_orderstatus = 'F'
+               QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1) n
+      ON n.c_custkey = o.c_custkey
+    """,
+)
+def _merge_stored(t):
+    """A stored table takes the newest closed order of every customer; a key repeats in the source."""
+    store = Store(t.spark, f"{work_folder(t.spark)}/store/{uuid.uuid4().hex}")
+    change = store.change()
+    target = t.customer.selectExpr(
+        "c_custkey", "c_name", "c_acctbal", "c_mktsegment AS notes", "TIMESTAMP_NTZ '2020-01-01 00:00:00' AS _updated_at"
+    )
+    change.create("customer", target, ["c_custkey"])
+    change.commit()
+    src = t.orders.where("o_orderstatus = 'F'").selectExpr(
+        "o_custkey AS c_custkey", "'order ' || CAST(o_orderkey AS STRING) AS c_name", "o_totalprice AS c_acctbal", "o_orderdate", "o_orderkey"
+    )
+    change = store.change()
+    change.merge("customer", src, ["o_orderdate", "o_orderkey"], "_updated_at", F.lit("2026-01-01 00:00:00").cast("timestamp_ntz"))
+    return store.read("customer", change.commit())
+
+
 @query(
     "check_idempotent_counts",
     """
     SELECT b.table_name, b.n AS after_round1, a.n AS after_round2, a.n - b.n AS delta
     FROM (SELECT 'lines' AS table_name, count(*) AS n FROM lineitem UNION ALL SELECT 'orders', count(*) FROM orders
           UNION ALL SELECT 'events', count(*) FROM events) b
-    JOIN (SELECT 'lines' AS table_name, count(*) AS n FROM lineitem WHERE l_linenumber <> 2
+    JOIN (SELECT 'lines' AS table_name, count(*) AS n FROM lineitem WHERE l_shipdate < TIMESTAMP '2001-07-01'
           UNION ALL SELECT 'orders', count(*) FROM orders
           UNION ALL SELECT 'events', count(*) + count(*) FILTER (event_type = 'error') FROM events) a USING (table_name)
     """,
@@ -204,7 +272,8 @@ def _merge(t):
 def _idempotent(t):
     before = loads.row_counts({"lines": t.lineitem, "orders": t.orders, "events": t.events})
     doubled = t.events.unionByName(t.events.where("event_type = 'error'"))
-    after = loads.row_counts({"lines": t.lineitem.where("l_linenumber <> 2"), "orders": t.orders, "events": doubled})
+    older = t.lineitem.where("l_shipdate < TIMESTAMP_NTZ '2001-07-01 00:00:00'")
+    after = loads.row_counts({"lines": older, "orders": t.orders, "events": doubled})
     return loads.compare_counts(before, after)
 
 
@@ -300,7 +369,10 @@ def _infer(t):
     """,
 )
 def _snapshot(t):
-    return sheets.sheet_snapshot(sheet(t), F.lit("2026-01-01 06:00:00"))
+    """The sheet is exported as CSV and read from there."""
+    path = f"{work_folder(t.spark)}/sheets/{uuid.uuid4().hex}"
+    sheets.write_export(sheet(t), path)
+    return sheets.load_sheet(t.spark, path, F.lit("2026-01-01 06:00:00"))[0]
 
 
 @query(
@@ -354,7 +426,7 @@ _LOG_OUT = (
 )
 
 
-def audit_log(t):
+def event_log(t):
     return t.events.selectExpr(*_LOG_COLUMNS)
 
 
@@ -402,7 +474,7 @@ def _heal(t):
         .agg(F.max("ts").alias("last"))
         .selectExpr("table_name", "last + INTERVAL 1 HOUR AS new_start")
     )
-    return audit.self_heal(audit_log(t), starts)
+    return audit.self_heal(event_log(t), starts)
 
 
 @query(
@@ -416,7 +488,7 @@ def _heal(t):
     """,
 )
 def _orphans(t):
-    return audit.cleanup_orphans(audit_log(t), NOW)
+    return audit.cleanup_orphans(event_log(t), NOW)
 
 
 _LATEST = f"(SELECT * FROM ({_LOG}) QUALIFY row_number() OVER (PARTITION BY table_name ORDER BY started_at DESC, id DESC) = 1)"
@@ -424,7 +496,7 @@ _LATEST = f"(SELECT * FROM ({_LOG}) QUALIFY row_number() OVER (PARTITION BY tabl
 
 @query("latest_audit_row", f"SELECT {_LOG_OUT} FROM {_LATEST}")
 def _latest(t):
-    return audit.latest_loads(audit_log(t))
+    return audit.latest_loads(event_log(t))
 
 
 @query(
@@ -437,7 +509,7 @@ def _latest(t):
     """,
 )
 def _issues(t):
-    return audit.issues(audit_log(t), NOW)
+    return audit.issues(event_log(t), NOW)
 
 
 _JOB = (
@@ -475,5 +547,5 @@ def _jobs(t):
     """,
 )
 def _summary(t):
-    log = audit_log(t).where("started_at >= TIMESTAMP_NTZ '2024-01-10 00:00:00'")
+    log = event_log(t).where("started_at >= TIMESTAMP_NTZ '2024-01-10 00:00:00'")
     return audit.round_summary(log, NOW)

@@ -308,7 +308,7 @@ FROM (SELECT channel, CAST("Data" AS DATE) AS date, "Vendedor" AS original_goal_
       QUALIFY row_number() OVER (PARTITION BY channel, CAST("Data" AS DATE), "Vendedor", "Loja"
                                  ORDER BY _ingested_at DESC, "Ordem Vendedor" DESC) = 1) g
 LEFT JOIN m_standardized_store s
-    ON s.old_store_name = replace(lower(trim(g.original_goal_store)), 'bonsucesso - rj', 'bonsucesso')
+    ON s.old_store_name = CASE WHEN lower(trim(g.original_goal_store)) = 'bonsucesso - rj' THEN 'bonsucesso' ELSE lower(trim(g.original_goal_store)) END
 LEFT JOIN m_salesperson_bridge b
     ON {fold('b.normalized_name')} = {fold('g.normalized_name')}
     AND g.date BETWEEN b.valid_from AND coalesce(b.valid_to, DATE '9999-12-31')
@@ -447,9 +447,14 @@ LEFT JOIN m_warehouse h ON h.warehouse_code = m.Warehouse"""
 
 # ---- marts -----------------------------------------------------------------------
 
+MODEL_SQL["dim_date"] = """
+SELECT date, quarter(date) AS quarter, month(date) AS month, dayofweek(date) + 1 AS day_of_week,
+       CASE WHEN dayofweek(date) IN (0, 6) THEN 'yes' ELSE 'no' END AS weekend
+FROM (SELECT CAST(unnest(generate_series(DATE '1995-01-01', DATE '2001-12-31', INTERVAL 1 DAY)) AS DATE) AS date)"""
+
 MODEL_SQL["dim_item"] = """
-SELECT *, CASE WHEN is_sellable = 'yes' AND is_stockable IN ('yes', 'no')
-                    THEN CASE is_stockable WHEN 'yes' THEN 'product' ELSE 'service' END
+SELECT *, CASE WHEN is_sellable = 'yes' AND is_stockable = 'yes' THEN 'product'
+               WHEN is_sellable = 'yes' AND is_stockable = 'no' THEN 'service'
                WHEN is_sellable = 'no' AND is_purchased = 'yes' THEN 'administrative purchase'
                ELSE 'others' END AS item_type,
        left(item_code, 2) AS code_prefix,
@@ -459,8 +464,8 @@ FROM m_item"""
 
 MODEL_SQL["dim_partner"] = """
 SELECT *, CASE WHEN starts_with(cpf_cnpj_normalized, 'SAP') THEN 'no document'
-               ELSE coalesce(map {11: 'cpf', 14: 'cnpj'}[length(rtrim(cpf_cnpj_normalized))], 'irregular')
-          END AS cpf_cnpj_type
+               WHEN length(rtrim(cpf_cnpj_normalized)) = 11 THEN 'cpf' WHEN length(rtrim(cpf_cnpj_normalized)) = 14 THEN 'cnpj'
+               ELSE 'irregular' END AS cpf_cnpj_type
 FROM m_partner"""
 
 MODEL_SQL["dim_employees"] = f"""
@@ -485,8 +490,8 @@ SELECT document_id, l.document_type, l.doc_entry, l.line_number, document_number
        l.unit_price, l.price_before_discount, l.discount_percentage, l.inventory_cost_price, l.bdi_price, l.cost_price,
        l.margin AS sap_margin
 FROM m_sales_fiscal_lines l
-JOIN (SELECT *, CASE document_type || '/' || canceled WHEN 'return/reversal' THEN 1 WHEN 'invoice/no' THEN 1
-                     WHEN 'invoice/canceled' THEN 1 ELSE -1 END AS sgn
+JOIN (SELECT *, CASE WHEN document_type = 'return' AND canceled = 'reversal' THEN 1
+                     WHEN document_type = 'return' OR canceled = 'reversal' THEN -1 ELSE 1 END AS sgn
       FROM m_sales_fiscal_documents WHERE document_type IN ('invoice', 'return')) d
   ON d.document_type = l.document_type AND d.doc_entry = l.doc_entry
 WHERE d.document_show_in_bi = 'yes'

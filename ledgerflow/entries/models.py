@@ -92,8 +92,9 @@ def _dim_date(t):
     "int_salesperson_bridge_step",
     f"""
     WITH moved AS (
-        SELECT b.*, CASE WHEN b.salesperson_code % 4 = 1 THEN 'x' || b.store_code ELSE b.store_code END AS was
-        FROM m_salesperson_bridge b WHERE b.salesperson_code % 5 <> 2),
+        SELECT b.* REPLACE (CASE WHEN b.salesperson_code % 5 = 2 THEN b.salesperson_code + 1000 ELSE b.salesperson_code END AS salesperson_code),
+               CASE WHEN b.salesperson_code % 4 = 1 THEN 'x' || b.store_code ELSE b.store_code END AS was
+        FROM m_salesperson_bridge b),
     closed AS (
         SELECT m.* REPLACE (m.was AS store_code,
                  CASE WHEN EXISTS (SELECT 1 FROM raw_oslp o WHERE o.SlpCode = m.salesperson_code
@@ -109,12 +110,12 @@ def _dim_date(t):
     """,
 )
 def _bridge_step(t):
-    """Forward run on a state where some codes sat in another store and some were unknown."""
+    """Forward run on a state where some codes sat in another store and some had another number."""
     base = t.w.model("salesperson_bridge")
     code = F.col("salesperson_code")
-    earlier = base.where(code % 5 != 2).withColumn(
+    earlier = base.withColumn(
         "store_code", F.when(code % 4 == 1, F.concat(F.lit("x"), F.col("store_code"))).otherwise(F.col("store_code"))
-    )
+    ).withColumn("salesperson_code", F.when(code % 5 == 2, code + 1000).otherwise(code))
     return salesperson_bridge_step(t.w, earlier)
 
 

@@ -3,24 +3,29 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ledgerflow.contract import column_type
 from ledgerflow.entries.base import DRIVER_PARAMS, query
 from ledgerflow.entries.model_sql import day, fold
 from ledgerflow.functions import predicates, text
-from ledgerflow.functions.measures import guarded_ratio, money
+from ledgerflow.functions.measures import guarded_ratio, total
 from ledgerflow.operators import quality
+from ledgerflow.operators.as_of import as_of_join, overlap_offenders
 from ledgerflow.operators.joins import (
     code_or_name, lookup, match_key, overlapping_periods, temporal_left_join,
 )
 from ledgerflow.operators.latest import first_per_key, latest_per_key
 from ledgerflow.operators.setops import union_bricks, union_labelled
-from ledgerflow.operators.skew import join_lines_to_headers
+from ledgerflow.operators.skew import anti_join, join_lines_to_headers, semi_join
+from ledgerflow.plans.catalogue import CATALOGUE, catalogue_results
 from ledgerflow.plans.common import goal_rows
 from ledgerflow.plans.marts import days_between, outflow_windows
 from ledgerflow.plans.sales import GOAL_KEY, goals_with_store
+from ledgerflow.session import work_folder
 from ledgerflow.sources import loads
 from ledgerflow.streaming.daily_close import closed_day_flow
 from ledgerflow.streaming.upsert_latest import newest_of
@@ -33,21 +38,20 @@ AS_OF = DRIVER_PARAMS.as_of
 @query(
     "join_lookup_left",
     """SELECT o.o_orderkey, c.c_name, n.n_name AS nation, r.r_name AS region FROM orders o
-       LEFT JOIN customer c ON c.c_custkey = o.o_custkey LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey AND n.n_nationkey <> 4
+       LEFT JOIN customer c ON c.c_custkey = o.o_custkey LEFT JOIN nation n ON n.n_nationkey = CASE WHEN c.c_nationkey = 4 THEN 99 ELSE c.c_nationkey END
        LEFT JOIN region r ON r.r_regionkey = n.n_regionkey""",
 )
 def _lookup(t):
     df = t.orders.select("o_orderkey", F.col("o_custkey").alias("c_custkey"))
-    df = lookup(df, t.customer, {"c_custkey": "c_custkey"}, {"c_name": F.col("c_name"), "nk": F.col("c_nationkey")})
-    nations = t.nation.where("n_nationkey <> 4")
-    df = lookup(df, nations, {"nk": "n_nationkey"}, {"nation": F.col("n_name"), "rk": F.col("n_regionkey")})
+    df = lookup(df, t.customer, {"c_custkey": "c_custkey"}, {"c_name": F.col("c_name"), "nk": F.expr("CASE WHEN c_nationkey = 4 THEN 99 ELSE c_nationkey END")})
+    df = lookup(df, t.nation, {"nk": "n_nationkey"}, {"nation": F.col("n_name"), "rk": F.col("n_regionkey")})
     df = lookup(df, t.region, {"rk": "r_regionkey"}, {"region": F.col("r_name")})
     return df.select("o_orderkey", "c_name", "nation", "region")
 
 
 @query(
     "join_lines_headers",
-    """SELECT l.document_type, l.doc_entry, l.line_number, d.document_number, CAST(l.line_total AS DOUBLE) AS line_total
+    """SELECT l.document_type, l.doc_entry, CAST(l.line_number AS VARCHAR) AS line_number, d.document_number, CAST(l.line_total AS DOUBLE) AS line_total
        FROM m_sales_fiscal_lines l JOIN m_sales_fiscal_documents d
          ON l.document_type = d.document_type AND l.doc_entry = d.doc_entry""",
 )
@@ -60,7 +64,7 @@ def _lines_headers(t):
 
 @query(
     "join_composite_left",
-    """SELECT l.DocEntry AS doc_entry, l.LineNum AS line_number, CAST(p.bdi_price AS DOUBLE) AS bdi_price, p.line_key, u.main_usage_id
+    """SELECT l.DocEntry AS doc_entry, CAST(l.LineNum AS VARCHAR) AS line_number, CAST(p.bdi_price AS DOUBLE) AS bdi_price, p.line_key, u.main_usage_id
        FROM raw_inv1 l LEFT JOIN m_sales_prices_invoice p ON p.doc_entry = l.DocEntry AND p.line_number = l.LineNum
        LEFT JOIN m_sales_fiscal_usage_invoice u ON u.doc_entry = l.DocEntry""",
 )
@@ -144,9 +148,8 @@ def _temporal(t):
         "event_id", F.concat(F.lit("Usuário "), user).alias("name"), F.col("ts").cast("date").alias("day")
     )
     periods = event_periods(t).withColumn("name", F.concat(F.lit("USUARIO "), user)).drop("user_id")
-    return temporal_left_join(errors, periods, "name", "day", "day_from", "day_to").select(
-        "event_id", "name", "day", "version"
-    )
+    joined = as_of_join(errors, periods, "name", "day", "day_from", "day_to", {"version": "version"})
+    return joined.select("event_id", "name", "day", "version")
 
 
 @query(
@@ -196,7 +199,7 @@ def _remapped(t):
 )
 def _anti(t):
     big = t.orders.where("o_orderstatus = 'F' AND o_totalprice > 200000D").select(F.col("o_custkey").alias("c_custkey"))
-    return t.customer.join(big, "c_custkey", "left_anti").select("c_custkey", "c_name")
+    return anti_join(t.customer.select("c_custkey", "c_name"), big, ["c_custkey"])
 
 
 @query(
@@ -213,7 +216,7 @@ def _semi_inequality(t):
     lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     span = lines.groupBy("l_orderkey").agg(F.min("l_suppkey").alias("low"), F.max("l_suppkey").alias("high"))
     several = span.where("low <> high").select("l_orderkey")
-    return lines.join(several, "l_orderkey", "left_semi")
+    return semi_join(lines, several, ["l_orderkey"])
 
 
 @query(
@@ -222,7 +225,7 @@ def _semi_inequality(t):
 )
 def _semi(t):
     recent = t.orders.where("o_orderdate > TIMESTAMP_NTZ '2001-01-01 00:00:00'").select(F.col("o_orderkey").alias("l_orderkey"))
-    return t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey").join(recent, "l_orderkey", "left_semi")
+    return semi_join(t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey"), recent, ["l_orderkey"])
 
 
 @query(
@@ -289,7 +292,7 @@ def _aggregates(t):
 )
 def _delete(t):
     gone = t.customer.where("c_mktsegment = 'MACHINERY'").select(F.col("c_custkey").alias("o_custkey"))
-    return t.orders.join(gone, "o_custkey", "left_anti").select("o_orderkey", "o_totalprice")
+    return anti_join(t.orders.select("o_orderkey", "o_totalprice", "o_custkey"), gone, ["o_custkey"]).drop("o_custkey")
 
 
 # ---- aggregations ------------------------------------------------------------------
@@ -303,7 +306,7 @@ def _delete(t):
 )
 def _basic(t):
     return t.w.stage("sales_invoice_installments_inv6").groupBy("doc_entry").agg(
-        money(F.sum("installment_amount")).alias("total"), F.count(F.lit(1)).alias("installments"),
+        total(F.sum("installment_amount")).alias("total"), F.count(F.lit(1)).alias("installments"),
         F.min("due_date").alias("first_due"), F.max("due_date").alias("last_due"),
     )
 
@@ -354,7 +357,7 @@ def _last_event(t):
 def _distinct(t):
     """Headers with a qualifying line: a semi-join leaves each header once."""
     returned = t.lineitem.where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("o_orderkey"))
-    return t.orders.select("o_orderkey", "o_custkey").join(returned, "o_orderkey", "left_semi")
+    return semi_join(t.orders.select("o_orderkey", "o_custkey"), returned, ["o_orderkey"])
 
 
 @query(
@@ -422,7 +425,7 @@ def _dedup(t):
 @query(
     "end_of_day_state",
     """SELECT ItemCode AS item_code, Warehouse AS warehouse_code, CAST(CAST(DocDate AS DATE) AS VARCHAR) AS movement_date,
-              TransNum AS transaction_number, CAST(Balance AS DOUBLE) AS balance FROM raw_oinm
+              CAST(TransNum AS VARCHAR) AS transaction_number, CAST(Balance AS DOUBLE) AS balance FROM raw_oinm
        QUALIFY row_number() OVER (PARTITION BY ItemCode, Warehouse, CAST(DocDate AS DATE) ORDER BY TransNum DESC) = 1""",
 )
 def _end_of_day(t):
@@ -492,7 +495,7 @@ def _union_goals(t):
 # ---- data quality ------------------------------------------------------------------------------
 
 
-@query("dq_not_null", "SELECT document_type, doc_entry, line_number FROM m_fact_sales WHERE employee_code IS NULL")
+@query("dq_not_null", "SELECT document_type, doc_entry, CAST(line_number AS VARCHAR) AS line_number FROM m_fact_sales WHERE employee_code IS NULL")
 def _not_null(t):
     sales = t.w.model("fact_sales", "document_type", "doc_entry", "line_number", "employee_code")
     return quality.not_null(sales, "employee_code").drop("employee_code")
@@ -522,7 +525,7 @@ def _accepted(t):
 
 @query(
     "dq_relationships",
-    """SELECT document_type, doc_entry, line_number, warehouse_code FROM m_fact_sales
+    """SELECT document_type, doc_entry, CAST(line_number AS VARCHAR) AS line_number, warehouse_code FROM m_fact_sales
        WHERE document_type = 'invoice' AND warehouse_code IS NOT NULL AND warehouse_code NOT IN (SELECT warehouse_code FROM m_dim_warehouse)""",
 )
 def _relationships(t):
@@ -533,7 +536,7 @@ def _relationships(t):
 
 @query(
     "dq_accepted_range",
-    "SELECT document_type, doc_entry, line_number, CAST(gross_profit AS DOUBLE) AS gross_profit FROM m_fact_sales WHERE CAST(gross_profit AS DECIMAL(20,6)) < 0",
+    "SELECT document_type, doc_entry, CAST(line_number AS VARCHAR) AS line_number, CAST(gross_profit AS DOUBLE) AS gross_profit FROM m_fact_sales WHERE CAST(gross_profit AS DECIMAL(20,6)) < 0",
 )
 def _range(t):
     sales = t.w.model("fact_sales", "document_type", "doc_entry", "line_number", "gross_profit")
@@ -559,7 +562,7 @@ _XOR = ("transaction_id", "line_number", "ledger_account", "debit", "credit")
 
 @query(
     "dq_debit_xor_credit",
-    f"SELECT transaction_id, line_number, ledger_account, CAST(debit AS DOUBLE) AS debit, CAST(credit AS DOUBLE) AS credit FROM {_JOURNAL} WHERE least(debit, credit) > 0",
+    f"SELECT transaction_id, CAST(line_number AS VARCHAR) AS line_number, ledger_account, CAST(debit AS DOUBLE) AS debit, CAST(credit AS DOUBLE) AS credit FROM {_JOURNAL} WHERE least(debit, credit) > 0",
 )
 def _xor(t):
     return quality.debit_xor_credit(t.w.model("finance_journal_entries", *_XOR))
@@ -573,11 +576,10 @@ _STRETCHED = """(SELECT salesperson_code, store_code, valid_from, CASE copy WHEN
 def stretched_bridge(t):
     """Two versions per salesperson; for the lower codes the second starts before the first ends."""
     base = t.w.model("salesperson_bridge", "salesperson_code", "store_code", "valid_from")
-    first = base.withColumn("valid_to", F.date_add("valid_from", 400))
-    second = base.withColumn("valid_from", F.date_add("valid_from", (F.col("salesperson_code") * 20 + 300))).withColumn(
-        "valid_to", F.lit(None).cast("date")
-    )
-    return first.unionByName(second)
+    first = F.struct(F.col("valid_from"), F.date_add("valid_from", 400).alias("valid_to"))
+    later = F.date_add("valid_from", (F.col("salesperson_code") * 20 + 300))
+    second = F.struct(later.alias("valid_from"), F.lit(None).cast("date").alias("valid_to"))
+    return base.select("salesperson_code", "store_code", F.inline(F.array(first, second)))
 
 
 @query(
@@ -586,10 +588,13 @@ def stretched_bridge(t):
                CAST(b.valid_from AS VARCHAR) AS start_b, CAST(b.valid_to AS VARCHAR) AS end_b
         FROM {_STRETCHED} a JOIN {_STRETCHED} b USING (salesperson_code, store_code)
         WHERE a.valid_from < b.valid_from AND b.valid_from <= coalesce(a.valid_to, DATE '9999-12-31')
-          AND a.valid_from <= coalesce(b.valid_to, DATE '9999-12-31')""",
+          AND a.valid_from <= coalesce(b.valid_to, DATE '9999-12-31')
+        QUALIFY row_number() OVER (PARTITION BY salesperson_code, store_code, b.valid_from, b.valid_to
+                                   ORDER BY coalesce(a.valid_to, DATE '9999-12-31') DESC, a.valid_from DESC) = 1""",
 )
 def _no_overlap(t):
-    return overlapping_periods(stretched_bridge(t), ["salesperson_code", "store_code"], "valid_from", "valid_to")
+    """One row per version that starts while an earlier one lasts, with the earlier one that lasts longest."""
+    return overlap_offenders(stretched_bridge(t), ["salesperson_code", "store_code"], "valid_from", "valid_to")
 
 
 @query(
@@ -602,56 +607,108 @@ def _single_open(t):
     return quality.single_open_version(versions, ["user_id"])
 
 
+def _declared_sql(model: str) -> str:
+    """Plain SQL of a model's declared tests, one SELECT each."""
+    declared = CATALOGUE[model]
+
+    def text(column: str, kind: str | None = None) -> str:
+        kind = kind or column_type(model, column)
+        return f"CAST(CAST({column} AS DATE) AS VARCHAR)" if kind == "date" else f"CAST({column} AS VARCHAR)"
+
+    def literal(value) -> str:
+        return f"DATE '{value}'" if isinstance(value, dt.date) else repr(value)
+
+    key = f"concat_ws(chr(31), {', '.join(f'coalesce({text(c)}, chr(30))' for c in declared.key)})"
+    parts = []
+    for test, severity, column in declared.tests(model):
+        kind = test.partition(":")[0]
+        if kind == "unique":
+            known = f"WHERE {declared.key[0]} IS NOT NULL" if len(declared.key) == 1 else ""
+            source, sample = f"(SELECT {key} AS k FROM m_{model} {known} GROUP BY 1 HAVING count(*) > 1)", "k"
+        elif kind == "relationships":
+            master, theirs = declared.found_in[column]
+            blank = f" AND {column} <> ''" if column in declared.blank_passes else ""
+            inner = f"SELECT {text(theirs, column_type(master, theirs))} FROM m_{master} WHERE {theirs} IS NOT NULL"
+            source, sample = f"m_{model} WHERE {column} IS NOT NULL{blank} AND {text(column)} NOT IN ({inner})", text(column)
+        else:
+            values = ", ".join(map(literal, declared.one_of.get(column, ())))
+            where = {
+                "not_null": f"{column} IS NULL", "accepted_values": f"{column} NOT IN ({values})",
+                "accepted_range": f"{column} < {literal(declared.at_least.get(column))}",
+            }[kind]
+            source, sample = f"m_{model} WHERE {where}", key
+        parts.append(
+            f"SELECT '{test}' AS test, '{severity}' AS severity, count(*) AS failures, "
+            f"replace(replace(min({sample}), chr(31), '/'), chr(30), '') AS sample FROM {source}"
+        )
+    return " UNION ALL ".join(parts)
+
+
+@query("dq_catalogue", " UNION ALL ".join(map(_declared_sql, CATALOGUE)))
+def _catalogue(t):
+    """Every declared test of the marts; one pass over each model."""
+    return catalogue_results(t.tested)
+
+
+# the sales mart, the items and the tests written for one table
+RUN_MODELS = ("fact_sales", "dim_item")
 _CHECKS = f"""
-    SELECT 'not_null:fact_sales.employee_code' AS test, 'warn' AS severity, count(*) AS failures, min(CAST(doc_entry AS VARCHAR)) AS sample
-    FROM m_fact_sales WHERE employee_code IS NULL
+    {" UNION ALL ".join(map(_declared_sql, RUN_MODELS))}
     UNION ALL SELECT 'unique:raw.oinv.doc_entry', 'error', count(*), min(CAST(k AS VARCHAR))
     FROM (SELECT DocEntry AS k FROM raw_oinv GROUP BY 1 HAVING count(*) > 1)
-    UNION ALL SELECT 'unique:dim_item.item_code', 'error', count(*), min(k)
-    FROM (SELECT item_code AS k FROM m_dim_item GROUP BY 1 HAVING count(*) > 1)
     UNION ALL SELECT 'double_entry:journal', 'error', count(*), min(CAST(k AS VARCHAR))
     FROM (SELECT transaction_id AS k FROM {_JOURNAL} GROUP BY 1 HAVING abs(sum(debit) - sum(credit)) > 0.01)"""
 
 
-def check_list(t):
+def run_counts(t):
     journal = t.w.model("finance_journal_entries", "transaction_id", "debit", "credit")
-    return [
-        quality.Check(
-            "not_null:fact_sales.employee_code",
-            quality.not_null(t.w.model("fact_sales", "doc_entry", "employee_code"), "employee_code"), "doc_entry", "warn",
-        ),
+    own = [
         quality.Check(
             "unique:raw.oinv.doc_entry", quality.unique_keys(t.w.stage("sales_invoice_oinv"), ["doc_entry"]), "doc_entry"
         ),
-        quality.Check(
-            "unique:dim_item.item_code", quality.unique_keys(t.w.model("dim_item", "item_code"), ["item_code"]), "item_code"
-        ),
         quality.Check("double_entry:journal", quality.double_entry(journal), "transaction_id"),
     ]
+    return catalogue_results(t.tested, RUN_MODELS).unionByName(quality.counted(own))
 
 
 RUN_AT = dt.datetime(2026, 1, 1, 6)
+_STATUS_OF = "CASE WHEN failures = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn' ELSE 'fail' END"
 
 
 @query(
     "dq_run_results",
-    f"""SELECT test, CASE WHEN failures = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn' ELSE 'fail' END AS status, severity,
-               failures, sample, '2026-01-01 06:00:00' AS run_at FROM ({_CHECKS})""",
+    f"SELECT test, {_STATUS_OF} AS status, severity, failures, sample, '2026-01-01 06:00:00' AS run_at FROM ({_CHECKS})",
 )
 def _run_results(t):
-    return quality.run_results(check_list(t), RUN_AT)
+    return quality.judged(run_counts(t), RUN_AT)
 
 
 @query(
     "dq_severity",
-    f"""SELECT CASE WHEN failures = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn' ELSE 'fail' END AS status, count(*) AS tests,
-               CAST(sum(failures) AS BIGINT) AS failures FROM ({_CHECKS}) GROUP BY 1""",
+    f"SELECT {_STATUS_OF} AS status, count(*) AS tests, CAST(sum(failures) AS BIGINT) AS failures FROM ({_CHECKS}) GROUP BY 1",
 )
 def _severity(t):
-    results = quality.run_results(check_list(t), RUN_AT)
+    results = quality.judged(run_counts(t), RUN_AT)
     return results.groupBy("status").agg(F.count(F.lit(1)).alias("tests"), F.sum("failures").alias("failures"))
 
 
+@query(
+    "dq_run_history",
+    f"""WITH a AS ({_declared_sql("dim_item")}), b AS ({_declared_sql("dim_partner")})
+        SELECT test, CAST(2 AS BIGINT) AS runs, CASE WHEN failures = 0 THEN '2026-01-02' END AS last_pass, {_STATUS_OF} AS status,
+               failures, CAST(0 AS BIGINT) AS change FROM a
+        UNION ALL SELECT test, CAST(1 AS BIGINT), CASE WHEN failures = 0 THEN '2026-01-02' END, {_STATUS_OF}, failures, CAST(NULL AS BIGINT) FROM b""",
+)
+def _run_history(t):
+    """Runs of two days, the first repeated, with the partners tested on the second only; stored and read back."""
+    path = f"{work_folder(t.spark)}/runs/{uuid.uuid4().hex}"
+    items = catalogue_results(t.tested, ["dim_item"])
+    for hour in (6, 18):
+        quality.store_run(quality.judged(items, dt.datetime(2026, 1, 1, hour)), path)
+    both = items.unionByName(catalogue_results(t.tested, ["dim_partner"]))
+    return quality.run_history(quality.store_run(quality.judged(both, dt.datetime(2026, 1, 2, 6)), path))
+
+
 @query(
     "dq_row_checks",
     """SELECT test, failures FROM (
@@ -690,11 +747,12 @@ def _volume(t):
 @query(
     "stream_closed_day_flow",
     """SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS date, event_type, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS amount, count(*) AS row_count
-       FROM events GROUP BY 1, 2""",
+       FROM events WHERE CAST(ts AS DATE) < (SELECT max(CAST(ts AS DATE)) FROM events) GROUP BY 1, 2""",
 )
 def _closed_day(t):
+    """The newest day of the feed is still open."""
     rows = t.events.select("ts", "event_type", F.col("value").cast("decimal(18,2)").alias("value"))
-    return closed_day_flow(rows, "ts", ["event_type"], "value")
+    return closed_day_flow(rows, "ts", ["event_type"], "value", as_of=t.events.agg(F.max("ts").cast("date")).scalar())
 
 
 @query(

@@ -2,32 +2,53 @@
 
 from __future__ import annotations
 
+import operator
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ledgerflow.contract import MONEY
 
 
+TOTAL = "decimal(38,6)"
+
+
 def money(c: Column) -> Column:
     return c.cast(MONEY)
 
 
+def total(c: Column) -> Column:
+    """A sum of amounts: its digits grow with the number of rows."""
+    return c.cast(TOTAL)
+
+
+def _below(digits: int, *columns: Column) -> Column:
+    limit = F.lit(10**digits).cast("decimal(20,0)")
+    return reduce(operator.and_, (F.abs(c) < limit for c in columns))
+
+
 def product(a: Column, b: Column) -> Column:
-    """Exact product of two amounts, brought back to the money type.
+    """Product of two amounts, brought back to the money type.
 
-    Operands are narrowed to 18 digits first: Spark would otherwise cut the
-    scale of a 40-digit product before the final rounding.
+    Operands below 10^12 are narrowed to 18 digits first and give the exact
+    product: Spark would otherwise cut the scale of a 40-digit product before
+    the final rounding. Larger ones are multiplied as they are.
     """
-    return money(a.cast("decimal(18,6)") * b.cast("decimal(18,6)"))
+    exact = a.cast("decimal(18,6)") * b.cast("decimal(18,6)")
+    return F.when(_below(12, a, b), money(exact)).otherwise(money(a.cast(MONEY) * b.cast(MONEY)))
 
 
 def guarded_ratio(numerator: Column, denominator: Column) -> Column:
     """numerator / denominator where the denominator is positive, else NULL.
 
     Both sides are brought to the money type first, which leaves the quotient
-    enough decimals to be rounded once.
+    enough decimals to be rounded once; totals that do not fit are divided as
+    they are.
     """
-    return money(F.when(denominator > 0, money(numerator) / money(denominator)))
+    narrow = money(numerator) / money(denominator)
+    wide = total(numerator) / total(denominator)
+    return F.when(denominator > 0, F.when(_below(14, numerator, denominator), narrow.cast(TOTAL)).otherwise(wide.cast(TOTAL)).cast(MONEY))
 
 
 def sales_sign(document_type: Column, canceled: Column) -> Column:

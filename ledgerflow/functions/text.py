@@ -129,7 +129,7 @@ def lenient_int(c: Column) -> Column:
 def goal_store_key(c: Column) -> Column:
     """Join key of a goal sheet's store text against the lowercased store name."""
     name = F.trim(c)
-    return F.when(name == "BONSUCESSO - RJ", "bonsucesso").otherwise(F.lower(name))
+    return F.when(F.lower(name) == "bonsucesso - rj", "bonsucesso").otherwise(F.lower(name))
 
 
 def item_prefix(item_code: Column) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerflow.functions.text import fold
+from ledgerflow.operators.skew import join_lines_to_headers
 
 OPEN_END = dt.date(9999, 12, 31)
 
@@ -75,29 +76,49 @@ def temporal_left_join(
     return joined.drop("_left_key", "_name_key")
 
 
+#: periods that start in one bucket of one key before the bucket is split
+BUCKET_PERIODS = 1000
+
+
 def overlapping_periods(
-    periods: DataFrame, keys: Sequence[str], start: str, end: str, width_days: int = 366
+    periods: DataFrame, keys: Sequence[str], start: str, end: str, width_days: int = 366, limit: int = BUCKET_PERIODS
 ) -> DataFrame:
     """Pairs of periods of one key that overlap: (keys, start_a, end_a, start_b, end_b).
 
     b starts inside a, and after a.  Every start day falls in one time bucket
     and every period is listed under the buckets it reaches, so only periods
     of the same key *and* time bucket meet; a key with a long history is
-    spread over its buckets instead of being compared with itself in full.
-    Open periods reach no further than the last start day on record.
+    spread over its buckets instead of being compared with itself in full. A
+    bucket in which more than `limit` periods start is split into narrower
+    ones, down to single days, where all that meet do overlap. Open periods
+    reach no further than the last start day on record.
     """
     keys = list(keys)
-    bucket = lambda c: F.floor(F.datediff(c, F.lit(dt.date(1970, 1, 1))) / width_days)
+    days = lambda c: F.datediff(c, F.lit(dt.date(1970, 1, 1)))
+    bucket = lambda c: F.floor(days(c) / width_days)
     last_start = periods.agg(F.max(start)).scalar()
+    b = periods.select(*keys, F.col(start).alias("start_b"), F.col(end).alias("end_b"))
+    b = b.where(F.col("start_b").isNotNull()).withColumn("_bucket", bucket(F.col("start_b")))
+    place = [*keys, "_bucket"]
+    counts = b.groupBy(*place).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit)
+    crowded = counts.select(*place, F.least(F.ceil(F.col("_n") / limit), F.lit(width_days)).alias("_parts"))
+    # which part of its bucket a day is in
+    part = lambda c: F.floor((days(c) - F.col("_bucket") * width_days) * F.col("_parts") / width_days)
+
+    def placed(rows: DataFrame) -> DataFrame:
+        return join_lines_to_headers(rows, crowded, place, "left").withColumn("_parts", F.coalesce("_parts", F.lit(1).cast("bigint")))
+
     a = periods.select(*keys, F.col(start).alias("start_a"), F.col(end).alias("end_a")).withColumn(
         "_reach", F.least(F.coalesce(F.col("end_a"), F.lit(OPEN_END)), last_start)
     )
     a = a.where(F.col("_reach") > F.col("start_a")).withColumn(
         "_bucket", F.explode(F.sequence(bucket(F.col("start_a")), bucket(F.col("_reach"))))
     )
-    b = periods.select(*keys, F.col(start).alias("start_b"), F.col(end).alias("end_b"))
-    b = b.withColumn("_bucket", bucket(F.col("start_b")))
-    pairs = a.join(b, [*keys, "_bucket"]).where(
+    first = F.when(bucket(F.col("start_a")) == F.col("_bucket"), part(F.col("start_a"))).otherwise(F.lit(0).cast("bigint"))
+    final = F.when(bucket(F.col("_reach")) == F.col("_bucket"), part(F.col("_reach"))).otherwise(F.col("_parts") - 1)
+    a = placed(a).withColumn("_part", F.explode(F.sequence(first, final))).drop("_parts")
+    b = placed(b).withColumn("_part", part(F.col("start_b"))).drop("_parts")
+    pairs = a.join(b, [*place, "_part"]).where(
         (F.col("start_b") > F.col("start_a"))
         & (F.col("start_b") <= F.col("_reach"))
         & (F.col("start_a") <= F.coalesce(F.col("end_b"), F.lit(OPEN_END)))

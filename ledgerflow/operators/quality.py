@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerflow.operators.setops import union_bricks
+from ledgerflow.operators.skew import anti_join
+from ledgerflow.sources.sinks import append_days
 
 
 def not_null(df: DataFrame, column: str) -> DataFrame:
@@ -38,7 +40,7 @@ def relationships(
     rows = child.where(F.col(column).isNotNull())
     if where is not None:
         rows = rows.where(where)
-    return rows.join(parent.select(F.col(parent_column).alias(column)), column, "left_anti")
+    return anti_join(rows, parent, {column: parent_column})
 
 
 def accepted_range(df: DataFrame, column: str, minimum=None, maximum=None) -> DataFrame:
@@ -93,27 +95,47 @@ class Check:
     severity: str = "error"
 
 
-def run_results(checks: Sequence[Check], run_at: dt.datetime) -> DataFrame:
-    """One row per check: status, failing rows and a sample key."""
+def counted(checks: Sequence[Check]) -> DataFrame:
+    """test, severity, failures, sample of every check."""
 
     def summary(check: Check) -> DataFrame:
-        failures = F.count(F.lit(1))
-        return check.failing.agg(
-            failures.alias("failures"), F.min(F.col(check.identity).cast("string")).alias("sample")
-        ).select(
-            F.lit(check.name).alias("test"),
-            F.when(F.col("failures") == 0, "pass")
-            .otherwise("warn" if check.severity == "warn" else "fail")
-            .alias("status"),
-            F.lit(check.severity).alias("severity"),
-            "failures",
-            "sample",
-            F.lit(run_at.isoformat(sep=" ")).cast("timestamp_ntz").alias("run_at"),
-        )
+        sample = F.min(F.col(check.identity).cast("string"))
+        failing = check.failing.agg(F.count(F.lit(1)).alias("failures"), sample.alias("sample"))
+        return failing.select(F.lit(check.name).alias("test"), F.lit(check.severity).alias("severity"), "failures", "sample")
 
     return union_bricks(summary(c) for c in checks)
 
 
+def judged(counts: DataFrame, run_at: dt.datetime) -> DataFrame:
+    """Counts of failures as results of a run: test, status, severity, failures, sample, run_at."""
+    status = F.when(F.col("failures") == 0, "pass").when(F.col("severity") == "warn", "warn").otherwise("fail")
+    at = F.lit(run_at.isoformat(sep=" ")).cast("timestamp_ntz")
+    return counts.select("test", status.alias("status"), "severity", "failures", "sample", at.alias("run_at"))
+
+
+def run_results(checks: Sequence[Check], run_at: dt.datetime) -> DataFrame:
+    """One row per check: status, failing rows and a sample key."""
+    return judged(counted(checks), run_at)
+
+
+def store_run(results: DataFrame, path: str) -> DataFrame:
+    """Add a run to the stored results, by its day; a run of the same day replaces it. Returns all runs."""
+    append_days(results.withColumn("run_day", F.col("run_at").cast("date")), path, "run_day")
+    return results.sparkSession.read.parquet(path).drop("_day")
+
+
+def run_history(runs: DataFrame) -> DataFrame:
+    """Per test: its runs, when it last passed, the state of its last run and the change of failures since the run before."""
+    by_test = Window.partitionBy("test").orderBy("run_at")
+    before = F.lag("failures").over(by_test)
+    marked = runs.withColumn("change", F.col("failures") - before)
+    last = F.struct("run_at", "status", "failures", "change")
+    grouped = marked.groupBy("test").agg(
+        F.count(F.lit(1)).alias("runs"), F.max(F.when(F.col("status") == "pass", F.col("run_day"))).alias("last_pass"), F.max_by(last, "run_at").alias("last")
+    )
+    return grouped.select("test", "runs", "last_pass", F.col("last.status").alias("status"), F.col("last.failures").alias("failures"), F.col("last.change").alias("change"))
+
+
 def row_check_counts(df: DataFrame, conditions: Mapping[str, Column]) -> DataFrame:
     """(test, failures) of many row conditions in one pass over the table."""
     counted = df.agg(*(F.count(F.when(c, 1)).alias(name) for name, c in conditions.items()))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerflow.functions.measures import guarded_ratio, money
+from ledgerflow.functions.measures import guarded_ratio, product, total
 from ledgerflow.plans.warehouse import Warehouse
 
 # fixed values: numeric source-document types and the document they point to
@@ -17,8 +17,8 @@ def revenue_by_month_channel(w: Warehouse) -> DataFrame:
     """Net revenue and gross profit per month and presale channel."""
     sales = w.model("fact_sales", "date", "presale_channel", "line_total", "gross_profit")
     return sales.groupBy(F.trunc("date", "month").alias("month"), "presale_channel").agg(
-        money(F.sum("line_total")).alias("net_revenue"),
-        money(F.sum("gross_profit")).alias("gross_profit"),
+        total(F.sum("line_total")).alias("net_revenue"),
+        total(F.sum("gross_profit")).alias("gross_profit"),
         F.count(F.lit(1)).alias("line_count"),
     )
 
@@ -27,10 +27,10 @@ def goals_vs_sales(w: Warehouse) -> DataFrame:
     """Goal against net revenue per employee and day; each fact is summed before the join."""
     keys = ["employee_code", "date"]
     goals = w.model("fact_goals", *keys, "daily_goal").groupBy(*keys).agg(
-        money(F.sum("daily_goal")).alias("goal")
+        total(F.sum("daily_goal")).alias("goal")
     )
     sales = w.model("fact_sales", *keys, "line_total").groupBy(*keys).agg(
-        money(F.sum("line_total")).alias("net_revenue")
+        total(F.sum("line_total")).alias("net_revenue")
     )
     joined = goals.join(sales, keys, "left").fillna(0, ["net_revenue"])
     return joined.withColumn("attainment", guarded_ratio(F.col("net_revenue"), F.col("goal")))
@@ -40,11 +40,10 @@ def weighted_unit_rates(w: Warehouse) -> DataFrame:
     """Quantity-weighted averages of the unit rates per item and month."""
     rates = ("unit_price", "price_before_discount", "discount_percentage", "inventory_cost_price")
     sales = w.model("fact_sales", "item_code", "date", "quantity", *rates)
-    weight = F.col("quantity").cast("decimal(18,6)")
     grouped = sales.groupBy("item_code", F.trunc("date", "year").alias("year_start"))
     sums = grouped.agg(
-        money(F.sum("quantity")).alias("quantity"),
-        *(F.sum(money(F.col(r).cast("decimal(18,6)") * weight)).alias(r) for r in rates),
+        total(F.sum("quantity")).alias("quantity"),
+        *(F.sum(product(F.col(r), F.col("quantity"))).alias(r) for r in rates),
     )
     return sums.select(
         "item_code", "year_start", "quantity",
@@ -87,7 +86,7 @@ def document_trace(w: Warehouse) -> DataFrame:
         .groupBy("effective_source_doc_entry", "doc_entry")
         .agg(F.sum("line_total").alias("line_total"))
         .groupBy(F.col("effective_source_doc_entry").alias("invoice"))
-        .agg(F.count(F.lit(1)).alias("return_count"), money(F.sum("line_total")).alias("returned_total"))
+        .agg(F.count(F.lit(1)).alias("return_count"), total(F.sum("line_total")).alias("returned_total"))
     )
     path = (
         invoices.withColumnRenamed("doc_entry", "invoice")
@@ -100,7 +99,7 @@ def document_trace(w: Warehouse) -> DataFrame:
         "invoice", "order",
         F.coalesce("quote_of_order", "quote_of_invoice").alias("quote"),
         F.coalesce("return_count", F.lit(0)).alias("return_count"),
-        F.coalesce("returned_total", F.lit(0).cast("decimal(20,6)")).alias("returned_total"),
+        F.coalesce("returned_total", total(F.lit(0))).alias("returned_total"),
     )
 
 
@@ -125,7 +124,7 @@ def receivables_ageing(w: Warehouse) -> DataFrame:
     return (
         rows.where(F.col("open_balance") > 0)
         .groupBy("partner_code", bucket.otherwise(">90").alias("bucket"))
-        .agg(F.count(F.lit(1)).alias("invoices"), money(F.sum("open_balance")).alias("open_balance"))
+        .agg(F.count(F.lit(1)).alias("invoices"), total(F.sum("open_balance")).alias("open_balance"))
     )
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ledgerflow.functions import codes
 from ledgerflow.operators.joins import lookup
 from ledgerflow.operators.latest import latest_per_key
+from ledgerflow.operators.skew import join_lines_to_headers
 from ledgerflow.plans.common import with_branch, with_partner
 from ledgerflow.plans.sales import newest_versions, translated
 from ledgerflow.plans.warehouse import Warehouse, model
@@ -26,14 +27,13 @@ def finance_journal_entries(w: Warehouse, need: set[str]) -> DataFrame:
     headers = latest_per_key(
         w.stage("journal_entry_ojdt"), ["transaction_id"], "_ingested_at", "reference_date", "historical"
     )
-    df = lookup(
-        lines, headers, {"transaction_id": "transaction_id"},
-        {
-            "reference_date": F.col("reference_date"), "transaction_type": F.col("transaction_type"),
-            "historical": F.lower("historical"), "document_reference": F.col("document_reference"),
-        },
-        need,
-    )
+    theirs = {
+        "reference_date": F.col("reference_date"), "transaction_type": F.col("transaction_type"),
+        "historical": F.lower("historical"), "document_reference": F.col("document_reference"),
+    }
+    wanted = [c.alias(name) for name, c in theirs.items() if name in need]
+    # headers are unique on the key: unless a column of theirs is asked for, the join could change nothing
+    df = join_lines_to_headers(lines, headers.select("transaction_id", *wanted), ["transaction_id"], "left") if wanted else lines
     accounts = w.stage("chart_of_accounts_oact")
     for key, label in (("ledger_account", "account_name"), ("offset_account", "offset_account_name")):
         df = lookup(df, accounts, {key: "account_code"}, {label: F.lower("account_name")}, need)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -138,16 +139,15 @@ def fact_sales(w: Warehouse, need: set[str]) -> DataFrame:
         usage_needed = need | ({"main_usage_id"} if kind == "return" else set())
         documents = w.model(f"sales_{kind}_documents", *_SALES_DOCUMENT)
         documents = with_header_usage(w, documents, f"sales_fiscal_usage_{kind}", usage_needed)
+        shown = F.col("document_show_in_bi")
+        # what the header alone decides goes before the join, with its rows' lines
+        visible = sales_visible_document() & predicates.not_canceled_return(F.lit(kind), F.col("canceled"))
+        visible = visible & sales_scope(kind) if kind == "return" else visible
+        documents = documents.where(predicates.force_display(shown, visible))
         lines = w.model(f"sales_{kind}_lines", *_SALES_LINE)
-        joined = join_lines_to_headers(lines, documents, ["doc_entry"])
-        kept = joined.where(
-            predicates.force_display(
-                F.col("document_show_in_bi"),
-                sales_visible_document()
-                & sales_scope(kind)
-                & predicates.not_canceled_return(F.lit(kind), F.col("canceled")),
-            )
-        )
+        kept = join_lines_to_headers(lines, documents, ["doc_entry"])
+        if kind != "return":
+            kept = kept.where(predicates.force_display(shown, sales_scope(kind)))
         sign = sales_sign(F.lit(kind), F.col("canceled"))
         total_cost = product(quantity, cost)
         return kept.withColumns(
@@ -311,14 +311,14 @@ def fact_daily_inventory_movement(w: Warehouse, need: set[str]) -> DataFrame:
     return daily_rows(w, need)
 
 
-def daily_movement(w: Warehouse, since: dt.date | None = None) -> DataFrame:
-    """The daily fact restricted to the closed days after `since`."""
+def daily_movement(w: Warehouse, since: dt.date | None = None, also: Sequence[dt.date] = ()) -> DataFrame:
+    """The daily fact restricted to the closed days after `since` and the days of `also`."""
     name = "fact_daily_inventory_movement"
-    return conform(daily_rows(w, set(COLUMNS[name]), since), name)
+    return conform(daily_rows(w, set(COLUMNS[name]), since, also), name)
 
 
-def daily_rows(w: Warehouse, need: set[str], since: dt.date | None = None) -> DataFrame:
-    """Flow and end-of-day state per (date, item, warehouse) of the closed days after `since`.
+def daily_rows(w: Warehouse, need: set[str], since: dt.date | None = None, also: Sequence[dt.date] = ()) -> DataFrame:
+    """Flow and end-of-day state per (date, item, warehouse) of the closed days after `since`, and those of `also`.
 
     Flow sums and the last movement's state come from one hash aggregation
     that combines on the map side; labels are attached to the daily rows, not
@@ -336,7 +336,8 @@ def daily_rows(w: Warehouse, need: set[str], since: dt.date | None = None) -> Da
         & F.col("warehouse_code").isNotNull()
     )
     if since is not None:
-        movements = movements.where(F.col("movement_date") > F.lit(since))
+        wanted = F.col("movement_date") > F.lit(since)
+        movements = movements.where(wanted | F.col("movement_date").isin(*also) if also else wanted)
     daily = movements.groupBy(*keys).agg(
         *(F.sum(c).alias(c) for c in flow),
         F.sum("transaction_amount").alias("transacted_amount"),

@@ -6,10 +6,13 @@ driver find them; a stored table also ends the lineage of whatever reads it.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ledgerflow.functions import predicates
 from ledgerflow.plans.common import salesperson_bridge_step
 from ledgerflow.plans.marts import daily_movement
 from ledgerflow.plans.warehouse import Warehouse
@@ -29,20 +32,31 @@ def store_models(w: Warehouse, folder: str, names: Sequence[str] = SHARED) -> No
 
 
 def refresh_daily_movement(w: Warehouse, spark: SparkSession, path: str) -> DataFrame:
-    """Append the closed days after the last stored one.
+    """Append the closed days after the last stored one, and rebuild the stored days that got movements since.
 
-    Movements booked later into a stored day are never picked up.
+    Days are dirty where a movement was loaded after the newest load stamp that
+    the last refresh saw. Whole days are replaced, and the stamp is kept after
+    the days are written, so a run that fails on the way is repeated.
     """
-    try:
-        since = last_day(spark, path, "date")
-    except Exception as error:  # no table yet: Spark reports a missing path
-        if "PATH_NOT_FOUND" not in str(error) and "UNABLE_TO_INFER_SCHEMA" not in str(error):
-            raise
-        since = None
-    append_days(w.model("fact_daily_inventory_movement") if since is None else daily_movement(w, since), path, "date")
+    since, marks = last_day(spark, path, "date"), f"{path}_loaded"
+    loads = w.model("inventory_movements", "movement_date", "_ingested_at")
+    newest = loads.where(predicates.closed_day(F.col("movement_date"), w.params.as_of)).agg(F.max("_ingested_at").alias("loaded"))
+    if since is None:
+        append_days(w.model("fact_daily_inventory_movement"), path, "date")
+    else:
+        append_days(daily_movement(w, since, dirty_days(loads, current(spark, marks).first()["loaded"], since)), path, "date")
+    publish(newest, marks)
     return spark.read.parquet(path).drop("_day")
 
 
+def dirty_days(loads: DataFrame, seen: dt.datetime | None, until: dt.date) -> list[dt.date]:
+    """Days up to `until` with rows loaded after `seen`; no more than the calendar has days."""
+    late = loads.where(F.col("movement_date") <= F.lit(until))
+    if seen is not None:
+        late = late.where(F.col("_ingested_at") > F.lit(seen.isoformat(sep=" ")).cast("timestamp_ntz"))
+    return sorted(r[0] for r in late.select("movement_date").distinct().collect())
+
+
 def refresh_bridge(w: Warehouse, spark: SparkSession, path: str) -> DataFrame:
     """First load of the bridge, or one forward run on the stored state."""
     try:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 # settings the plans rely on; a cluster's own values win where they are set
@@ -45,3 +47,18 @@ def shared_folder(spark: SparkSession, default: str | None = None) -> str:
     if not folder:
         raise ValueError("spark.checkpoint.dir is not set: no shared folder for state")
     return folder.rstrip("/")
+
+
+_OWN: list[str] = []
+
+
+def work_folder(spark: SparkSession) -> str:
+    """The cluster's shared folder; where none is set and everything runs in this process, a folder of its own."""
+    if spark.conf.get("spark.checkpoint.dir", None):
+        return shared_folder(spark)
+    master = spark.conf.get("spark.master", "")
+    if master != "local" and not master.startswith("local["):
+        return shared_folder(spark)  # raises: a local folder of one machine is of no use to the others
+    if not _OWN:
+        _OWN.append(tempfile.mkdtemp(prefix="ledgerflow-"))
+    return _OWN[0]

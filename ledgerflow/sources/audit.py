@@ -27,15 +27,17 @@ def fold_status(events: DataFrame) -> DataFrame:
     The last event decides: running, success with its row count, or error with
     its whole message.
     """
-    last = F.max(F.struct("at", "event_id", "status", "row_count", "message")).alias("last")
-    folded = events.groupBy("execution_id", "table_name").agg(F.min("at").alias("started_at"), last)
-    status = F.col("last.status")
-    return folded.select(
-        "execution_id", "table_name", "started_at",
-        F.when(status != "running", F.col("last.at")).alias("finished_at"),
-        status.alias("status"),
-        F.when(status == "success", F.col("last.row_count")).alias("row_count"),
-        F.when(status == "error", F.col("last.message")).alias("error_message"),
+    keys = ["execution_id", "table_name"]
+    # the winner keeps its message; of the others only their times are looked at
+    last = latest_per_key(events, keys, "at", "event_id")
+    started = events.groupBy(*keys).agg(F.min("at").alias("started_at"))
+    status = F.col("status")
+    return last.join(started, keys).select(
+        *keys, "started_at",
+        F.when(status != "running", F.col("at")).alias("finished_at"),
+        "status",
+        F.when(status == "success", F.col("row_count")).alias("row_count"),
+        F.when(status == "error", F.col("message")).alias("error_message"),
     )
 
 

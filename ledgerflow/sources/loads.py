@@ -6,14 +6,17 @@ aggregate, and enter the source filter as literals, so they reach the scan.
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerflow.operators.setops import union_bricks
+from ledgerflow.operators.skew import anti_join, semi_join
 
 
 def scan(src: DataFrame, columns: Sequence[str], predicate: str | Column | None = None) -> DataFrame:
@@ -28,9 +31,7 @@ def full_reload(src: DataFrame, columns: Sequence[str], predicate: str | Column
 
 def replace_by_key(target: DataFrame, delta: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Drop the target rows whose key the delta carries, then add the delta."""
-    return target.join(delta.select(*keys), list(keys), "left_anti").select(*target.columns).unionByName(
-        delta.select(*target.columns)
-    )
+    return anti_join(target, delta, keys).unionByName(delta.select(*target.columns))
 
 
 def high_mark(target: DataFrame, column: str) -> Any:
@@ -121,7 +122,7 @@ def reload_children(
     key = mark.key_column
     delta = src
     if mark.day is not None:
-        delta = src.join(changed_rows(header_src, mark).select(key), key, "left_semi")
+        delta = semi_join(src, changed_rows(header_src, mark), [key])
     return replace_by_key(target, delta, [key])
 
 
@@ -150,25 +151,55 @@ def append_from_last_day(target: DataFrame, src: DataFrame, day: str) -> DataFra
     return kept.unionByName(src.where(F.col(day) >= F.lit(mark)).select(*target.columns))
 
 
+REPEATED_KEY = "a source key occurs more than once; name the columns that tell the newest"
+
+
+def one_per_key(src: DataFrame, keys: Sequence[str], newest: Sequence[str] = ()) -> DataFrame:
+    """The source with `_src`, one row per key: the newest where an order is named, else a repeated key raises.
+
+    Spark limits every task to two rows per key before the shuffle, and the
+    rows stay dealt by the key for the join that follows. Rows that are equal
+    in the named order are told apart by the hash of all their columns.
+    """
+    order = [*(F.col(c).desc() for c in newest), F.xxhash64(*src.columns)]
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    ranked = src.withColumn("_rank", rank).where(F.col("_rank") <= (1 if newest else 2))
+    once = F.when(F.col("_rank") == 2, F.raise_error(F.lit(REPEATED_KEY)).cast("boolean")).otherwise(True)
+    return ranked.withColumn("_src", once).drop("_rank")
+
+
 def merge_upsert(
-    target: DataFrame, src: DataFrame, keys: Sequence[str], stamp: str | None = None, run_ts: Column | None = None
+    target: DataFrame,
+    src: DataFrame,
+    keys: Sequence[str],
+    stamp: str | None = None,
+    run_ts: Column | None = None,
+    newest: Sequence[str] = (),
 ) -> DataFrame:
     """MERGE without delete: update matches, insert the rest, keep orphans.
 
     Columns only the target has keep their values on a match and are NULL on
-    an insert.  One full outer join on the key.
+    an insert. A source key that repeats raises, or its row of the largest
+    `newest` counts. A key with a NULL matches nothing, so its rows are all
+    inserted. One full outer join on the key.
     """
-    theirs = src.select(*keys, *(F.col(c).alias(f"_new_{c}") for c in src.columns if c not in keys), F.lit(True).alias("_src"))
+    whole = reduce(operator.and_, (F.col(k).isNotNull() for k in keys))
+    once = one_per_key(src.where(whole), keys, newest)
+    theirs = once.select(*keys, *(F.col(c).alias(f"_new_{c}") for c in src.columns if c not in keys), "_src")
     joined = target.join(theirs, list(keys), "full_outer")
-    out = []
-    for c in target.columns:
-        value = F.col(c)
-        if c in src.columns and c not in keys:
-            value = F.when(F.col("_src"), F.col(f"_new_{c}")).otherwise(value)
+    out, added = [], []
+    for field in target.schema.fields:
+        c = field.name
+        value, new = F.col(c), F.lit(None)
+        if c in src.columns:
+            new = F.col(c)
+            if c not in keys:
+                value = F.when(F.col("_src"), F.col(f"_new_{c}")).otherwise(value)
         elif c == stamp and run_ts is not None:
-            value = F.when(F.col("_src"), run_ts).otherwise(value)
+            value, new = F.when(F.col("_src"), run_ts).otherwise(value), run_ts
         out.append(value.alias(c))
-    return joined.select(*out)
+        added.append(new.cast(field.dataType).alias(c))
+    return joined.select(*out).unionByName(src.where(~whole).select(*added))
 
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:

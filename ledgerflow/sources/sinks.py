@@ -69,9 +69,19 @@ def append_days(df: DataFrame, path: str, day: str) -> None:
     )
 
 
+def stored_days(spark: SparkSession, path: str) -> list[dt.date]:
+    """The days of a table partitioned by day, from its folder names; none where there is no table."""
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(root) if s.isDirectory()] if fs.exists(root) else []
+    days = [n.partition("=")[2] for n in names if n.startswith("_day=")]
+    return sorted(dt.date.fromisoformat(d) for d in days if d != "__HIVE_DEFAULT_PARTITION__")
+
+
 def last_day(spark: SparkSession, path: str, day: str) -> dt.date | None:
-    """Newest loaded day, read from the partition names."""
-    return spark.read.parquet(path).agg(F.max("_day")).first()[0]
+    """Newest loaded day, None where nothing is loaded; no file is read."""
+    return max(stored_days(spark, path), default=None)
 
 
 def bucketed(df: DataFrame, name: str, keys: Sequence[str], buckets: int) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerflow.operators.latest import latest_per_key
+from ledgerflow.sources.store import Store, VersionConflict
 
 
 def newest_of(state: DataFrame | None, changes: DataFrame, keys: Sequence[str], *newest: str) -> DataFrame:
@@ -44,3 +45,25 @@ def start_upsert(
 def newest_state(spark: SparkSession, path: str, keys: Sequence[str], *newest: str) -> DataFrame:
     """Current table of a change log; publish it now and then to start a shorter log."""
     return latest_per_key(spark.read.parquet(path), keys, *newest)
+
+
+def start_upsert_table(changes: DataFrame, store: Store, name: str, checkpoint: str, stream: str = "", tries: int = 5) -> StreamingQuery:
+    """Lay the newest rows of every batch beside a stored table as one more segment.
+
+    A batch that is replayed after a failure is known by its number and left
+    out. `store.compact` moves segments into the table's buckets meanwhile or
+    later, and readers keep the version they hold.
+    """
+
+    def append(batch: DataFrame, number: int) -> None:
+        for left in range(tries, 0, -1):
+            change = store.change()
+            try:
+                if change.append_segment(name, batch, number, stream):
+                    change.commit()
+                return
+            except VersionConflict:
+                if left == 1:
+                    raise
+
+    return changes.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

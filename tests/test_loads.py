@@ -6,10 +6,13 @@ import datetime as dt
 
 import pytest
 from conftest import rows
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from ledgerflow.entries.registry import QUERIES
 from ledgerflow.sources import audit, loads, sheets, sinks
+from ledgerflow.sources.families import audit_log, load_family
+from ledgerflow.sources.store import Store
 
 D = dt.date
 HEADER = "DocEntry int, UpdateDate date, UpdateTS int, v string"
@@ -74,6 +77,14 @@ def test_append_replaces_the_last_day_only(spark):
     assert rows(loads.append_from_last_day(pinned, src, "day")) == sorted(rows(target), key=repr)
 
 
+def test_merge_raises_on_a_repeated_source_key(spark):
+    target = frame(spark, "k string, v string", ("A", "a"), ("B", "b"))
+    src = frame(spark, "k string, v string, at int", ("B", "x", 1), ("B", "y", 2), ("C", "c", 1))
+    with pytest.raises(PySparkException, match="more than once"):
+        loads.merge_upsert(target, src, ["k"]).collect()
+    assert rows(loads.merge_upsert(target, src, ["k"], newest=["at"])) == [("A", "a"), ("B", "y"), ("C", "c")]
+
+
 def test_merge_never_deletes_and_keeps_target_columns(spark):
     target = frame(spark, "k string, v string, note string, at int", ("A", "a", "n1", 0), ("B", "b", "n2", 0))
     src = frame(spark, "k string, v string", ("B", None), ("C", "c"))
@@ -125,6 +136,55 @@ def test_sheet_types_and_snapshot(spark, tmp_path):
     assert sheets.infer_column_types(long) == {"t": sheets.LONG_TEXT}
 
 
+def test_sheet_file_in_parts_with_rejected_lines(spark, tmp_path):
+    path = tmp_path / "sheet.csv"
+    body = ["code,name,n"] + [f"{i:03d},\"name \"\"{i}\"\", x\",{i}" for i in range(3000)]
+    body[100:100] = ["7,too few", "8,a,b,too many", "9,\"open quote,1"]
+    path.write_text("\n".join(body) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        typed, rejected = sheets.load_sheet(spark, str(path), F.lit("2026-01-01 06:00:00"))
+        assert typed.rdd.getNumPartitions() > 2  # one file, several tasks
+        assert typed.dtypes[:3] == [("code", "string"), ("name", "string"), ("n", "bigint")]
+        first = typed.orderBy("n").first()
+        assert (first.code, first.name, typed.count()) == ("000", 'name "0", x', 3000)
+        assert [r[0] for r in rows(rejected.select("line"))] == ["7,too few", "8,a,b,too many", '9,"open quote,1']
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_codes_with_leading_zeros_stay_text(spark):
+    df = spark.createDataFrame([("007", "0", "0.5", "-01"), ("012", "10", "10", "2")], "a string, b string, c string, d string")
+    assert sheets.infer_column_types(df) == {"a": sheets.SHORT_TEXT, "b": "bigint", "c": "double", "d": sheets.SHORT_TEXT}
+
+
+def _family(spark, day, v, lines):
+    return {
+        "h": frame(spark, HEADER, *[(k, day, 1, v) for k in (10, 11, 12)]),
+        "l": frame(spark, CHILD, *[(k, n, v) for k in (10, 11, 12) for n in range(lines)]),
+    }
+
+
+def test_family_is_published_together_with_its_audit_rows(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "s"))
+    day, newer = D(2026, 1, 5), D(2026, 1, 6)
+    load_family(store, _family(spark, day, "a", 3), "h", "one")
+    source = _family(spark, newer, "b", 2)
+    bad = source | {"l": source["l"].withColumn("v", F.raise_error(F.lit("no connection")))}
+    with pytest.raises(PySparkException):
+        load_family(store, bad, "h", "two")
+    # the header was written before the children failed, and is not visible
+    assert {r.v for r in store.read("h").collect()} == {"a"} and store.read("l").count() == 9
+    load_family(store, source, "h", "three")
+    assert {r.v for r in store.read("h").collect()} == {"b"} and rows(store.read("l").select("DocEntry", "LineNum")) == [(k, n) for k in (10, 11, 12) for n in (0, 1)]
+    log = rows(audit_log(store).select("execution_id", "table_name", "status", "row_count"))
+    assert log == sorted([("one", "h", "success", 3), ("one", "l", "success", 9), ("two", "l", "error", None), ("three", "h", "success", 3), ("three", "l", "success", 6)], key=repr)
+    assert "no connection" in audit_log(store).where("status = 'error'").first().error_message
+    same = load_family(store, source, "h", "four")
+    assert {r.v for r in store.read("h", same).collect()} == {"b"} and store.read("l").count() == 6
+
+
 NOW = dt.datetime(2026, 1, 1, 12, 0)
 LOG = "id int, table_name string, started_at timestamp_ntz, finished_at timestamp_ntz, status string, row_count int, error_message string"
 

@@ -13,7 +13,8 @@ from ledgerflow.operators import quality
 from ledgerflow.operators.joins import code_or_name, lookup, overlapping_periods, temporal_left_join
 from ledgerflow.operators.latest import first_per_key, latest_per_key
 from ledgerflow.operators.scd2 import scd2_apply
-from ledgerflow.operators.skew import join_lines_to_headers
+from ledgerflow.operators.as_of import as_of_join, overlap_offenders
+from ledgerflow.operators.skew import anti_join, join_lines_to_headers, semi_join
 
 D = dt.date
 
@@ -101,8 +102,17 @@ def test_overlaps_equal_brute_force(spark, width):
         for k2, s2, e2 in data
         if k == k2 and s < s2 and s2 <= (e or top) and s <= (e2 or top)
     ]
-    got = overlapping_periods(spark.createDataFrame(data, "k int, a date, b date"), ["k"], "a", "b", width)
-    assert rows(got) == sorted(expected, key=repr)
+    frame = spark.createDataFrame(data, "k int, a date, b date")
+    for limit in (1000, 2):  # whole buckets, and buckets split down to days
+        assert rows(overlapping_periods(frame, ["k"], "a", "b", width, limit)) == sorted(expected, key=repr)
+
+
+def test_crowded_bucket_is_not_compared_with_itself(spark):
+    """20,000 one-day periods of one key in one bucket: few rows meet, and no two overlap but neighbours."""
+    crowded = spark.range(20_000).selectExpr("1 AS k", "date_add(DATE '2000-01-01', cast(id % 360 AS int)) AS a", "date_add(DATE '2000-01-01', cast(id % 360 AS int)) AS b", "id")
+    assert overlapping_periods(crowded.drop("id"), ["k"], "a", "b", 366, 50).count() == 0
+    longer = crowded.where("id < 360").select("k", "a", F.date_add("b", 1).alias("b"))
+    assert overlapping_periods(longer, ["k"], "a", "b", 366, 10).count() == 359
 
 
 def _lines_and_headers(spark):
@@ -122,7 +132,9 @@ def test_hot_key_join_equals_plain_join(spark):
         join_lines_to_headers(lines, headers, ["doc"], "full")
 
 
-def test_hot_key_is_split_by_adaptive_execution(spark):
+@pytest.fixture
+def small_partitions(spark):
+    """Thresholds at which adaptive execution takes a few kilobytes for a hot partition; no broadcast."""
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
@@ -132,14 +144,107 @@ def test_hot_key_is_split_by_adaptive_execution(spark):
     before = {k: spark.conf.get(k, None) for k in settings}
     for k, v in settings.items():
         spark.conf.set(k, v)
-    try:
-        lines, headers = _lines_and_headers(spark)
-        joined = join_lines_to_headers(lines.repartition(8), headers, ["doc"])
-        joined.collect()
-        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_hot_key_is_split_by_adaptive_execution(spark, small_partitions):
+    lines, headers = _lines_and_headers(spark)
+    joined = join_lines_to_headers(lines.repartition(8), headers, ["doc"])
+    joined.collect()
+    assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("join", [semi_join, anti_join])
+def test_membership_splits_a_hot_key_and_its_repeats(spark, small_partitions, join):
+    """A third of both sides is one key; the right side sends it once per task."""
+    lines, _ = _lines_and_headers(spark)
+    known = spark.range(30_000).selectExpr("if(id % 3 = 0, 0, id * 3 + 1) AS doc", "id AS other")
+    got = join(lines.repartition(8), known, ["doc"])
+    assert got.count() == lines.join(known.select("doc").distinct(), "doc", "left_semi" if join is semi_join else "left_anti").count()
+    got.collect()
+    assert "skew=true" in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_membership_nulls_names_and_pairs_of_keys(spark):
+    left = spark.createDataFrame([(1, "a", "x"), (1, "b", "y"), (None, "a", "z"), (2, None, "w"), (1, "a", "x")], "k int, v string, _known0 string")
+    right = spark.createDataFrame([(1, "a"), (1, "a"), (None, "a"), (2, None)], "code int, v string")
+    assert rows(semi_join(left, right, {"k": "code", "v": "v"})) == [(1, "a", "x"), (1, "a", "x")]
+    assert rows(anti_join(left, right, {"k": "code", "v": "v"})) == sorted([(1, "b", "y"), (None, "a", "z"), (2, None, "w")], key=repr)
+    assert semi_join(left, right, {"k": "code"}).columns == left.columns
+    assert semi_join(left, right.where("false"), {"k": "code"}).count() == 0 and anti_join(left, right.where("false"), {"k": "code"}).count() == 5
+
+
+def _periods(rng, n, names):
+    data = []
+    for _ in range(n):
+        start = D(2024, 1, 1) + dt.timedelta(days=rng.randrange(900))
+        end = None if rng.random() < 0.05 else start + dt.timedelta(days=rng.randrange(-3, 50))
+        data.append((rng.choice(names), start, end))
+    return data
+
+
+@pytest.mark.parametrize("width", [1, 40, 4000])
+def test_overlap_offenders_equal_brute_force(spark, width):
+    data = list(dict.fromkeys(_periods(random.Random(3), 250, [1, 1, 1, 2, 3, None])))
+    top, expected = D(9999, 12, 31), []
+    for k, s, e in data:
+        seen = [(e2 or top, s2, e2) for k2, s2, e2 in data if k2 == k is not None and s2 < s and s <= (e2 or top) and s2 <= (e or top)]
+        if seen:
+            reach, s2, e2 = max(seen, key=lambda x: x[:2])
+            expected.append((k, s2, e2, s, e))
+    got = overlap_offenders(spark.createDataFrame(data, "k int, a date, b date"), ["k"], "a", "b", width)
+    assert rows(got) == sorted(expected, key=repr)
+
+
+def test_nested_periods_give_no_pairs(spark):
+    """Every one of 2,000 nested periods overlaps all others: one row each, but for the first."""
+    nested = spark.range(2000).selectExpr("1 AS k", "date_add(DATE '2020-01-01', cast(id AS int)) AS a", "date_add(DATE '2040-01-01', cast(-id AS int)) AS b")
+    got = overlap_offenders(nested, ["k"], "a", "b")
+    assert got.count() == 1999 and got.select("start_a").distinct().count() == 1
+
+
+@pytest.mark.parametrize("width", [7, 366])
+def test_as_of_join_equals_range_join(spark, width):
+    rng = random.Random(11)
+    starts = {n: sorted({rng.randrange(1500) for _ in range(40)}) for n in ("Ana", "Zé", "x")}
+    day = lambda n: D(2020, 1, 1) + dt.timedelta(days=n)
+    versions = [
+        (n.upper() + " ", day(s), None if e is None else day(e - rng.choice([1, 1, 5])), i)
+        for n, at in starts.items() for i, (s, e) in enumerate(zip(at, [*at[1:], None], strict=True))
+    ]
+    facts = [(i, rng.choice(["Ana", "ANA", "Ze", "x", "none", None]), None if i % 50 == 0 else day(rng.randrange(-10, 1600))) for i in range(600)]
+    left = spark.createDataFrame(facts, "id int, name string, day date")
+    right = spark.createDataFrame(versions, "name string, since date, until date, v int")
+    got = as_of_join(left, right, "name", "day", "since", "until", {"v": "v"}, width)
+    assert got.columns == ["id", "name", "day", "v"]
+    want = temporal_left_join(left, right, "name", "day", "since", "until").select("id", "name", "day", "v")
+    assert rows(got) == rows(want) and got.where("v IS NOT NULL").count() > 300
+
+
+def test_as_of_join_does_not_compare_a_name_with_its_versions(spark):
+    """20,000 rows meet 10,000 versions of one name in a number of rows that is their sum."""
+    left = spark.range(20_000).selectExpr("'ana' AS name", "date_add(DATE '1990-01-01', cast(id % 12000 AS int)) AS day", "id")
+    right = spark.range(10_000).selectExpr("'ANA' AS name", "date_add(DATE '1990-01-01', cast(id AS int)) AS since", "date_add(DATE '1990-01-01', cast(id AS int)) AS until", "id AS v")
+    got = as_of_join(left, right, "name", "day", "since", "until", {"v": "v"})
+    assert got.count() == 20_000
+    assert got.where("day < DATE '1990-01-01' + INTERVAL 10000 DAY AND v = datediff(day, DATE '1990-01-01')").count() == got.where("v IS NOT NULL").count() > 16_000
+    got.collect()
+    nodes, stack = [], [got._jdf.queryExecution().executedPlan()]
+    while stack:
+        node = stack.pop()
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            stack.append(node.executedPlan())
+            continue
+        if "QueryStage" in name:
+            stack.append(node.plan())
+            continue
+        if node.metrics().contains("numOutputRows"):
+            nodes.append((name, node.metrics().apply("numOutputRows").value()))
+        stack.extend(node.children().apply(i) for i in range(node.children().size()))
+    assert nodes and max(n for _, n in nodes) <= 2 * (20_000 + 10_000), nodes
 
 
 def test_quality_checks(spark):
@@ -160,6 +265,55 @@ def test_quality_checks(spark):
     assert rows(results) == [("fine", "pass", 0, None), ("nulls", "warn", 2, "a"), ("twice", "fail", 1, "1")]
 
 
+def test_declared_tests_in_one_pass(spark):
+    from ledgerflow.plans.catalogue import Declared, compiled
+
+    rows_ = [("a", 1, "x", "S1", D(2025, 1, 1)), ("a", 1, "y", "S2", None), ("a", None, "x", "", D(2024, 1, 1)), ("a", None, "z", None, D(2025, 2, 1)), ("b", 2, None, "S9", D(2025, 1, 1)), ("b", 3, "z", "S9", None)]
+    df = spark.createDataFrame(rows_, "kind string, n int, v string, store string, day date")
+    declared = Declared(key=["kind", "n"], required=["v", "n"], one_of={"v": ("x", "y")}, found_in={"store": ("stores", "code")}, at_least={"day": D(2025, 1, 1)}, blank_passes=["store"], warn=["n"])
+    stores = spark.createDataFrame([("S1",), ("S2",), ("S2",), (None,)], "code string")
+    got = compiled("t", df, declared, {"stores": stores})
+    assert rows(got) == sorted([
+        ("unique:t.kind+n", "error", 2, "a/"), ("not_null:t.v", "error", 1, "b/2"), ("not_null:t.n", "warn", 2, "a/"),
+        ("accepted_values:t.v", "error", 2, "a/"), ("accepted_range:t.day", "error", 1, "a/"), ("relationships:t.store", "error", 2, "S9"),
+    ], key=repr)
+    assert rows(compiled("t", df.where("false"), declared, {"stores": stores}).select("failures")) == [(0,)] * 6
+    single = Declared(key=["n"])
+    assert rows(compiled("t", df, single, {})) == [("unique:t.n", "error", 1, "1")]
+
+
+def test_catalogue_holds_the_contract_columns():
+    from ledgerflow.contract import COLUMNS
+    from ledgerflow.plans.catalogue import CATALOGUE
+
+    for model, declared in CATALOGUE.items():
+        assert set(declared.columns()) <= set(COLUMNS[model]), model
+        assert all(column in COLUMNS[master] for master, column in declared.found_in.values()), model
+        assert len({test for test, *_ in declared.tests(model)}) == len(list(declared.tests(model)))
+    assert sum(len(list(d.tests(m))) for m, d in CATALOGUE.items()) > 130
+
+
+def test_each_declared_model_is_read_once(spark, sf_dir):
+    """The scans of a compiled model are those of the model and its masters."""
+    from ledgerflow.entries.base import warehouse
+    from ledgerflow.plans.catalogue import CATALOGUE, catalogue_results
+
+    w = warehouse(spark, sf_dir)
+    scans = lambda df: plan_of(df).split("== Initial Plan ==")[0].count("Scan parquet")
+    declared = CATALOGUE["fact_purchases"]
+    own = scans(w.model("fact_purchases", *declared.columns())) + sum(scans(w.model(m, c)) for m, c in set(declared.found_in.values()))
+    assert scans(catalogue_results(w, ["fact_purchases"])) <= own
+
+
+def test_runs_are_stored_by_day(spark, tmp_path):
+    path = str(tmp_path / "runs")
+    counts = lambda a, b: spark.createDataFrame([("t1", "error", a, None), ("t2", "warn", b, "k")], "test string, severity string, failures long, sample string")
+    for at, a, b in ((dt.datetime(2026, 1, 1, 6), 9, 0), (dt.datetime(2026, 1, 1, 9), 1, 0), (dt.datetime(2026, 1, 2, 6), 0, 3)):
+        runs = quality.store_run(quality.judged(counts(a, b), at), path)
+    assert runs.count() == 4
+    assert rows(quality.run_history(runs)) == [("t1", 2, D(2026, 1, 2), "pass", 0, -1), ("t2", 2, D(2026, 1, 1), "warn", 3, 3)]
+
+
 def test_ledger_checks(spark):
     schema = "transaction_id int, line_number int, ledger_account string, debit decimal(20,6), credit decimal(20,6)"
     from decimal import Decimal as N
