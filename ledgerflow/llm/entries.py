@@ -10,9 +10,9 @@ from ledgerflow.llm.common import table
 
 
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    docs = table(spark, sf_dir, "documents")
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "char_distance", "word_distance")
-    return quality.judged(docs, quality.references(docs)).select("doc_id", *[F.col(f"quality_{n}").alias(n) for n in names])
+    return quality.judge_all(docs, ["doc_id"]).select("row.doc_id", *[F.col(f"quality_{n}").alias(n) for n in names])
 
 
 def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:

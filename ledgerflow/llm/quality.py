@@ -9,11 +9,13 @@ corpus. A histogram below its length guard gives no verdict. Languages outside
 
 Null and empty texts have no words and fail the base rule. Rows are judged one
 by one: repeated rows get equal verdicts. An empty table gives an empty result;
-other columns are carried or ignored.
+other columns are carried untouched, whatever their names, or ignored.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,47 +40,63 @@ def _without(text: Column, pattern: str) -> Column:
     return F.regexp_replace(text, pattern, "")
 
 
-def measured(docs: DataFrame) -> DataFrame:
-    """Adds `q`: words, language group, character-class counts and common-word counts of each row."""
+def measured(docs: DataFrame, carried: Sequence[str]) -> DataFrame:
+    """(row, m): the named columns of each row, untouched in a struct of their own, and its measures.
+
+    The measures need no reference, so a caller who stores the result measures
+    every text once.
+    """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    packed = F.struct(*[F.col(f"`{c}`") for c in carried]) if carried else F.struct(F.lit(0).alias("none"))
+    out = docs.select(packed.alias("row"), text.alias("text"), F.col("lang").cast("string").alias("lang"))
     # each class is taken out of what the classes before it left
-    left = [text]
+    left = [F.col("text")]
     for pattern in ("[a-z]+", r"[\x20\x09-\x0D]+", "[A-Z]+", "[0-9]+", "[#*$%&|<>]+", r"[\x00-\x7F]+"):
         left.append(_without(left[-1], pattern))
     names = ("lower", "space", "upper", "digit", "symbol", "other")
     language = F.when(F.col("lang").isin(*COMMON), F.col("lang")).otherwise(F.lit("other"))
     lists = F.create_map(*[x for k, v in COMMON.items() for x in (F.lit(k), F.array(*map(F.lit, v)))])
-    out = docs.withColumn("q", F.struct(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)).alias("words"), text.alias("text"), language.alias("language")))
-    out = out.withColumn("q_left", F.struct(*[F.char_length(x).alias(f"n{i}") for i, x in enumerate(left)]))
-    n = [F.col("q_left")[f"n{i}"] for i in range(len(left))]
+    out = out.withColumn("q", F.struct(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)).alias("words"), language.alias("language")))
+    out = out.withColumn("left", F.struct(*[F.char_length(x).alias(f"n{i}") for i, x in enumerate(left)]))
+    n = [F.col("left")[f"n{i}"] for i in range(len(left))]
     counts = {name: n[i] - n[i + 1] for i, name in enumerate(names)} | {"accented": n[-1]}
     every = sorted({w for v in COMMON.values() for w in v})
-    out = out.withColumn("q_common", F.filter(F.col("q.words"), lambda w: w.isin(*every)))
+    out = out.withColumn("known", F.filter(F.col("q.words"), lambda w: w.isin(*every)))
     mine = F.coalesce(F.element_at(lists, F.col("q.language")), F.array().cast("array<string>"))
-    hist = F.transform(mine, lambda w: F.size(F.filter(F.col("q_common"), lambda x: x == w)))
-    out = out.withColumn("q_hist", hist)
-    return out.withColumn(
-        "q",
-        F.struct(
-            F.col("q.words").alias("words"),
-            F.col("q.text").alias("text"),
-            F.col("q.language").alias("language"),
-            F.size(F.col("q.words")).alias("n_words"),
-            n[0].alias("n_chars"),
-            F.array(*[counts[c] for c in CLASSES]).alias("classes"),
-            F.concat("q_hist", F.array(F.size(F.col("q.words")) - F.aggregate("q_hist", F.lit(0), lambda s, x: s + x))).alias("common"),
-        ),
-    ).drop("q_left", "q_common", "q_hist")
+    out = out.withColumn("hist", F.transform(mine, lambda w: F.size(F.filter(F.col("known"), lambda x: x == w))))
+    lines = F.filter(F.split(F.col("text"), "\n"), lambda x: F.rlike(x, F.lit(r"[^\x20\x09-\x0D]")))
+    out = out.withColumn("lines", lines).withColumn("windows", _repeat_words(F.col("q.words")))
+    # windows that occur twice: neighbours in the order of their hashes; only documents that repeat something pay for it
+    ordered = F.sort_array(F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    out = out.withColumn("ordered", F.when(F.size(F.array_distinct("windows")) < F.size("windows"), ordered))
+    twins = F.filter("ordered", lambda x, j: (x["h"] == F.get("ordered", j - 1)["h"]) | (x["h"] == F.get("ordered", j + 1)["h"]))
+    out = out.withColumn("twins", F.sort_array(F.transform(twins, lambda x: x["i"])))
+    covered = F.aggregate(
+        "twins",
+        F.struct(F.lit(0).alias("n"), F.lit(-WINDOW).alias("last")),
+        lambda s, i: F.struct((s["n"] + F.least(F.lit(WINDOW), i - s["last"])).alias("n"), i.alias("last")),
+        lambda s: s["n"],
+    )
+    words = F.size(F.col("q.words"))
+    measures = F.struct(
+        F.col("q.language").alias("language"),
+        words.alias("n_words"),
+        n[0].alias("n_chars"),
+        F.array(*[counts[c] for c in CLASSES]).alias("classes"),
+        F.concat("hist", F.array(words - F.aggregate("hist", F.lit(0), lambda s, x: s + x))).alias("common"),
+        (F.size("lines") - F.size(F.array_distinct("lines"))).alias("n_dup_lines"),
+        F.coalesce(covered, F.lit(0)).alias("n_repeat_words"),
+    )
+    return out.select("row", measures.alias("m"))
 
 
 def _shares(counts: Column, total: Column) -> Column:
     return F.transform(counts, lambda x: x / total)
 
 
-def references(docs: DataFrame) -> DataFrame:
-    """One row per language of `COMMON` and one for all others: mean class and word shares."""
-    seen = measured(docs.select("text", "lang"))
-    seen = seen.select("q.language", F.when(F.col("q.n_chars") >= MIN_CHARS, _shares(F.col("q.classes"), F.col("q.n_chars"))).alias("c"), F.when(F.col("q.n_words") >= MIN_WORDS, _shares(F.col("q.common"), F.col("q.n_words"))).alias("w"))
+def references_of(seen: DataFrame) -> DataFrame:
+    """References from measured documents; see `references`."""
+    seen = seen.select("m.language", F.when(F.col("m.n_chars") >= MIN_CHARS, _shares(F.col("m.classes"), F.col("m.n_chars"))).alias("c"), F.when(F.col("m.n_words") >= MIN_WORDS, _shares(F.col("m.common"), F.col("m.n_words"))).alias("w"))
     longest = max(map(len, COMMON.values())) + 1
     parts = [F.round(F.avg(F.get("c", F.lit(i))), 6).alias(f"c{i}") for i in range(len(CLASSES))]
     parts += [F.round(F.avg(F.get("w", F.lit(i))), 6).alias(f"w{i}") for i in range(longest)]
@@ -86,6 +104,14 @@ def references(docs: DataFrame) -> DataFrame:
     return stored(means.select(F.col("language").alias("ref_language"), F.array(*[f"c{i}" for i in range(len(CLASSES))]).alias("ref_classes"), F.array(*[f"w{i}" for i in range(longest)]).alias("ref_words")))
 
 
+def references(docs: DataFrame) -> DataFrame:
+    """One row per language of `COMMON` and one for all others: mean class and word shares.
+
+    Keep the result, and documents judged later don't depend on their neighbours.
+    """
+    return references_of(measured(docs, []))
+
+
 def js_distance(p: Column, q: Column) -> Column:
     """Jensen-Shannon distance (square root, base 2) of two histograms of shares."""
 
@@ -102,50 +128,50 @@ def _repeat_words(words: Column) -> Column:
     return F.when(n >= WINDOW, F.transform(F.sequence(F.lit(0), F.greatest(n - WINDOW, F.lit(0))), lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(WINDOW)]))).otherwise(F.array().cast("array<bigint>"))
 
 
-def judged(docs: DataFrame, refs: DataFrame) -> DataFrame:
-    """The documents with the base measures, distances and the verdict; columns are prefixed `quality_`.
-
-    `refs` has one row per language of `COMMON` and one more, so it is broadcast.
-    Store or cache the result before filtering on other measures than the verdict:
-    Spark would push such a filter down and compute them again inside it.
-    """
-    out = measured(docs)
-    lines = F.filter(F.split(F.col("q.text"), "\n"), lambda x: F.rlike(x, F.lit(r"[^\x20\x09-\x0D]")))
-    out = out.withColumn("q_lines", lines).withColumn("q_windows", _repeat_words(F.col("q.words")))
-    # windows that occur twice: neighbours in the order of their hashes; only documents that repeat something pay for it
-    ordered = F.sort_array(F.transform("q_windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    out = out.withColumn("q_ordered", F.when(F.size(F.array_distinct("q_windows")) < F.size("q_windows"), ordered))
-    twins = F.filter("q_ordered", lambda x, j: (x["h"] == F.get("q_ordered", j - 1)["h"]) | (x["h"] == F.get("q_ordered", j + 1)["h"]))
-    out = out.withColumn("q_twins", F.sort_array(F.transform(twins, lambda x: x["i"])))
-    covered = F.aggregate(
-        "q_twins",
-        F.struct(F.lit(0).alias("n"), F.lit(-WINDOW).alias("last")),
-        lambda s, i: F.struct((s["n"] + F.least(F.lit(WINDOW), i - s["last"])).alias("n"), i.alias("last")),
-        lambda s: s["n"],
-    )
-    repeat = F.coalesce(covered, F.lit(0))
-    out = out.join(F.broadcast(refs), F.col("q.language") == F.col("ref_language"), "left")
-    words = F.col("q.n_words")
-    char_distance = F.when(F.col("q.n_chars") >= MIN_CHARS, js_distance(_shares(F.col("q.classes"), F.col("q.n_chars")), F.col("ref_classes")))
-    word_distance = F.when((words >= MIN_WORDS) & (F.col("q.language") != "other"), js_distance(_shares(F.col("q.common"), words), F.slice("ref_words", 1, F.size("q.common"))))
+def verdicts(seen: DataFrame, refs: DataFrame) -> DataFrame:
+    """(row, quality_...): measured documents against the references, which have one row per language and are broadcast."""
+    out = seen.join(F.broadcast(refs), F.col("m.language") == F.col("ref_language"), "left")
+    words, chars = F.col("m.n_words"), F.col("m.n_chars")
+    char_distance = F.when(chars >= MIN_CHARS, js_distance(_shares(F.col("m.classes"), chars), F.col("ref_classes")))
+    word_distance = F.when((words >= MIN_WORDS) & (F.col("m.language") != "other"), js_distance(_shares(F.col("m.common"), words), F.slice("ref_words", 1, F.size("m.common"))))
     out = out.select(
-        *[F.col(f"`{c}`") for c in docs.columns],
+        "row",
         words.cast("long").alias("quality_n_words"),
-        (F.col("q.n_chars") - F.get("q.classes", F.lit(CLASSES.index("space")))).cast("long").alias("quality_word_chars"),
-        F.get("q.classes", F.lit(CLASSES.index("symbol"))).cast("long").alias("quality_n_symbols"),
-        (F.size("q_lines") - F.size(F.array_distinct("q_lines"))).cast("long").alias("quality_n_dup_lines"),
-        repeat.cast("long").alias("quality_n_repeat_words"),
+        (chars - F.get("m.classes", F.lit(CLASSES.index("space")))).cast("long").alias("quality_word_chars"),
+        F.get("m.classes", F.lit(CLASSES.index("symbol"))).cast("long").alias("quality_n_symbols"),
+        F.col("m.n_dup_lines").cast("long").alias("quality_n_dup_lines"),
+        F.col("m.n_repeat_words").cast("long").alias("quality_n_repeat_words"),
         char_distance.alias("quality_char_distance"),
         word_distance.alias("quality_word_distance"),
     )
     failed = (F.col("quality_n_words") < BASE_MIN_WORDS) | (100 * F.col("quality_n_repeat_words") > BASE_REPEAT_PERCENT * F.col("quality_n_words"))
-    # one number of both sides of the join, so that a filter on the verdict stays above it and measures each text once
+    # one number of both sides of the join, so that a filter on the verdict stays above it and measures no text twice
     excess = F.greatest(
         F.coalesce("quality_char_distance", F.lit(0.0)) / MAX_CHAR_DISTANCE, F.coalesce("quality_word_distance", F.lit(0.0)) / MAX_WORD_DISTANCE, F.when(failed, F.lit(2.0)).otherwise(F.lit(0.0))
     )
     return out.withColumn("quality_base_failed", failed).withColumn("quality_kept", excess <= 1)
 
 
-def keep_good(docs: DataFrame) -> DataFrame:
-    """The documents that pass, with their own columns only."""
-    return judged(docs, references(docs)).where("quality_kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+def judged(docs: DataFrame, refs: DataFrame) -> DataFrame:
+    """The documents with the base measures, distances and the verdict; columns are prefixed `quality_`.
+
+    A column of the documents with such a name gives way to the verdict's; the
+    others stay as they are, whatever their names. Texts are measured when the
+    result is computed: store or cache it before filtering it.
+    """
+    out = verdicts(measured(docs, docs.columns), refs)
+    told = [c for c in out.columns if c != "row"]
+    kept = [c for c in docs.columns if c.lower() not in told]
+    return out.select(*[F.col("row")[c].alias(c) for c in kept], *told)
+
+
+def judge_all(docs: DataFrame, carried: Sequence[str]) -> DataFrame:
+    """(row, quality_...) of all documents, with references from these very documents; every text is measured once."""
+    seen = stored(measured(docs, carried))
+    return verdicts(seen, references_of(seen))
+
+
+def keep_good(docs: DataFrame, refs: DataFrame | None = None) -> DataFrame:
+    """The documents that pass, with their own columns only; references are made from them where none are given."""
+    out = judge_all(docs, docs.columns) if refs is None else verdicts(measured(docs, docs.columns), refs)
+    return out.where("quality_kept").select(*[F.col("row")[c].alias(c) for c in docs.columns])
