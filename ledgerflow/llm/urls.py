@@ -6,14 +6,20 @@ a unigram Viterbi splits the letter runs of host labels and path parts into
 words, and multinomial naive Bayes (add-one smoothing) weighs the words. The
 unigram counts are those of all words of all page texts; they stay a table, and
 every distinct run is split with the counts that its own substrings join to, so
-no vocabulary passes through the driver and none is cut. Naive Bayes learns from
+no vocabulary passes through the driver and none is cut. What makes the rules
+decide is masked before that: the last label of the host, the labels that any
+rule's host names and the path parts that any rule's path names are no words, so
+a verdict doesn't follow from them. Naive Bayes learns from
 urls that a rule decides, of each verdict the `TRAIN_ROWS` / 2 of least row hash
 among all of them, so a rare verdict is not lost; the prior is that of all decided
-urls. A frequent url is drawn as often as it occurs. Without urls of both verdicts
-everything else is allowed; ties allow.
+urls, moved by a constant that makes the sum of their probabilities right where the
+drawn ones show it off. Words that no drawn url holds say nothing. A frequent url is
+drawn as often as it occurs. Without urls of both verdicts everything else is
+allowed; ties allow.
 
 Null urls and urls without `://` have an empty host and path. Rows are judged one
-by one and may repeat; an empty table gives an empty result.
+by one and may repeat; an empty table gives an empty result. A letter run of any
+length gives its substrings in parts of bounded size.
 """
 
 from __future__ import annotations
@@ -31,6 +37,8 @@ from ledgerflow.llm.common import ascii_lower, hot_join, stored
 
 RULES = {"com/": "allow", "example.com/en/": "block", "www.example.com/en/": "allow", "net/es/": "block", "net/fr/": "block"}
 TRAIN_ROWS, LONGEST = 20_000, 24
+#: first letters of substrings taken from a run at once
+_PART = 4096
 _RUN = re.compile(r"[^\W\d_]+|\d+")
 
 
@@ -52,6 +60,16 @@ def fitting_rule(host: Column, path: Column, rules: dict[str, str]) -> Column:
     return F.coalesce(*found, F.lit(None).cast("string"))
 
 
+def masked(host: Column, path: Column, rules: dict[str, str]) -> tuple[Column, Column]:
+    """Host and path without what rules look at: see the module's head."""
+    names = sorted({label for rule in rules for label in rule.partition("/")[0].split(".")})
+    starts = sorted({part.lower() for rule in rules for part in rule.partition("/")[2].split("/") if part})
+    labels = F.split(host, r"\.")
+    kept = F.filter(F.slice(labels, 1, F.size(labels) - 1), lambda x: ~x.isin(*names))
+    parts_ = F.filter(F.split(path, "/"), lambda x: ~F.lower(x).isin(*starts)) if starts else F.split(path, "/")
+    return F.array_join(kept, "."), F.array_join(parts_, "/")
+
+
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         counts: Counter[str] = Counter()
@@ -65,11 +83,6 @@ def word_counts(pages: DataFrame) -> DataFrame:
     return stored(pages.select("html").mapInArrow(_count_words, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")))
 
 
-def unigrams(pages: DataFrame) -> dict[str, int]:
-    """All word counts in the driver; for tables that fit there, `judged` does not use it."""
-    return {r["word"]: r["n"] for r in word_counts(pages).collect()}
-
-
 class Segmenter:
     """Unigram Viterbi over a letter run; characters outside the vocabulary stand alone."""
 
@@ -117,7 +130,7 @@ def runs(host: str, path: str) -> list[tuple[str, str]]:
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     told = pa.list_(pa.struct([("kind", pa.string()), ("run", pa.string())]))
     for batch in batches:
-        lists = [[{"kind": k, "run": r} for k, r in runs(h, p)] for h, p in zip(batch.column("host").to_pylist(), batch.column("path").to_pylist(), strict=True)]
+        lists = [[{"kind": k, "run": r} for k, r in runs(h, p)] for h, p in zip(batch.column("seen_host").to_pylist(), batch.column("seen_path").to_pylist(), strict=True)]
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lists, told)], names=[*batch.schema.names, "runs"])
 
 
@@ -125,9 +138,12 @@ def _substrings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(run, sub): the distinct substrings of two to `LONGEST` letters of each run."""
     for batch in batches:
         for run in batch.column("run").to_pylist():
-            subs = {run[a:b] for a in range(len(run)) for b in range(a + 2, min(a + LONGEST, len(run)) + 1)}
-            if subs:
-                yield pa.RecordBatch.from_arrays([pa.array([run] * len(subs), pa.string()), pa.array(sorted(subs), pa.string())], names=["run", "sub"])
+            # overlapping parts, so that no substring is missed; one may come twice
+            for begin in range(0, max(len(run) - 1, 0), _PART):
+                part = run[begin : begin + _PART + LONGEST - 1]
+                subs = {part[a:b] for a in range(min(len(part), _PART)) for b in range(a + 2, min(a + LONGEST, len(part)) + 1)}
+                if subs:
+                    yield pa.RecordBatch.from_arrays([pa.array([run] * len(subs), pa.string()), pa.array(sorted(subs), pa.string())], names=["run", "sub"])
 
 
 def _split_runs(total: int):
@@ -140,7 +156,7 @@ def _split_runs(total: int):
 
 
 def segmented(rows: DataFrame, words: DataFrame) -> DataFrame:
-    """`rows` (with host and path) and their tokens; `words` holds the count of every word once."""
+    """`rows` (with seen_host and seen_path) and their tokens; `words` holds the count of every word once."""
     total = words.agg(F.sum("n")).first()[0] or 0
     kept = rows.columns
     marked = stored(rows.withColumn("row", F.monotonically_increasing_id()))
@@ -151,7 +167,7 @@ def segmented(rows: DataFrame, words: DataFrame) -> DataFrame:
     pairs = distinct.mapInArrow(_substrings, "run string, sub string")
     hits = hot_join(pairs, words.withColumnRenamed("word", "sub"), "sub").select("run", F.struct("sub", "n").alias("hit"))
     every = hits.unionByName(distinct.select("run", F.lit(None).cast(hits.schema["hit"].dataType).alias("hit")))
-    known = every.groupBy("run").agg(F.collect_list("hit").alias("known"))
+    known = every.groupBy("run").agg(F.collect_set("hit").alias("known"))
     split = known.mapInArrow(_split_runs(total), "run string, words array<string>")
     told = hot_join(placed, split, "run", "left")
     some = F.collect_list(F.when(F.col("at").isNotNull(), F.struct("at", F.transform("words", lambda w: F.concat("kind", w)).alias("told"))))
@@ -159,15 +175,6 @@ def segmented(rows: DataFrame, words: DataFrame) -> DataFrame:
     return told.groupBy("row", *kept).agg(F.flatten(lists).alias("tokens")).drop("row")
 
 
-def _tokens(segmenter):
-    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = [segmenter.value.tokens(h, p) for h, p in zip(batch.column("host").to_pylist(), batch.column("path").to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("verdict"), pa.array(lists, pa.list_(pa.string()))], names=["verdict", "tokens"])
-
-    return split
-
-
 def verdict_counts(labelled: DataFrame) -> dict[str, int]:
     return {r["verdict"]: r["count"] for r in labelled.groupBy("verdict").count().collect()}
 
@@ -186,17 +193,12 @@ def drawn(labelled: DataFrame, counts: dict[str, int]) -> DataFrame:
     return sample
 
 
-def fit(labelled: DataFrame, segmenter) -> dict[str, float]:
-    """`odds_of` rows of host, path, verdict under a broadcast segmenter."""
-    counts = verdict_counts(labelled)
-    sample = drawn(labelled, counts).select("host", "path", "verdict")
-    return odds_of(sample.mapInArrow(_tokens(segmenter), "verdict string, tokens array<string>"), counts)
-
-
 def odds_of(seen: DataFrame, verdicts: dict[str, int]) -> dict[str, float]:
-    """Log odds of block against allow by token; '' holds the prior, None the unseen token.
+    """Log odds of block against allow by token; '' holds the prior. A token without odds says nothing.
 
-    `seen`: verdict, tokens of the drawn rows; `verdicts`: how many rows there are of each.
+    `seen`: verdict, tokens of the drawn rows; `verdicts`: how many rows there
+    are of each. The prior is moved until the drawn rows, weighed as there are
+    rows of their verdict, are blocked as often as they should be on average.
     """
     allowed, blocked = verdicts.get("allow", 0), verdicts.get("block", 0)
     if not allowed or not blocked:
@@ -207,7 +209,20 @@ def odds_of(seen: DataFrame, verdicts: dict[str, int]) -> dict[str, float]:
     size = len(counts) + 1
     a_all, b_all = (sum(c[i] for c in counts.values()) + size for i in (0, 1))
     odds = {t: math.log((b + 1) / b_all) - math.log((a + 1) / a_all) for t, (a, b) in counts.items()}
-    return odds | {"": math.log(blocked / allowed), None: math.log(a_all / b_all)}
+    told = [(r["verdict"], sum(odds[t] for t in r["tokens"])) for r in seen.collect()]  # the drawn rows, `TRAIN_ROWS` at most
+    mine = {v: sum(x == v for x, _ in told) for v in ("allow", "block")}
+    weighed = [(verdicts[v] / mine[v], s) for v, s in told]
+    return odds | {"": balanced(weighed, blocked)}
+
+
+def balanced(scores: list[tuple[float, float]], wanted: float) -> float:
+    """The constant that, added to log odds (weight, value), makes their probabilities sum to `wanted`."""
+    low, high = -60.0, 60.0
+    for _ in range(80):
+        middle = (low + high) / 2
+        total = sum(w / (1 + math.exp(-max(-500.0, min(500.0, s + middle)))) for w, s in scores)
+        low, high = (middle, high) if total < wanted else (low, middle)
+    return (low + high) / 2
 
 
 def _judge(model):
@@ -215,7 +230,7 @@ def _judge(model):
         odds = model.value
         for batch in batches:
             lists = batch.column("tokens").to_pylist()
-            scores = [odds[""] + sum(odds.get(t, odds[None]) for t in tokens) if odds else 0.0 for tokens in lists]
+            scores = [odds[""] + sum(odds.get(t, 0.0) for t in tokens) if odds else 0.0 for tokens in lists]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c) for c in ("page_id", "host", "path", "rule", "verdict")] + [pa.array([" ".join(t) for t in lists], pa.string()), pa.array(scores, pa.float64())],
                 names=["page_id", "host", "path", "rule", "verdict", "tokens", "score"],
@@ -232,7 +247,9 @@ def judged(pages: DataFrame, rules: dict[str, str] = RULES) -> DataFrame:
     rows = rows.withColumn("rule", fitting_rule(F.col("host"), F.col("path"), rules))
     decided = F.create_map(*[F.lit(x) for pair in rules.items() for x in pair])
     rows = rows.withColumn("verdict", F.element_at(decided, F.col("rule")))
-    rows = stored(segmented(rows, word_counts(pages)))
+    seen_host, seen_path = masked(F.col("host"), F.col("path"), rules)
+    marked = rows.withColumn("seen_host", seen_host).withColumn("seen_path", seen_path)
+    rows = stored(segmented(marked, word_counts(pages)).drop("seen_host", "seen_path"))
     labelled = rows.where("rule IS NOT NULL").select("page_id", "host", "path", "verdict", "tokens")
     counts = verdict_counts(labelled)
     model = spark.sparkContext.broadcast(odds_of(drawn(labelled, counts).select("verdict", "tokens"), counts))
