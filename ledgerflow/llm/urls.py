@@ -8,8 +8,8 @@ unigram counts are those of all words of all page texts; they stay a table, and
 every distinct run is split with the counts that its own substrings join to, so
 no vocabulary passes through the driver and none is cut. What makes the rules
 decide is masked before that: the last label of the host, the labels that any
-rule's host names and the path parts that any rule's path names are no words, so
-a verdict doesn't follow from them. Naive Bayes learns from
+rule's host names and as many first parts of the path as a rule looks at are no
+words, so a verdict doesn't follow from them. Naive Bayes learns from
 urls that a rule decides, of each verdict the `TRAIN_ROWS` / 2 of least row hash
 among all of them, so a rare verdict is not lost; the prior is that of all decided
 urls, moved by a constant that makes the sum of their probabilities right where the
@@ -63,11 +63,11 @@ def fitting_rule(host: Column, path: Column, rules: dict[str, str]) -> Column:
 def masked(host: Column, path: Column, rules: dict[str, str]) -> tuple[Column, Column]:
     """Host and path without what rules look at: see the module's head."""
     names = sorted({label for rule in rules for label in rule.partition("/")[0].split(".")})
-    starts = sorted({part.lower() for rule in rules for part in rule.partition("/")[2].split("/") if part})
+    depth = max((len([x for x in rule.partition("/")[2].split("/") if x]) for rule in rules), default=0)
     labels = F.split(host, r"\.")
     kept = F.filter(F.slice(labels, 1, F.size(labels) - 1), lambda x: ~x.isin(*names))
-    parts_ = F.filter(F.split(path, "/"), lambda x: ~F.lower(x).isin(*starts)) if starts else F.split(path, "/")
-    return F.array_join(kept, "."), F.array_join(parts_, "/")
+    rest = F.slice(F.split(path, "/"), depth + 2, F.greatest(F.size(F.split(path, "/")), F.lit(1)))
+    return F.array_join(kept, "."), F.array_join(rest, "/")
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
