@@ -1,6 +1,7 @@
 """SentencePiece encoding and decoding by a relational lattice (operator 4).
 
-Documents are gathered in chunks. A chunk asks the owners of units (parts of
+Documents are gathered in chunks of about `CHUNK_BYTES` of text, whatever the
+size of the table; a longer document is a chunk of its own. A chunk asks the owners of units (parts of
 text no piece can span, see `pieces`) for its distinct units. An owner's units
 become a lattice: their substrings up to the longest piece are exploded and
 equi-joined to the piece table, the edges are grouped by unit, and the Viterbi
@@ -27,6 +28,7 @@ from zlib import crc32
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,8 +36,10 @@ from pyspark.sql import types as T
 from ledgerflow.llm.common import partitions
 from ledgerflow.llm.pieces import MODEL, SPACE, Pieces, load, prepared
 
-#: a chunk asks an owner once, so there are never more requests than distinct units of chunks
-CHUNKS_PER_PARTITION, OWNERS_PER_PARTITION = 0.75, 3
+#: text of a chunk, which a task holds with its words and token ids
+CHUNK_BYTES = 8 << 20
+#: owners of units, at least so many per shuffle partition, and one for so many bytes of input
+OWNERS_PER_PARTITION, OWNER_BYTES = 3, 4 << 20
 _EDGE_BITS = 26  # of an edge's number: 6 for its length, the others for its rank; its end stands above
 _EDGE = 1 << _EDGE_BITS
 _BLOCK = 512  # characters of a long unit that are exploded together
@@ -47,23 +51,30 @@ _DOC = pa.schema([("doc_id", pa.int64()), ("text", pa.string())])
 def _stream(batch: pa.RecordBatch) -> bytes:
     """A batch as a compressed Arrow stream."""
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=4))) as out:
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=6))) as out:
         out.write_batch(batch)
     return sink.getvalue().to_pybytes()
 
 
-def _pack(n_chunks: int):
-    """Documents by chunk, as compressed Arrow streams."""
+def _pack(limit: int):
+    """Consecutive documents of a task in chunks of at most `limit` bytes of text, as compressed Arrow streams."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk, size, streams = TaskContext.get().partitionId() << 32, 0, 0
         for batch in batches:
-            rows: dict[int, list[int]] = {}
-            for i, key in enumerate(batch.column("row_key").to_pylist()):
-                rows.setdefault(key % n_chunks, []).append(i)
-            blobs = []
-            for at in rows.values():
-                blobs.append(_stream(batch.select(["doc_id", "text"]).take(pa.array(at)).cast(_DOC)))
-            yield pa.RecordBatch.from_arrays([pa.array(list(rows), pa.int64()), pa.array(blobs, pa.binary())], names=["chunk", "docs"])
+            rows = batch.select(["doc_id", "text"]).cast(_DOC)
+            ends = np.cumsum(pc.binary_length(rows.column("text")).to_numpy(zero_copy_only=False))
+            start, before = 0, 0
+            while start < rows.num_rows:
+                # as many rows as the chunk still takes, one at least where it is empty
+                n = int(np.searchsorted(ends, before + limit - size, side="right")) - start
+                if n <= 0 and streams:
+                    chunk, size, streams = chunk + 1, 0, 0
+                    continue
+                n = max(n, 1)
+                yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([_stream(rows.slice(start, n))], pa.binary())], names=["chunk", "docs"])
+                size, streams = size + int(ends[start + n - 1]) - before, streams + 1
+                start, before = start + n, int(ends[start + n - 1])
 
     return pack
 
@@ -75,32 +86,21 @@ def _documents(packed: pa.Table) -> Iterator[tuple[int | None, str]]:
                 yield doc_id, text.as_py() or ""
 
 
-def _plain(text: str) -> bool:
-    """Words are what stands between single spaces."""
-    return not ("  " in text or SPACE in text or text[0] == " " or text[-1] == " ")
-
-
-def _wanted(packed: pa.Table, pieces: Pieces, owners: int) -> tuple[dict[int, list[str]], dict[str, list[str]]]:
-    """The chunk's distinct units by owner, sorted, the same whenever it is asked again; and the units of its words."""
-    words: dict[str, list[str]] = {}
+def _wanted(packed: pa.Table, pieces: Pieces, owners: int) -> dict[int, list[str]]:
+    """The chunk's distinct units by owner, sorted, the same whenever it is asked again."""
     units: set[str] = set()
     for _, text in _documents(packed):
-        if text and _plain(text):
-            words.update(dict.fromkeys(text.split(" ")))
-        else:
-            units.update(pieces.units(prepared(text)))
-    for word in words:
-        words[word] = got = pieces.units(SPACE + word)
-        units.update(got)
+        units.update(pieces.units(prepared(text)))
     out: dict[int, list[str]] = {}
     for unit in sorted(units):
         out.setdefault(crc32(unit.encode("utf-8", "replace")) % owners, []).append(unit)
-    return out, words
+    return out
 
 
 def _ask(pieces, owners: int):
     def ask(key: tuple[pa.Scalar, ...], packed: pa.Table) -> pa.Table:
-        wanted, _ = _wanted(packed, pieces.value, owners)
+        pa.default_memory_pool().release_unused()  # of the chunk before
+        wanted = _wanted(packed, pieces.value, owners)
         return pa.table({"chunk": pa.array([key[0].as_py()] * len(wanted), pa.int64()), "owner": pa.array(list(wanted), pa.int64()), "units": pa.array(list(wanted.values()), pa.list_(pa.string()))})
 
     return ask
@@ -143,6 +143,20 @@ def viterbi(edges: Column, longest: int) -> Column:
     return F.aggregate(edges, start, step, lambda s: F.concat(F.array_join(s["parts"], ""), told(s)))
 
 
+def viterbi_short(edges: Column) -> Column:
+    """What `viterbi` tells, for short units: the fold keeps the best sums of all positions in one array."""
+
+    def step(best: Column, x: Column) -> Column:
+        end = F.shiftright(x, _EDGE_BITS)
+        start = (end - 63 + x.bitwiseAND(63)).cast("int")
+        total = F.element_at(best, start + 1).bitwiseAND(~63) + x.bitwiseAND(_EDGE - 1)
+        less = F.concat(F.slice(best, F.lit(1), end.cast("int")), F.array(F.least(F.element_at(best, -1), total)))
+        return F.when(F.size(best) > end, less).otherwise(F.array_append(best, total))
+
+    ends = F.aggregate(edges, F.array(F.lit(0).cast("long")), step, lambda best: F.slice(best, F.lit(2), F.size(best)))
+    return F.array_join(F.transform(ends, lambda x: F.char(F.lit(127) - x.bitwiseAND(63))), "")
+
+
 def lattice(units: DataFrame, table: DataFrame, longest: int, unknown: int) -> DataFrame:
     """Distinct (owner, unit, asked_by) with `steps`, what the fold tells of each. `table`: piece, rank; a fixed file, broadcast."""
     # long units are cut into blocks and grouped by a hash, so that no row of the lattice carries a long text;
@@ -164,7 +178,8 @@ def lattice(units: DataFrame, table: DataFrame, longest: int, unknown: int) -> D
     edge = F.shiftleft(end, _EDGE_BITS) + F.shiftleft(F.coalesce("rank", F.lit(unknown)), 6) + (F.lit(63) - F.col("length"))
     grouped = edges.select("owner", "key", "short", "whole", "asked_by", edge.alias("edge")).groupBy("owner", "key", "short")
     grouped = grouped.agg(F.sort_array(F.collect_list("edge")).alias("edges"), F.min("asked_by").alias("asked_by"), F.max("whole").alias("whole"))
-    return grouped.select("owner", F.coalesce("whole", "key").alias("unit"), "asked_by", viterbi(F.col("edges"), longest).alias("steps"))
+    steps = F.when(F.col("short"), viterbi_short(F.col("edges"))).otherwise(viterbi(F.col("edges"), longest))
+    return grouped.select("owner", F.coalesce("whole", "key").alias("unit"), "asked_by", steps.alias("steps"))
 
 
 def back_track(unit: str, steps: str, pieces: Pieces) -> array:
@@ -182,13 +197,17 @@ def back_track(unit: str, steps: str, pieces: Pieces) -> array:
 
 def _reply(pieces):
     def reply(key: tuple[pa.Scalar, ...], asked: pa.Table, encoded: pa.Table) -> pa.Table:
-        units, table = encoded.column("unit").combine_chunks(), pieces.value
-        codes = pa.array([back_track(u, s, table) for u, s in zip(units.to_pylist(), encoded.column("steps").to_pylist(), strict=True)], _CODES)
+        units, table = encoded.column("unit").to_pylist(), pieces.value
+        lists = [back_track(u, s, table) for u, s in zip(units, encoded.column("steps").to_pylist(), strict=True)]
+        codes = pa.array(lists, _CODES)
+        exact = pa.array([table.written(ids) == unit for unit, ids in zip(units, lists, strict=True)], pa.bool_())
+        place = {unit: i for i, unit in enumerate(units)}
         chunks, owners, blobs = [], [], []
         for chunk, owner, mine in zip(asked.column("chunk").to_pylist(), asked.column("owner").to_pylist(), asked.column("units"), strict=True):
             chunks.append(chunk)
             owners.append(owner)
-            blobs.append(_stream(pa.RecordBatch.from_arrays([codes.take(pc.index_in(mine.values, value_set=units))], names=["codes"])))
+            at = pa.array([place[unit] for unit in mine.as_py()], pa.int64())
+            blobs.append(_stream(pa.RecordBatch.from_arrays([codes.take(at), exact.take(at)], names=["codes", "exact"])))
         return pa.table({"chunk": pa.array(chunks, pa.int64()), "owner": pa.array(owners, pa.int64()), "codes": pa.array(blobs, pa.binary())})
 
     return reply
@@ -196,46 +215,52 @@ def _reply(pieces):
 
 def _spell(pieces, owners: int):
     def spell(packed: pa.Table, replies: pa.Table) -> pa.Table:
+        pa.default_memory_pool().release_unused()
         table = pieces.value
-        wanted, split = _wanted(packed, table, owners)
+        wanted = _wanted(packed, table, owners)
         known: dict[str, bytes] = {}
+        odd: set[str] = set()  # units that are not read back as they were
         for owner, codes in zip(replies.column("owner").to_pylist(), replies.column("codes"), strict=True):
-            lists = pa.ipc.open_stream(codes.as_py()).read_all().column("codes").combine_chunks()
+            told = pa.ipc.open_stream(codes.as_py()).read_all()
+            lists, exact = told.column("codes").combine_chunks(), told.column("exact").combine_chunks()
             flat, ends = lists.values.to_numpy().astype(np.int32).tobytes(), (4 * lists.offsets.to_numpy()).tolist()
-            known.update((u, flat[a:b]) for u, a, b in zip(wanted.pop(owner), ends, ends[1:], strict=False))
-        words: dict[str, array] = {}
+            mine = wanted.pop(owner)
+            known.update((u, flat[a:b]) for u, a, b in zip(mine, ends, ends[1:], strict=False))
+            if exact.false_count:
+                odd.update(u for u, same in zip(mine, exact.to_pylist(), strict=True) if not same)
         doc_ids, digests, same, offsets = [], [], [], [0]
-        ids = array("i")
+        ids = bytearray()
         for doc_id, text in _documents(packed):
-            if text and _plain(text):
-                for word in text.split(" "):
-                    got = words.get(word)
-                    if got is None:
-                        got = words[word] = array("i", b"".join([known[u] for u in split.pop(word)]))
-                    ids.extend(got)
-            else:
-                for unit in table.units(prepared(text)):
-                    ids.frombytes(known[unit])
+            units = table.units(prepared(text))
+            ids += b"".join(map(known.__getitem__, units))
+            # units stand for whole runs of bytes, so a text of units that read back as they were does so, too
+            same.append(SPACE not in text and (not odd or odd.isdisjoint(units)))
             doc_ids.append(doc_id)
             digests.append(hashlib.sha256(text.encode("utf-8", "replace")).hexdigest())
-            same.append(table.decode(ids[offsets[-1] :]) == text)
-            offsets.append(len(ids))
-        tokens = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(ids, np.int32)))
+            offsets.append(len(ids) >> 2)
+        tokens = pa.LargeListArray.from_arrays(pa.array(offsets, pa.int64()), pa.array(np.frombuffer(ids, np.int32))).cast(_CODES)
         return pa.table({"doc_id": pa.array(doc_ids, pa.int64()), "text_sha256": pa.array(digests, pa.string()), "ids": tokens, "same": pa.array(same, pa.bool_())})
 
     return spell
 
 
-def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
-    """One row per document: doc_id, text_sha256 (of the text), ids (array of int), same (decoding gives the text back)."""
+def _input_bytes(df: DataFrame) -> int:
+    """Bytes that a frame reads, by Spark's estimate; 0 where it has none."""
+    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return estimate if estimate < 1 << 60 else 0
+
+
+def encode(docs: DataFrame, model: str = MODEL, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """One row per document: doc_id, text_sha256 (of the text), ids (array of int), same (decoding gives the text back).
+
+    Smaller chunks take less memory in a task and more requests to the owners of units.
+    """
     spark = docs.sparkSession
     table = load(model)
     pieces = spark.sparkContext.broadcast(table)
-    n = partitions(spark)
-    owners = OWNERS_PER_PARTITION * n
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    read = read.withColumn("row_key", F.xxhash64("doc_id", "text"))
-    packed = read.mapInArrow(_pack(max(1, int(CHUNKS_PER_PARTITION * n))), "chunk long, docs binary")
+    owners = max(OWNERS_PER_PARTITION * partitions(spark), _input_bytes(read) // OWNER_BYTES)
+    packed = read.mapInArrow(_pack(chunk_bytes), "chunk long, docs binary")
     asked = packed.groupBy("chunk").applyInArrow(_ask(pieces, owners), "chunk long, owner long, units array<string>").repartition(owners, "owner")
     # reads every column of `asked`, so that both of its readers share one shuffle
     units = asked.select("owner", "chunk", F.explode_outer("units").alias("unit")).groupBy("owner", "unit").agg(F.min("chunk").alias("asked_by"))
@@ -263,6 +288,6 @@ def decode(encoded: DataFrame, model: str = MODEL) -> DataFrame:
     return encoded.mapInArrow(_unspell(pieces), schema)
 
 
-def round_trip(docs: DataFrame, model: str = MODEL) -> DataFrame:
+def round_trip(docs: DataFrame, model: str = MODEL, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """One row per document: doc_id, n_tokens, ids, text_sha256, same."""
-    return encode(docs, model).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "text_sha256", "same")
+    return encode(docs, model, chunk_bytes).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "text_sha256", "same")
