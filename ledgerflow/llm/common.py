@@ -2,40 +2,60 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.session import shared_folder
+from ledgerflow.session import work_folder
 
 #: A word is a run of anything but space and U+0009..U+000D.
 WORD = r"[^\x20\x09-\x0D]+"
 
-_LOCAL: list[str] = []
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def work_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder; a folder of this process only where none is set, as in tests."""
-    if spark.conf.get("spark.checkpoint.dir", None):
-        return shared_folder(spark)
-    if not _LOCAL:
-        _LOCAL.append(tempfile.mkdtemp(prefix="ledgerflow-"))
-    return _LOCAL[0]
+_SCOPE: ContextVar[str] = ContextVar("scope", default="llm")
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What operators store inside is deleted at the end; write their results somewhere before.
+
+    Outside of such a scope stored frames stay: a result that is not computed
+    yet may read them.
+    """
+    token = _SCOPE.set(f"llm/{uuid.uuid4().hex}")
+    folder = f"{work_folder(spark)}/{_SCOPE.get()}"
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stored(df: DataFrame) -> DataFrame:
     """Write a frame to the shared folder and read it back: lost executors do not recompute it."""
-    path = f"{work_folder(df.sparkSession)}/llm/{uuid.uuid4().hex}"
+    path = f"{work_folder(df.sparkSession)}/{_SCOPE.get()}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def whole_rows(docs: DataFrame, **keys: Column) -> DataFrame:
+    """Every row as one struct `row` beside the named keys, so that its columns clash with none of an operator's."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *[c.alias(name) for name, c in keys.items()])
+
+
+def columns_of(rows: DataFrame, names: list[str]) -> DataFrame:
+    """The columns of `whole_rows` again."""
+    return rows.select(*[F.col("row")[c].alias(c) for c in names])
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerflow.llm.common import hot_join, partitions, stored
+from ledgerflow.llm.common import columns_of, hot_join, partitions, stored, whole_rows
 
 #: fingerprints that one owner merges at once, on average
 PER_OWNER = 1 << 20
@@ -197,5 +197,6 @@ def exact_groups(docs: DataFrame) -> DataFrame:
 def drop_copies(docs: DataFrame) -> DataFrame:
     """The documents without the copies that `exact_groups` drops; all columns stay."""
     gone = exact_groups(docs).where("NOT kept").select(F.col("doc_id").alias("gone_id"), F.col("row_key").alias("gone_key"))
-    same = docs["doc_id"].cast("long").eqNullSafe(F.col("gone_id")) & (F.xxhash64(docs["text"].cast("binary")) == F.col("gone_key"))
-    return docs.join(gone, same, "left_anti")
+    rows = whole_rows(docs, my_id=F.col("doc_id").cast("long"), my_key=F.xxhash64(F.col("text").cast("binary")))
+    same = F.col("my_id").eqNullSafe(F.col("gone_id")) & (F.col("my_key") == F.col("gone_key"))
+    return columns_of(rows.join(gone, same, "left_anti"), docs.columns)

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerflow.llm.common import components, hot_join, partitions, stored
+from ledgerflow.llm.common import columns_of, components, hot_join, partitions, stored, whole_rows
 
 SHINGLE, MAX_BITS, SEED = 4, 4, 42
 #: fingerprints of one key that are compared with each other; members of larger buckets link through their 2081
@@ -218,5 +218,6 @@ def near_groups(docs: DataFrame) -> DataFrame:
 def keep_first(docs: DataFrame) -> DataFrame:
     """One document of each group, the one with the smallest doc_id; all columns stay."""
     gone = near_groups(docs).where("NOT (doc_id <=> component_id)").select(F.col("doc_id").alias("gone_id"), F.col("row_key").alias("gone_key"))
-    same = docs["doc_id"].cast("long").eqNullSafe(F.col("gone_id")) & (F.xxhash64(docs["text"].cast("binary")) == F.col("gone_key"))
-    return docs.join(gone, same, "left_anti")
+    rows = whole_rows(docs, my_id=F.col("doc_id").cast("long"), my_key=F.xxhash64(F.col("text").cast("binary")))
+    same = F.col("my_id").eqNullSafe(F.col("gone_id")) & (F.col("my_key") == F.col("gone_key"))
+    return columns_of(rows.join(gone, same, "left_anti"), docs.columns)

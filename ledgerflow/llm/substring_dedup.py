@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerflow.llm.common import hot_join, stored
+from ledgerflow.llm.common import hot_join, stored, whole_rows
 
 WINDOW, PHRASE = 50, 10
 #: phrases in one automaton
@@ -243,6 +243,7 @@ def cut_repeats(docs: DataFrame) -> DataFrame:
     changed = cut.groupBy("cut_id", "cut_key").agg(F.first("kept").alias("cut_text"))
     copies = told.where("copy").select(F.col("doc_id").alias("cut_id"), F.col("row_key").alias("cut_key"), F.lit("").alias("cut_text")).distinct()
     changed = copies.unionByName(changed.join(copies.select("cut_id", "cut_key"), ["cut_id", "cut_key"], "left_anti"))
-    keyed = docs.withColumn("cut_left_id", F.col("doc_id").cast("long")).withColumn("cut_left_key", F.xxhash64(F.col("text").cast("binary")))
-    joined = keyed.join(changed, (F.col("cut_left_id") == F.col("cut_id")) & (F.col("cut_left_key") == F.col("cut_key")), "left")
-    return joined.withColumn("text", F.coalesce("cut_text", F.col("text").cast("string"))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = whole_rows(docs, my_id=F.col("doc_id").cast("long"), my_key=F.xxhash64(F.col("text").cast("binary")))
+    joined = rows.join(changed, (F.col("my_id") == F.col("cut_id")) & (F.col("my_key") == F.col("cut_key")), "left")
+    text = F.coalesce("cut_text", F.col("row.text").cast("string")).alias("text")
+    return joined.select(*[text if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])
