@@ -12,6 +12,10 @@ from ledgerflow.llm import exact_dedup, mixing, piece_encoding, quality, simhash
 from ledgerflow.llm.common import stored, table
 
 
+#: text of a chunk of the last stage, half of the operator's own: executors still hold memory of the stages before
+CHUNK_BYTES = 4 << 20
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the base rule or diverge from their language go."""
     return quality.keep_good(docs)
@@ -34,7 +38,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document's token ids, with the digest of its text and of what they decode to."""
-    return piece_encoding.round_trip(docs)
+    return piece_encoding.round_trip(docs, chunk_bytes=CHUNK_BYTES)
 
 
 STAGES = [
