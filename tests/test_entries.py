@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 import math
+import subprocess
+import sys
+from pathlib import Path
+from types import SimpleNamespace
 
 import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from ledgerflow.entries.registry import QUERIES
+from ledgerflow.session import work_folder
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -42,6 +47,30 @@ def test_every_query_has_check_sql():
     assert set(QUERIES) <= set(oracle_sql()) <= set(queries())
 
 
+def test_entry_without_a_module_of_the_corpus_queries():
+    """Where a module is missing that only the corpus operators need, the other queries are all there."""
+    code = "import sys; sys.modules['ahocorasick'] = None; import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    done = subprocess.run([sys.executable, "-W", "ignore", "-c", code], capture_output=True, text=True, cwd=Path(__file__).resolve().parents[1], check=True)
+    assert done.stdout.split() == [str(len(QUERIES)), str(len(QUERIES))]
+
+
+def test_work_folder_is_never_local_on_a_cluster():
+    def session(**conf):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: conf.get(key.replace(".", "_"), default)))
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        work_folder(session(spark_master="spark://host:7077"))
+    assert work_folder(session(spark_master="spark://host:7077", spark_checkpoint_dir="hdfs://store/work/")) == "hdfs://store/work"
+    assert work_folder(session(spark_master="local[4]")) == work_folder(session(spark_master="local[4]"))
+
+
+def test_registered_queries_read_given_tables(spark, sf_dir):
+    """No registered staging list is made of literal rows."""
+    for key in ("stg_price_list_opln", "stg_additional_expense_oexd", "stg_fiscal_usage_ousg"):
+        plan = QUERIES[key](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+        assert "Scan parquet" in plan and "LocalTableScan" not in plan, key
+
+
 def test_entry(spark):
     assert entry(spark).columns == ["month", "presale_channel", "net_revenue", "gross_profit", "line_count"]
 
