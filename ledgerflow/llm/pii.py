@@ -5,10 +5,11 @@ and looser ones (spelled-out addresses with or without brackets, dotted quads,
 digit groups with any separators). Boosted trees score a candidate by its digit groups and the words
 around it, with the marks masked that make a span strict: a leading + and country
 code, the kind of separators, @ against (at), the checksums. They learn strict
-spans against all other candidates. The candidates of all documents are counted by
-kind and label, about `DRAWN` of each are drawn by the hash of their row, so a rare
-kind is not lost and copies of a text are drawn apart, and each weighs as many as it
-was drawn from. Candidates that no strict span explains and no checksum rules out are
+spans against all other candidates. All candidates of all documents count, none is
+drawn: equal ones, of one kind, label and features, become one row that weighs as many
+as it stands for, half of them (by the hash of their row) for the trees and half held
+out for the thresholds. Features are whole numbers up to `MOST`, so the rows are as many
+as there are feature vectors, however many documents there are. Candidates that no strict span explains and no checksum rules out are
 unlabelled, not wrong: with c the mean score of a kind's held-out strict spans, one
 of score g is personal data with probability (1-c)/c * g/(1-g) (Elkan and Noto
 2008). Only such candidates are scored; one is added if its score reaches the
@@ -27,7 +28,6 @@ import hashlib
 import math
 import re
 from bisect import bisect_right
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,7 +41,9 @@ from ledgerflow.llm.common import stored
 
 KINDS = ("email", "ip", "card", "phone")
 TREES, DEPTH, PRECISION, LEAST = 10, 3, 0.9, 0.5
-#: candidates of a kind and label that are learned from, about
+#: larger features count as this; every value of one is a place to split at
+MOST, BINS = 255, 1024
+#: no longer read, as nothing is drawn; tests set it
 DRAWN = 500
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -128,19 +130,20 @@ def features(text: str, kind: str, start: int, end: int) -> list[float]:
     span = masked(kind, text[start:end])
     groups = [len(g) for g in re.findall(r"[0-9]+", span)]
     before = text[max(0, start - 30) : start].lower()
-    return [
-        float(KINDS.index(kind)),
-        float(len(span)),
-        float(sum(groups)),
-        float(len(groups)),
-        float(max(groups, default=0)),
-        float(min(groups, default=0)),
-        float(groups[0] if groups else 0),
-        float(groups[-1] if groups else 0),
-        float(span.count(".")),
-        float(any(w in before for w in _HINTS)),
-        float(text[end : end + 1].isalnum() or text[max(0, start - 1) : start].isalnum()),
+    found = [
+        KINDS.index(kind),
+        len(span),
+        sum(groups),
+        len(groups),
+        max(groups, default=0),
+        min(groups, default=0),
+        groups[0] if groups else 0,
+        groups[-1] if groups else 0,
+        span.count("."),
+        any(w in before for w in _HINTS),
+        text[end : end + 1].isalnum() or text[max(0, start - 1) : start].isalnum(),
     ]
+    return [float(min(n, MOST)) for n in found]
 
 
 class Disjoint:
@@ -232,48 +235,56 @@ def score(model: list, x: list[float]) -> float:
     return 1 / (1 + math.exp(-2 * margin(model, x)))
 
 
-def calibrated(strict: list[float], open_: list[float]) -> float:
-    """The least score from which the unlabelled ones are probable, each and on average; infinite without either."""
+def calibrated(strict: list[tuple[float, int]], open_: list[tuple[float, int]]) -> float:
+    """The least score from which the unlabelled ones are probable, each and on average; infinite without either.
+
+    Both list each score once, with how many have it.
+    """
     if not strict or not open_:
         return math.inf
-    c = sum(strict) / len(strict)
-    threshold, right, ranked = math.inf, 0.0, sorted(open_, reverse=True)
-    for n, g in enumerate(ranked, 1):
+    c = math.fsum(g * n for g, n in strict) / sum(n for _, n in strict)
+    threshold, right, seen = math.inf, 0.0, 0
+    for g, n in sorted(open_, reverse=True):
         chance = min(1.0, (1 - c) / c * g / (1 - g))
         if chance < LEAST:
             break
-        right += chance
-        if right >= PRECISION * n and (n == len(ranked) or ranked[n] < g):
+        right, seen = right + n * chance, seen + n
+        if right >= PRECISION * seen:
             threshold = g
     return threshold
 
 
+def _scored(shared):
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            scores = [score(shared.value, x) for x in batch.column("x").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("kind", "label", "n")), pa.array(scores, pa.float64())], names=["kind", "label", "n", "score"])
+
+    return scored
+
+
 def fit(docs: DataFrame) -> tuple[list, dict[str, float]]:
-    """Boosted trees and, by kind, the calibrated score from which a candidate is added."""
-    text, space = F.col("text").cast("binary"), 1 << 40
+    """Boosted trees and, by kind, the calibrated score from which a candidate is added; from all candidates."""
+    text, label = F.col("text").cast("binary"), F.col("label")
     keyed = docs.select(F.xxhash64(F.col("doc_id").cast("long"), text).alias("key"), text.alias("text"))
-    rows = stored(keyed.mapInArrow(_examples, "key long, kind string, x array<double>, label double"))
-    sizes = {(r["kind"], r["label"]): r["n"] for r in rows.groupBy("kind", "label").agg(F.count("*").alias("n")).collect()}
-    marked = rows.withColumn("at", F.pmod(F.xxhash64("key", "x"), F.lit(space)))
-    wanted = F.lit(False)
-    for (kind, label), n in sizes.items():
-        wanted = wanted | ((F.col("kind") == kind) & (F.col("label") == label) & (F.col("at") < int(space * min(1.0, DRAWN / n))))
-    local = sorted(marked.where(wanted).collect(), key=lambda r: (r["at"], r["x"]))  # about DRAWN rows of a dozen groups
-    drawn = Counter((r["kind"], r["label"]) for r in local)
-    # a row weighs as many as it was drawn from; and one number in ten passes the card checksum by chance,
-    # so nine that fail stand for one that passes and is none
-    chance = lambda r: 1 / 9 if r["label"] == RULED_OUT and r["kind"] == "card" else 1.0
-    weight = lambda r: chance(r) * sizes[r["kind"], r["label"]] / drawn[r["kind"], r["label"]]
-    held, train = local[1::2], [(r["x"], float(r["label"] == STRICT), weight(r)) for r in local[::2]]
-    if len({label for _, label, _ in train}) < 2:
+    rows = keyed.mapInArrow(_examples, "key long, kind string, x array<double>, label double")
+    held = F.pmod(F.xxhash64("key", "x"), F.lit(2)) == 1
+    counted = stored(rows.groupBy("kind", "label", "x", held.alias("held")).agg(F.count("*").alias("n")))
+    # one number in ten passes the card checksum by chance, so nine that fail stand for one that passes and is none
+    weight = F.col("n") * F.when((label == RULED_OUT) & (F.col("kind") == "card"), F.lit(1 / 9)).otherwise(1.0)
+    train = counted.where(~F.col("held")).select("x", (label == STRICT).cast("double").alias("label"), weight.alias("weight"))
+    if train.select("label").distinct().count() < 2:
         return [], {}
-    mean = sum(w for *_, w in train) / len(train)
-    frame = docs.sparkSession.createDataFrame([(x, y, w / mean) for x, y, w in train], "x array<double>, label double, weight double").repartition(1)
-    fitted = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=1, weightCol="weight").fit(frame.select(array_to_vector("x").alias("features"), "label", "weight"))
+    # a row per feature vector, in one order, so that sums of fractions are the same in every run
+    train = train.repartition(1).sortWithinPartitions("x", "label", "weight")
+    trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, maxBins=BINS, seed=1, weightCol="weight")
+    fitted = trees.fit(train.select(array_to_vector("x").alias("features"), "label", "weight"))
     model = [(w, _tree(t._java_obj.rootNode())) for w, t in zip(fitted.treeWeights, fitted.trees, strict=True)]
-    scores = {(kind, label): [] for kind in KINDS for label in (STRICT, RULED_OUT, OPEN)}
-    for r in held:
-        scores[r["kind"], r["label"]].append(score(model, r["x"]))
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    told = counted.where(F.col("held") & (label != RULED_OUT)).mapInArrow(_scored(shared), "kind string, label double, n long, score double")
+    scores = {(kind, tag): [] for kind in KINDS for tag in (STRICT, OPEN)}
+    for r in told.groupBy("kind", "label", "score").agg(F.sum("n").alias("n")).collect():  # a few trees give few scores
+        scores[r["kind"], r["label"]].append((r["score"], r["n"]))
     return model, {kind: calibrated(scores[kind, STRICT], scores[kind, OPEN]) for kind in KINDS}
 
 

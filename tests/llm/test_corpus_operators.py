@@ -303,6 +303,19 @@ def test_personal_data_rare_kind_is_learned(spark, monkeypatch):
     assert all(r["n_spans"] == len([s for s in r["spans"].split(",") if s]) for r in got.values())
 
 
+def test_personal_data_is_learned_from_all_candidates(spark, monkeypatch):
+    """No draw decides the trees or the thresholds, and each of many equal candidates counts."""
+    rows = [(i, f"call {'+1 ' if i % 3 else ''}({200 + i % 700}) {i % 900 + 100}-{i * 7 % 9000 + 1000} or mail name{i:03d}{'@' if i % 2 else ' (at) '}host.org") for i in range(900)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    told = lambda: sorted((r["doc_id"], r["spans"]) for r in pii.found(frame).collect())
+    model, whole = pii.fit(frame), told()
+    monkeypatch.setattr(pii, "DRAWN", 2)
+    assert pii.fit(frame) == model and told() == whole
+    assert all(s.count("phone") == 1 and s.count("email") == 1 for _, s in whole)
+    # 9 of 10 unlabelled ones score low: the many at the lower score are counted, not the two scores
+    assert pii.calibrated([(0.9, 10)], [(0.9, 10)]) == 0.9 and pii.calibrated([(0.9, 10)], [(0.9, 1), (0.84, 9)]) == 0.9
+
+
 def test_personal_data_of_a_long_text_in_linear_time(spark):
     text = " ".join(f"a{i}@b.org +1 (234) 555-{i % 9000 + 1000} x ({200 + i % 700}) 555-1234 y 10.0.{i % 250}.1" for i in range(20_000))
     row = pii.found(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
