@@ -2,9 +2,9 @@
 
 A declaration lists a model's key, its required columns, accepted values, lower
 bounds and the masters its codes are found in. `compiled` turns all of them into
-one aggregation over the model: a row counts for its key once and for each of
-its codes once, so keys that repeat and codes without a master come out of the
-same grouping as the row tests.
+one aggregation over the model: a row counts for its key once, for each of its
+codes once, and a row that fails row tests once more, with a bit per test, so keys
+that repeat and codes without a master come out of the same grouping as the row tests.
 """
 
 from __future__ import annotations
@@ -171,33 +171,40 @@ def compiled(model: str, rows: DataFrame, declared: Declared, masters: Mapping[s
     `masters` holds the masters that codes are looked up in, by name.
     """
     tests = list(declared.tests(model))
-    row_tests = {f"r{i}": _failing(declared, test, c) for i, (test, _, c) in enumerate(tests) if c and not test.startswith("relationships")}
     codes = list(declared.found_in)
+    # the row tests by their place in the list, which is the bit that a row failing them carries
+    row_tests = {i: _failing(declared, test, c) for i, (test, _, c) in enumerate(tests) if c and not test.startswith("relationships")}
+    if len(tests) > 62:
+        raise ValueError(f"{model}: {len(tests)} tests, a row's marks hold 62")
 
     def code(column: str) -> Column:
         text = F.col(f"`{column}`").cast("string")
         return F.nullif(text, F.lit("")) if column in declared.blank_passes else text
 
-    # number 0 is the row under its key, the others are its codes
-    entries = [F.struct(F.lit(0).alias("no"), _key(declared.key).alias("value"))]
-    entries += [F.when(code(c).isNotNull(), F.struct(F.lit(n + 1).alias("no"), code(c).alias("value"))) for n, c in enumerate(codes)]
-    flags = [F.coalesce(c, F.lit(False)).cast("int").alias(name) for name, c in row_tests.items()]
-    flat = rows.select(*flags, F.explode(F.filter(F.array(*entries), lambda e: e.isNotNull())).alias("e"))
-    first = F.col("e.no") == 0
-    grouped = flat.groupBy("e.no", "e.value").agg(
-        F.count(F.lit(1)).alias("n"), *(F.sum(F.when(first, F.col(name)).otherwise(0)).alias(name) for name in row_tests)
-    )
+    marks = F.lit(0).cast("bigint")
+    for i, fails in row_tests.items():
+        marks = marks.bitwiseOR(F.when(fails, F.lit(1 << i)).otherwise(0).cast("bigint"))
+    narrow = rows.select(_key(declared.key).alias("_key"), marks.alias("_marks"), *(code(c).alias(f"_code{n}") for n, c in enumerate(codes)))
+    # number 0 is the row under its key, a positive one a code, a negative one the marks of a row that fails, under its key
+    entries = [F.struct(F.lit(0).cast("bigint").alias("no"), F.col("_key").alias("value"))]
+    entries += [F.struct(F.lit(n + 1).cast("bigint").alias("no"), F.col(f"_code{n}").alias("value")) for n in range(len(codes))]
+    if row_tests:
+        entries.append(F.struct((-F.col("_marks")).alias("no"), F.when(F.col("_marks") != 0, F.col("_key")).alias("value")))
+    flat = narrow.select(F.inline(F.array(*entries))).where("value IS NOT NULL")
+    # a key that occurs once has nothing to tell, and it goes before anything is sorted
+    grouped = flat.groupBy("no", "value").agg(F.count(F.lit(1)).alias("n")).where("no <> 0 OR n > 1")
 
     known = []
     for master in dict.fromkeys(m for m, _ in declared.found_in.values()):
         mine = [(n + 1, declared.found_in[c][1]) for n, c in enumerate(codes) if declared.found_in[c][0] == master]
-        listed = F.explode(F.array(*(F.struct(F.lit(n).alias("no"), F.col(theirs).cast("string").alias("value")) for n, theirs in mine)))
+        listed = F.explode(F.array(*(F.struct(F.lit(n).cast("bigint").alias("no"), F.col(theirs).cast("string").alias("value")) for n, theirs in mine)))
         known.append(masters[master].select(listed.alias("e")).select("e.no", "e.value"))
     if known:
         masters_of = union_bricks(known).where("value IS NOT NULL").distinct().withColumn("known", F.lit(True))
         grouped = grouped.join(masters_of, ["no", "value"], "left")
     else:
         grouped = grouped.withColumn("known", F.lit(True))
+    grouped = grouped.where("no <= 0 OR known IS NULL")
 
     results = []
     single_null = F.col("value") == _NO_VALUE if len(declared.key) == 1 else F.lit(False)
@@ -209,7 +216,8 @@ def compiled(model: str, rows: DataFrame, declared: Declared, masters: Mapping[s
             fails = (F.col("no") == codes.index(column) + 1) & F.col("known").isNull()
             failures, sample = F.sum(F.when(fails, F.col("n")).otherwise(0)), F.min(F.when(fails, F.col("value")))
         else:
-            failures, sample = F.sum(f"r{i}"), F.min(F.when(F.col(f"r{i}") > 0, F.col("value")))
+            fails = (F.col("no") < 0) & ((-F.col("no")).bitwiseAND(F.lit(1 << i)) != 0)
+            failures, sample = F.sum(F.when(fails, F.col("n"))), F.min(F.when(fails, F.col("value")))
         shown = F.translate(sample, _SEPARATOR + _NO_VALUE, "/")
         results.append(F.struct(F.lit(test).alias("test"), F.lit(severity).alias("severity"), F.coalesce(failures, F.lit(0)).cast("bigint").alias("failures"), shown.alias("sample")))
     return grouped.agg(F.array(*results).alias("tests")).select(F.inline("tests"))

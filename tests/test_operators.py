@@ -282,6 +282,22 @@ def test_declared_tests_in_one_pass(spark):
     assert rows(compiled("t", df, single, {})) == [("unique:t.n", "error", 1, "1")]
 
 
+def test_declared_tests_carry_no_column_per_test(spark, sf_dir):
+    """What is shuffled per key and code is a count, however many tests a model has; keys that occur once are not sorted."""
+    from ledgerflow.entries.base import warehouse
+    from ledgerflow.plans.catalogue import Declared, catalogue_results, compiled
+
+    plan = plan_of(catalogue_results(warehouse(spark, sf_dir), ["fact_sales"]))
+    assert "sum(CASE WHEN" not in plan.split("partial_count(1)")[-1].split("Exchange")[0]
+    assert "lambdafunction" not in plan and "n#" in plan
+    df = spark.createDataFrame([("a", None, "q"), ("a", None, "q"), ("b", 5, "q"), (None, 1, "x")], "k string, v int, w string")
+    got = compiled("t", df, Declared(key=["k"], required=["v", "w"], one_of={"w": ("x",)}, at_least={"v": 3}, warn=["v"]), {})
+    assert rows(got) == sorted([
+        ("unique:t.k", "error", 1, "a"), ("not_null:t.v", "warn", 2, "a"), ("not_null:t.w", "error", 0, None),
+        ("accepted_values:t.w", "error", 3, "a"), ("accepted_range:t.v", "warn", 1, ""),
+    ], key=repr)
+
+
 def test_catalogue_holds_the_contract_columns():
     from ledgerflow.contract import COLUMNS
     from ledgerflow.plans.catalogue import CATALOGUE
