@@ -28,16 +28,16 @@ def fold_status(events: DataFrame) -> DataFrame:
     its whole message.
     """
     keys = ["execution_id", "table_name"]
-    # the winner keeps its message; of the others only their times are looked at
-    last = latest_per_key(events, keys, "at", "event_id")
-    started = events.groupBy(*keys).agg(F.min("at").alias("started_at"))
-    status = F.col("status")
-    return last.join(started, keys).select(
+    # only an error's message is ever shown, so no other one is sorted or shuffled
+    message = F.when(F.col("status") == "error", F.col("message")).alias("message")
+    newest = F.max(F.struct("at", "event_id", "status", "row_count", message)).alias("last")
+    status = F.col("last.status")
+    return events.groupBy(*keys).agg(F.min("at").alias("started_at"), newest).select(
         *keys, "started_at",
-        F.when(status != "running", F.col("at")).alias("finished_at"),
-        "status",
-        F.when(status == "success", F.col("row_count")).alias("row_count"),
-        F.when(status == "error", F.col("message")).alias("error_message"),
+        F.when(status != "running", F.col("last.at")).alias("finished_at"),
+        status.alias("status"),
+        F.when(status == "success", F.col("last.row_count")).alias("row_count"),
+        F.col("last.message").alias("error_message"),
     )
 
 

@@ -198,6 +198,20 @@ def log(spark):
     )
 
 
+def test_fold_keeps_only_messages_that_are_shown(spark):
+    """One shuffle, without the texts of events that are no error; a load without a table name is a load, too."""
+    at = lambda minute: dt.datetime(2024, 1, 1, 0, minute)
+    events = [("r", "a", at(0), 1, "running", 0, "x"), ("r", "a", at(2), 2, "error", 7, "whole"), ("r", "b", at(1), 3, "error", 0, "old"),
+              ("r", "b", at(1), 4, "success", 9, "fine"), ("r", None, at(3), 5, "running", 0, "y")]
+    df = spark.createDataFrame(events, "execution_id string, table_name string, at timestamp_ntz, event_id long, status string, row_count long, message string")
+    folded = audit.fold_status(df)
+    assert rows(folded) == sorted([
+        ("r", "a", at(0), at(2), "error", None, "whole"), ("r", "b", at(1), at(1), "success", 9, None), ("r", None, at(3), None, "running", None, None),
+    ], key=repr)
+    plan = folded._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 1 and "CASE WHEN" in plan.split("Exchange")[1]
+
+
 def test_audit_reports(spark):
     assert rows(audit.issues(log(spark), NOW).select("table_name", "diagnosis", "elapsed_min")) == [
         ("b", "stuck", 120), ("d", "interrupted", 30),
