@@ -29,6 +29,11 @@ def current_inventory(w: Warehouse, need: set[str]) -> DataFrame:
     return with_warehouse(w, stock, place, how="inner").withColumnsRenamed({"inactive": "warehouse_inactive"})
 
 
+def quantity_after():
+    """Stock after a movement: its value by the average price."""
+    return guarded_ratio(F.col("inventory_value_after_movement"), F.col("calculated_average_price"))
+
+
 @model("inventory_movements")
 def inventory_movements(w: Warehouse, need: set[str]) -> DataFrame:
     rows = w.stage("inventory_movement_oinm")
@@ -36,9 +41,7 @@ def inventory_movements(w: Warehouse, need: set[str]) -> DataFrame:
     rows = rows.withColumns(
         {
             "movement_quantity": inflow - outflow,
-            "quantity_after_movement": guarded_ratio(
-                F.col("inventory_value_after_movement"), F.col("calculated_average_price")
-            ),
+            "quantity_after_movement": quantity_after(),
             "movement_direction": movement_direction(inflow, outflow),
             "transaction_type_description": codes.movement_type_slug(F.col("transaction_type")),
         }

@@ -17,7 +17,7 @@ from ledgerflow.operators.joins import match_key
 from ledgerflow.operators.setops import union_bricks
 from ledgerflow.operators.skew import join_lines_to_headers
 from ledgerflow.plans.common import ITEM_HIERARCHY, store_label, with_item
-from ledgerflow.plans.inventory import WAREHOUSE_PLACE, with_warehouse
+from ledgerflow.plans.inventory import WAREHOUSE_PLACE, quantity_after, with_warehouse
 from ledgerflow.plans.sales import with_header_usage
 from ledgerflow.plans.warehouse import Warehouse, model
 
@@ -322,9 +322,10 @@ def daily_rows(w: Warehouse, need: set[str], since: dt.date | None = None, also:
 
     Flow sums and the last movement's state come from one hash aggregation
     that combines on the map side; labels are attached to the daily rows, not
-    to the movements.
+    to the movements. The quantity after the last movement follows from its
+    price and value, so it is neither shuffled nor sorted with them.
     """
-    state = ("calculated_average_price", "inventory_value_after_movement", "quantity_after_movement")
+    state = ("calculated_average_price", "inventory_value_after_movement")
     flow = ("inflow_quantity", "outflow_quantity", "movement_quantity")
     keys = ["movement_date", "item_code", "warehouse_code"]
     movements = w.model(
@@ -344,4 +345,5 @@ def daily_rows(w: Warehouse, need: set[str], since: dt.date | None = None, also:
         F.count(F.lit(1)).alias("movement_count"),
         *(F.max_by(c, "transaction_number").alias(c) for c in state),
     ).withColumnRenamed("movement_date", "date")
-    return with_warehouse(w, with_item(w, daily, need), need)
+    labelled = with_warehouse(w, with_item(w, daily, need), need)
+    return labelled.withColumn("quantity_after_movement", quantity_after())

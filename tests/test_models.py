@@ -135,6 +135,12 @@ def test_lean_models_read_fewer_tables(w):
     assert DRIVER_PARAMS.as_of.year == 2001
 
 
+def test_daily_rows_shuffle_no_derived_quantity(w):
+    """The quantity after the last movement follows from its price and value, behind the last shuffle."""
+    plan = plan_of(w.model("fact_daily_inventory_movement"))
+    assert "max_by(calculated_average_price" in plan and "max_by(quantity_after_movement" not in plan
+
+
 def test_raw_lines_are_all_lines(spark, sf_dir):
     """Every line of the driver is a line of one sales document type, under a key of its own."""
     tables = DriverTables(spark, sf_dir)
