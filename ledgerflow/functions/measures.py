@@ -44,11 +44,12 @@ def guarded_ratio(numerator: Column, denominator: Column) -> Column:
 
     Both sides are brought to the money type first, which leaves the quotient
     enough decimals to be rounded once; totals that do not fit are divided as
-    they are.
+    they are. A zero is not divided at all.
     """
     narrow = money(numerator) / money(denominator)
     wide = total(numerator) / total(denominator)
-    return F.when(denominator > 0, F.when(_below(14, numerator, denominator), narrow.cast(TOTAL)).otherwise(wide.cast(TOTAL)).cast(MONEY))
+    ratio = F.when(numerator == 0, F.lit(0).cast(TOTAL)).when(_below(14, numerator, denominator), narrow.cast(TOTAL)).otherwise(wide.cast(TOTAL))
+    return F.when(denominator > 0, ratio.cast(MONEY))
 
 
 def sales_sign(document_type: Column, canceled: Column) -> Column:

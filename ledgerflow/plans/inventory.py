@@ -22,8 +22,15 @@ def with_warehouse(w: Warehouse, df: DataFrame, need: set[str], how: str = "left
 
 @model("current_inventory")
 def current_inventory(w: Warehouse, need: set[str]) -> DataFrame:
+    return in_known_places(w, stock_rows(w), need)
+
+
+def stock_rows(w: Warehouse) -> DataFrame:
+    return w.stage("warehouse_stock_oitw").withColumnRenamed("average_price", "average_cost_price")
+
+
+def in_known_places(w: Warehouse, stock: DataFrame, need: set[str]) -> DataFrame:
     """Stock of known items in known warehouses."""
-    stock = w.stage("warehouse_stock_oitw").withColumnRenamed("average_price", "average_cost_price")
     stock = with_item(w, stock, need, how="inner")
     place = need | ({"inactive"} if "warehouse_inactive" in need else set())
     return with_warehouse(w, stock, place, how="inner").withColumnsRenamed({"inactive": "warehouse_inactive"})

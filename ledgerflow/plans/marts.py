@@ -16,8 +16,8 @@ from ledgerflow.functions.measures import (
 from ledgerflow.operators.joins import match_key
 from ledgerflow.operators.setops import union_bricks
 from ledgerflow.operators.skew import join_lines_to_headers
-from ledgerflow.plans.common import ITEM_HIERARCHY, store_label, with_item
-from ledgerflow.plans.inventory import WAREHOUSE_PLACE, quantity_after, with_warehouse
+from ledgerflow.plans.common import store_label, with_item
+from ledgerflow.plans.inventory import in_known_places, quantity_after, stock_rows, with_warehouse
 from ledgerflow.plans.sales import with_header_usage
 from ledgerflow.plans.warehouse import Warehouse, model
 
@@ -259,39 +259,54 @@ def fact_accounts_receivable(w: Warehouse, need: set[str]) -> DataFrame:
 OUTFLOW_DAYS = (30, 45, 60)
 
 
+def _window_starts(as_of: dt.date) -> dict[str, dt.date]:
+    return {f"{n}d": as_of - dt.timedelta(days=n) for n in OUTFLOW_DAYS} | {"ytd": dt.date(as_of.year, 1, 1)}
+
+
+def _window_sums(as_of: dt.date) -> list[Column]:
+    day, out = F.col("movement_date"), F.col("outflow_quantity")
+    return [
+        F.sum(F.when(day >= F.lit(start), out).otherwise(0)).alias(f"outflow_quantity_{label}")
+        for label, start in _window_starts(as_of).items()
+    ]
+
+
 def outflow_windows(movements: DataFrame, keys: list[str], as_of: dt.date) -> DataFrame:
     """Outflow of the last N closed days and of the year so far, in one pass."""
-    starts = {f"{n}d": as_of - dt.timedelta(days=n) for n in OUTFLOW_DAYS}
-    starts["ytd"] = dt.date(as_of.year, 1, 1)
     day, out = F.col("movement_date"), F.col("outflow_quantity")
-    return (
-        movements.where(predicates.closed_day(day, as_of))
-        .groupBy(*keys)
-        .agg(
-            *(
-                F.sum(F.when(day >= F.lit(start), out).otherwise(0)).alias(f"outflow_quantity_{label}")
-                for label, start in starts.items()
-            ),
-            F.max(F.when(out > 0, day)).alias("last_outflow_date"),
-        )
-    )
+    last = F.max(F.when(out > 0, day)).alias("last_outflow_date")
+    return movements.where(predicates.closed_day(day, as_of)).groupBy(*keys).agg(*_window_sums(as_of), last)
+
+
+def with_outflow(rows: DataFrame, movements: DataFrame, keys: list[str], as_of: dt.date) -> DataFrame:
+    """Attach the outflow windows, NULL without a movement in any of them, and the last day with outflow.
+
+    The sums read only the days that some window covers; of all the other
+    days no more than the date is grouped.
+    """
+    day = F.col("movement_date")
+    closed = movements.where(predicates.closed_day(day, as_of))
+    sums = closed.where(day >= F.lit(min(_window_starts(as_of).values()))).groupBy(*keys).agg(*_window_sums(as_of))
+    last = closed.where(F.col("outflow_quantity") > 0).groupBy(*keys).agg(F.max(day).alias("last_outflow_date"))
+    return rows.join(sums, keys, "left").join(last, keys, "left")
 
 
 @model("fact_inventory")
 def fact_inventory(w: Warehouse, need: set[str]) -> DataFrame:
+    """Stock with its outflow. The outflow joins the bare stock; labels come last and are not shuffled."""
     as_of = w.params.as_of
     keys = ["item_code", "warehouse_code"]
-    stock = w.model(
-        "current_inventory", *keys, *ITEM_HIERARCHY, *WAREHOUSE_PLACE,
-        "inventory_quantity", "committed_quantity", "ordered_quantity", "warehouse_inactive",
-    ).where(predicates.active_warehouse(F.col("warehouse_inactive")))
+    stock = stock_rows(w).select(*keys, "inventory_quantity", "committed_quantity", "ordered_quantity")
+    movements = w.model("inventory_movements", *keys, "movement_date", "outflow_quantity")
+    stock = with_outflow(stock, movements, keys, as_of)
+    stock = in_known_places(w, stock, need | {"warehouse_inactive"})
+    stock = stock.where(predicates.active_warehouse(F.col("warehouse_inactive")))
     prices = (
         w.model("item_price_list", "item_code", "price_list_number", "list_price")
         .where(F.col("price_list_number") == w.params.price_list)
         .drop("price_list_number")
     )
-    movements = w.model("inventory_movements", *keys, "movement_date", "outflow_quantity")
-    df = stock.join(prices, "item_code", "left").join(outflow_windows(movements, keys, as_of), keys, "left")
+    df = stock.join(prices, "item_code", "left")
 
     on_hand = F.col("inventory_quantity")
     elapsed = (as_of - dt.date(as_of.year, 1, 1)).days + 1

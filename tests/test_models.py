@@ -141,6 +141,28 @@ def test_daily_rows_shuffle_no_derived_quantity(w):
     assert "max_by(calculated_average_price" in plan and "max_by(quantity_after_movement" not in plan
 
 
+def test_outflow_joins_bare_stock(spark, sf_dir):
+    """Labels of items and places are behind the join by item and warehouse; only covered days are summed."""
+    from ledgerflow.plans.marts import with_outflow
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(warehouse(spark, sf_dir).model("fact_inventory"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    outermost = [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
+    by_place = next(i for i, line in enumerate(outermost) if "(item_code" in line and "warehouse_code" in line.split("),")[0])
+    assert by_place > 0  # labels are joined by item above the join by item and warehouse
+    assert plan.split("Exchange hashpartitioning(item_code", 1)[1].count("GreaterThanOrEqual(l_shipdate") + plan.count(">= 2001-01-01") >= 1
+    day = dt.date
+    moved = spark.createDataFrame([("a", day(2001, 5, 30), 2.0), ("a", day(2001, 1, 1), 3.0), ("a", day(2000, 12, 31), 5.0), ("a", day(2001, 6, 1), 7.0), ("b", day(1999, 1, 1), 9.0), ("c", day(2001, 5, 1), -1.0)], "k string, movement_date date, outflow_quantity double")
+    got = with_outflow(spark.createDataFrame([("a",), ("b",), ("c",), ("d",)], "k string"), moved, ["k"], day(2001, 6, 1)).orderBy("k").collect()
+    assert [tuple(r) for r in got] == [
+        ("a", 2.0, 2.0, 2.0, 5.0, day(2001, 5, 30)), ("b", None, None, None, None, day(1999, 1, 1)),
+        ("c", 0.0, -1.0, -1.0, -1.0, None), ("d", None, None, None, None, None),
+    ]
+
+
 def test_raw_lines_are_all_lines(spark, sf_dir):
     """Every line of the driver is a line of one sales document type, under a key of its own."""
     tables = DriverTables(spark, sf_dir)
