@@ -9,7 +9,8 @@ search is a fold over the edges in the order of their ends, the earlier start
 first, so equal sums keep it. The fold keeps the best scores of the last
 positions only and a string of the best last piece's length at each position.
 Owners send every chunk the encodings it asked for and the chunk spells its
-documents. Every distinct unit is searched once; texts are shuffled once.
+documents. Every distinct unit is searched once; texts are shuffled once. The
+Python parts work on whole Arrow columns and keep no object per unit.
 
 The piece table is a fixed file, so it may be broadcast. Null and empty texts
 have no tokens. Decoding gives the text back but for U+2581, which reads as a
@@ -21,9 +22,8 @@ are not read.
 from __future__ import annotations
 
 import hashlib
-from array import array
 from collections.abc import Iterator
-from zlib import crc32
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerflow.llm.common import partitions
-from ledgerflow.llm.pieces import MODEL, SPACE, Pieces, load, prepared
+from ledgerflow.llm.pieces import MODEL, SPACE, Pieces, load, spaced
 
 #: text of a chunk, which a task holds with its words and token ids
 CHUNK_BYTES = 8 << 20
@@ -45,7 +45,10 @@ _EDGE = 1 << _EDGE_BITS
 _BLOCK = 512  # characters of a long unit that are exploded together
 _PART = 1024  # back pointers in one string while the fold goes on
 _CODES = pa.list_(pa.int32())
+_NO_CODES = pa.table({"codes": pa.array([], _CODES), "exact": pa.array([], pa.bool_())})
 _DOC = pa.schema([("doc_id", pa.int64()), ("text", pa.string())])
+_HASHED = 1 << 18  # bytes of units that are hashed together
+_FEW = 16  # units that still step back, which then do so one by one
 
 
 def _stream(batch: pa.RecordBatch) -> bytes:
@@ -72,36 +75,75 @@ def _pack(limit: int):
                     chunk, size, streams = chunk + 1, 0, 0
                     continue
                 n = max(n, 1)
-                yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([_stream(rows.slice(start, n))], pa.binary())], names=["chunk", "docs"])
+                yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([streams], pa.int32()), pa.array([_stream(rows.slice(start, n))], pa.binary())], names=["chunk", "at", "docs"])
                 size, streams = size + int(ends[start + n - 1]) - before, streams + 1
                 start, before = start + n, int(ends[start + n - 1])
 
     return pack
 
 
-def _documents(packed: pa.Table) -> Iterator[tuple[int | None, str]]:
-    for blob in packed.column("docs"):
-        for batch in pa.ipc.open_stream(blob.as_py()):
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-                yield doc_id, text.as_py() or ""
+def _documents(packed: pa.Table) -> pa.Table:
+    """The chunk's documents, in the order of its streams."""
+    streams = sorted(zip(packed.column("at").to_pylist(), packed.column("docs"), strict=True), key=lambda x: x[0])
+    return pa.concat_tables([pa.ipc.open_stream(blob.as_buffer()).read_all() for _, blob in streams])
 
 
-def _wanted(packed: pa.Table, pieces: Pieces, owners: int) -> dict[int, list[str]]:
+@dataclass(frozen=True)
+class _Wanted:
     """The chunk's distinct units by owner, sorted, the same whenever it is asked again."""
-    units: set[str] = set()
-    for _, text in _documents(packed):
-        units.update(pieces.units(prepared(text)))
-    out: dict[int, list[str]] = {}
-    for unit in sorted(units):
-        out.setdefault(crc32(unit.encode("utf-8", "replace")) % owners, []).append(unit)
-    return out
+
+    units: pa.Array  # all of them, owner by owner
+    owners: list[int]
+    ends: np.ndarray  # of each owner's units, the first one's start before them
+    words: pa.Array  # the place in `units` of every unit of the chunk, text by text
+    counts: np.ndarray  # units of each text
+
+
+def _owner(units: pa.LargeStringArray, owners: int) -> np.ndarray:
+    """A hash of each unit's bytes and their places, by number of owners."""
+    ends = np.frombuffer(units.buffers()[1], np.int64)[units.offset : units.offset + len(units) + 1]
+    data = np.frombuffer(units.buffers()[2] or b"", np.uint8)
+    out = np.empty(len(units), np.uint64)
+    first = 0
+    while first < len(units):  # as many units as have so many bytes, one at least
+        last = max(first + 1, int(np.searchsorted(ends, ends[first] + _HASHED, side="right")) - 1)
+        part = data[ends[first] : ends[last]]
+        starts = ends[first:last] - ends[first]
+        weight = (np.arange(1, len(part) + 1) - np.repeat(starts, np.diff(ends[first : last + 1]))).astype(np.uint64)
+        weight *= np.uint64(0x9E3779B97F4A7C15)
+        weight ^= weight >> np.uint64(29)
+        weight *= np.uint64(0xBF58476D1CE4E5B9)
+        weight |= np.uint64(1)
+        weight *= part + np.uint64(1)
+        out[first:last] = np.add.reduceat(weight, starts)
+        first = last
+    out ^= out >> np.uint64(32)
+    out *= np.uint64(0x94D049BB133111EB)
+    return ((out >> np.uint64(33)) % np.uint64(owners)).astype(np.int64)
+
+
+def _wanted(texts: pa.ChunkedArray, pieces: Pieces, owners: int) -> _Wanted:
+    cuts = [pieces.cut(part) for part in texts.chunks]
+    parts = [units for units, _ in cuts if len(units)] or [pa.array([], pa.large_string())]
+    coded = pa.concat_arrays(pa.chunked_array(parts).dictionary_encode().chunks) if len(parts) > 1 else parts[0].dictionary_encode()
+    distinct = spaced(coded.dictionary)
+    order = pc.sort_indices(distinct).to_numpy()
+    owner = _owner(distinct, owners)[order]
+    by_owner = np.argsort(owner, kind="stable")
+    order, owner = order[by_owner], owner[by_owner]
+    starts = np.flatnonzero(np.diff(owner, prepend=-1))
+    place = np.empty(len(order), np.int32)
+    place[order] = np.arange(len(order), dtype=np.int32)
+    words = pa.array(place[coded.indices.to_numpy()])
+    return _Wanted(distinct.take(pa.array(order)), owner[starts].tolist(), np.append(starts, len(order)), words, np.concatenate([n for _, n in cuts] or [np.zeros(0, int)]))
 
 
 def _ask(pieces, owners: int):
     def ask(key: tuple[pa.Scalar, ...], packed: pa.Table) -> pa.Table:
         pa.default_memory_pool().release_unused()  # of the chunk before
-        wanted = _wanted(packed, pieces.value, owners)
-        return pa.table({"chunk": pa.array([key[0].as_py()] * len(wanted), pa.int64()), "owner": pa.array(list(wanted), pa.int64()), "units": pa.array(list(wanted.values()), pa.list_(pa.string()))})
+        wanted = _wanted(_documents(packed).column("text"), pieces.value, owners)
+        units = pa.ListArray.from_arrays(pa.array(wanted.ends, pa.int32()), wanted.units.cast(pa.string()))
+        return pa.table({"chunk": pa.array([key[0].as_py()] * len(units), pa.int64()), "owner": pa.array(wanted.owners, pa.int64()), "units": units})
 
     return ask
 
@@ -182,33 +224,63 @@ def lattice(units: DataFrame, table: DataFrame, longest: int, unknown: int) -> D
     return grouped.select("owner", F.coalesce("whole", "key").alias("unit"), "asked_by", steps.alias("steps"))
 
 
-def back_track(unit: str, steps: str, pieces: Pieces) -> array:
-    """Token ids of a unit."""
-    end, cuts = len(unit), []
-    while end:
-        start = end - ord(steps[end - 1]) + 64
-        cuts.append(unit[start:end])
-        end = start
-    out = array("i")
-    for piece in reversed(cuts):
-        out.extend(pieces.spell(piece))
-    return out
+def back_track(units: pa.StringArray, steps: pa.StringArray, pieces: Pieces) -> pa.ListArray:
+    """Token ids of each unit. A step is one byte, 64 and the length of the best piece that ends at a character."""
+    ends = np.frombuffer(steps.buffers()[1], np.int32)[steps.offset : steps.offset + len(steps) + 1]
+    told = np.frombuffer(steps.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
+    ends = ends - ends[0]
+    length = told.astype(np.int32) - 64
+    begins = np.zeros(len(told), bool)
+    first, at = ends[:-1], ends[1:]
+    while len(at) > _FEW:  # all units step back together
+        at = at - length[at - 1]
+        begins[at] = True
+        more = at > first
+        first, at = first[more], at[more]
+    for begin, end in zip(first.tolist(), at.tolist(), strict=True):  # the longest ones
+        while end > begin:
+            end -= int(length[end - 1])
+            begins[end] = True
+    starts = np.flatnonzero(begins)
+    bounds = np.frombuffer(units.buffers()[1], np.int32)[units.offset : units.offset + len(units) + 1]
+    data = np.frombuffer(units.buffers()[2] or b"", np.uint8)[bounds[0] : bounds[-1]]
+    characters = np.flatnonzero((data & 0xC0) != 0x80).astype(np.int32)
+    offsets = np.append(characters[starts], len(data)).astype(np.int32)
+    ids, counts = pieces.spell_all(pa.StringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(data)))
+    sums = np.concatenate(([0], np.cumsum(counts)))
+    return pa.ListArray.from_arrays(pa.array(sums[np.searchsorted(starts, ends)], pa.int32()), pa.array(ids, pa.int32()))
+
+
+def exactly(units: pa.StringArray, codes: pa.ListArray, pieces: Pieces) -> pa.BooleanArray:
+    """Which units their ids, as `back_track` gives them, are decoded to."""
+    names, sizes = pieces.written_all(codes.values.to_numpy())
+    sums = np.concatenate(([0], np.cumsum(sizes)))[codes.offsets.to_numpy()]
+    bounds = np.frombuffer(units.buffers()[1], np.int32)[units.offset : units.offset + len(units) + 1]
+    if np.array_equal(sums, bounds - bounds[0]):
+        data = np.frombuffer(units.buffers()[2] or b"", np.uint8)[bounds[0] : bounds[-1]]
+        if np.array_equal(data, np.frombuffer(names.buffers()[2] or b"", np.uint8)[: sums[-1]]):
+            return pa.array(np.ones(len(units), bool))
+    return pa.array([pieces.written(ids) == unit for unit, ids in zip(units.to_pylist(), codes.to_pylist(), strict=True)], pa.bool_())
+
+
+def _whole(column: pa.ChunkedArray) -> pa.Array:
+    """A column as one array."""
+    return pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], column.type)
 
 
 def _reply(pieces):
     def reply(key: tuple[pa.Scalar, ...], asked: pa.Table, encoded: pa.Table) -> pa.Table:
-        units, table = encoded.column("unit").to_pylist(), pieces.value
-        lists = [back_track(u, s, table) for u, s in zip(units, encoded.column("steps").to_pylist(), strict=True)]
-        codes = pa.array(lists, _CODES)
-        exact = pa.array([table.written(ids) == unit for unit, ids in zip(units, lists, strict=True)], pa.bool_())
-        place = {unit: i for i, unit in enumerate(units)}
-        chunks, owners, blobs = [], [], []
-        for chunk, owner, mine in zip(asked.column("chunk").to_pylist(), asked.column("owner").to_pylist(), asked.column("units"), strict=True):
-            chunks.append(chunk)
-            owners.append(owner)
-            at = pa.array([place[unit] for unit in mine.as_py()], pa.int64())
+        pa.default_memory_pool().release_unused()
+        units, table = _whole(encoded.column("unit")), pieces.value
+        codes = back_track(units, _whole(encoded.column("steps")), table)
+        exact = exactly(units, codes, table)
+        blobs = []
+        for mine in asked.column("units"):
+            at = pc.index_in(mine.values, value_set=units)
+            if at.null_count:
+                raise ValueError("a unit has no encoding")
             blobs.append(_stream(pa.RecordBatch.from_arrays([codes.take(at), exact.take(at)], names=["codes", "exact"])))
-        return pa.table({"chunk": pa.array(chunks, pa.int64()), "owner": pa.array(owners, pa.int64()), "codes": pa.array(blobs, pa.binary())})
+        return pa.table({"chunk": asked.column("chunk").cast(pa.int64()), "owner": asked.column("owner").cast(pa.int64()), "codes": pa.array(blobs, pa.binary())})
 
     return reply
 
@@ -216,30 +288,24 @@ def _reply(pieces):
 def _spell(pieces, owners: int):
     def spell(packed: pa.Table, replies: pa.Table) -> pa.Table:
         pa.default_memory_pool().release_unused()
-        table = pieces.value
-        wanted = _wanted(packed, table, owners)
-        known: dict[str, bytes] = {}
-        odd: set[str] = set()  # units that are not read back as they were
-        for owner, codes in zip(replies.column("owner").to_pylist(), replies.column("codes"), strict=True):
-            told = pa.ipc.open_stream(codes.as_py()).read_all()
-            lists, exact = told.column("codes").combine_chunks(), told.column("exact").combine_chunks()
-            flat, ends = lists.values.to_numpy().astype(np.int32).tobytes(), (4 * lists.offsets.to_numpy()).tolist()
-            mine = wanted.pop(owner)
-            known.update((u, flat[a:b]) for u, a, b in zip(mine, ends, ends[1:], strict=False))
-            if exact.false_count:
-                odd.update(u for u, same in zip(mine, exact.to_pylist(), strict=True) if not same)
-        doc_ids, digests, same, offsets = [], [], [], [0]
-        ids = bytearray()
-        for doc_id, text in _documents(packed):
-            units = table.units(prepared(text))
-            ids += b"".join(map(known.__getitem__, units))
-            # units stand for whole runs of bytes, so a text of units that read back as they were does so, too
-            same.append(SPACE not in text and (not odd or odd.isdisjoint(units)))
-            doc_ids.append(doc_id)
-            digests.append(hashlib.sha256(text.encode("utf-8", "replace")).hexdigest())
-            offsets.append(len(ids) >> 2)
-        tokens = pa.LargeListArray.from_arrays(pa.array(offsets, pa.int64()), pa.array(np.frombuffer(ids, np.int32))).cast(_CODES)
-        return pa.table({"doc_id": pa.array(doc_ids, pa.int64()), "text_sha256": pa.array(digests, pa.string()), "ids": tokens, "same": pa.array(same, pa.bool_())})
+        docs = _documents(packed)
+        texts = docs.column("text")
+        wanted = _wanted(texts, pieces.value, owners)
+        told = dict(zip(replies.column("owner").to_pylist(), replies.column("codes"), strict=True))
+        lists = pa.concat_tables([pa.ipc.open_stream(told[owner].as_buffer()).read_all() for owner in wanted.owners] or [_NO_CODES])
+        codes, exact = _whole(lists.column("codes")), _whole(lists.column("exact"))
+        if len(codes) != len(wanted.units):
+            raise ValueError("not every unit has an encoding")
+        spelled = codes.take(wanted.words)
+        ends = np.concatenate(([0], np.cumsum(wanted.counts)))
+        ids = pa.ListArray.from_arrays(pa.array(spelled.offsets.to_numpy()[ends], pa.int32()), spelled.values)
+        # units stand for whole runs of bytes, so a text of units that read back as they were does so, too
+        same = ~pc.match_substring(_whole(texts), SPACE).to_numpy(zero_copy_only=False)
+        if exact.false_count:
+            odd = np.concatenate(([0], np.cumsum(~exact.to_numpy(zero_copy_only=False)[wanted.words.to_numpy()])))[ends]
+            same &= odd[1:] == odd[:-1]
+        digests = [hashlib.sha256(text.as_buffer()).hexdigest() for text in texts]
+        return pa.table({"doc_id": docs.column("doc_id"), "text_sha256": pa.array(digests, pa.string()), "ids": ids, "same": pa.array(same, pa.bool_())})
 
     return spell
 
@@ -260,7 +326,7 @@ def encode(docs: DataFrame, model: str = MODEL, chunk_bytes: int = CHUNK_BYTES)
     pieces = spark.sparkContext.broadcast(table)
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     owners = max(OWNERS_PER_PARTITION * partitions(spark), _input_bytes(read) // OWNER_BYTES)
-    packed = read.mapInArrow(_pack(chunk_bytes), "chunk long, docs binary")
+    packed = read.mapInArrow(_pack(chunk_bytes), "chunk long, at int, docs binary")
     asked = packed.groupBy("chunk").applyInArrow(_ask(pieces, owners), "chunk long, owner long, units array<string>").repartition(owners, "owner")
     # reads every column of `asked`, so that both of its readers share one shuffle
     units = asked.select("owner", "chunk", F.explode_outer("units").alias("unit")).groupBy("owner", "unit").agg(F.min("chunk").alias("asked_by"))

@@ -14,9 +14,14 @@ inside a word between letters and other characters where the table allows it.
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import cache, cached_property
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 
 SPACE = "▁"
@@ -48,6 +53,51 @@ class Pieces:
         """Units of prepared text."""
         return (_LETTERS if self.by_letters else _WORDS).findall(words)
 
+    def cut(self, texts: pa.Array) -> tuple[pa.LargeStringArray, np.ndarray]:
+        """Units of a column of texts, one after the other, and how many each text has.
+
+        What `units` finds in the prepared texts, with blanks where `spaced` puts U+2581.
+        """
+        texts = texts.cast(pa.large_string())
+        blank, empty = pa.scalar(" ", pa.large_string()), pa.scalar("", pa.large_string())
+        full = pc.if_else(pc.equal(pc.binary_length(texts), 0), empty, pc.binary_join_element_wise(blank, texts, empty))
+        ends = np.frombuffer(full.buffers()[1], np.int64)[full.offset : full.offset + len(full) + 1]
+        data = full.buffers()[2] or pa.py_buffer(b"")
+        begins = np.zeros(ends[-1] + 1, bool)
+        begins[ends] = True  # of the next text, or of nothing
+        _changes(np.frombuffer(data, np.uint8), int(ends[0]), int(ends[-1]), kinds(self.by_letters), begins)
+        starts = np.flatnonzero(begins)
+        units = pa.LargeStringArray.from_buffers(len(starts) - 1, pa.py_buffer(starts), data)
+        return units, np.diff(np.searchsorted(starts, ends))
+
+    @cached_property
+    def _normal(self) -> tuple[pa.Array, np.ndarray]:
+        return pa.array(list(self.ids), pa.string()), np.fromiter(self.ids.values(), np.int32)
+
+    @cached_property
+    def _names(self) -> pa.Array:
+        return pa.array(self.names, pa.large_binary())
+
+    def spell_all(self, pieces: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of a column of pieces, one after the other, and how many each piece has."""
+        known, ids = self._normal
+        place = pc.index_in(pieces, value_set=known)
+        found = place.is_valid().to_numpy(zero_copy_only=False)
+        sizes = pc.binary_length(pieces).to_numpy()
+        counts = np.where(found, 1, sizes)
+        out = np.empty(counts.sum(), np.int32)
+        single = np.repeat(found, counts)
+        out[single] = ids[place.drop_null().to_numpy()]
+        ends = np.frombuffer(pieces.buffers()[1], np.int32)
+        data = np.frombuffer(pieces.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
+        out[~single] = np.array(self.byte_ids, np.int32)[data[np.repeat(~found, sizes)]]
+        return out, counts
+
+    def written_all(self, ids: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+        """The bytes that ids stand for, as a column, and their lengths."""
+        names = self._names.take(pa.array(ids, pa.int32()))
+        return names, pc.binary_length(names).to_numpy()
+
     def spell(self, piece: str) -> list[int]:
         """Ids of a piece, or the bytes of an unknown character."""
         got = self.ids.get(piece)
@@ -63,6 +113,36 @@ class Pieces:
         return self.written(ids).replace(SPACE, " ")[1:]
 
 
+_CUT_BYTES = 1 << 18  # of a text that is looked at together
+
+
+@cache
+def kinds(by_letters: bool) -> np.ndarray:
+    """Kind of every code point: 0 the blank and U+2581, 1 a letter, 2 any other; 2 a letter, too, where units are whole words."""
+    every = "".join(map(chr, range(sys.maxunicode + 1)))
+    out = np.full(len(every), 2, np.uint8)
+    if by_letters:
+        for run in re.finditer(f"{_LETTER}+", every):
+            out[run.start() : run.end()] = 1
+    out[[ord(" "), ord(SPACE)]] = 0
+    return out
+
+
+def _changes(data: np.ndarray, at: int, end: int, kind_of: np.ndarray, begins: np.ndarray) -> None:
+    """Marks the bytes between `at` and `end` where one unit ends and another begins."""
+    before = 0
+    while at < end:
+        stop = min(at + _CUT_BYTES, end)
+        while stop < end and data[stop] & 0xC0 == 0x80:  # inside a character
+            stop += 1
+        part = data[at:stop]
+        kind = kind_of[np.frombuffer(part.tobytes().decode().encode("utf-32-le"), np.uint32)]
+        earlier = np.concatenate(([before], kind[:-1]))
+        changed = (kind != earlier) & (earlier != 0)
+        begins[at + np.flatnonzero((part & 0xC0) != 0x80)[changed]] = True
+        at, before = stop, kind[-1]
+
+
 _WORDS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 # the first branch is the second for the commonest letters, and faster
 _LETTERS = re.compile(f"{SPACE}?[A-Za-zÀ-ÖØ-öø-ɏ]++(?!{_LETTER})|{SPACE}*{_LETTER}+|{SPACE}*{_OTHER}+|{SPACE}+")
@@ -85,5 +165,10 @@ def load(path: str = MODEL) -> Pieces:
     return Pieces(ids, {p: float(-n) for n, p in enumerate(ids)}, byte_ids, names, not mixed)
 
 
+def spaced(units: pa.Array) -> pa.Array:
+    """Units as `Pieces.units` writes them."""
+    return pc.replace_substring(units, " ", SPACE)
+
+
 def prepared(text: str) -> str:
     return SPACE + text.replace(" ", SPACE) if text else ""

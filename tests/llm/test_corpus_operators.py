@@ -5,11 +5,15 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import tracemalloc
 from collections import Counter, defaultdict
+from dataclasses import replace
 from pathlib import Path
+from types import SimpleNamespace
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 import xxhash
@@ -219,6 +223,52 @@ def test_encoding_and_counts(documents, texts, edge, none, unigram):
     assert piece_encoding.round_trip(none).count() == 0 and token_counts.token_counts(none).count() == 0
 
 
+@pytest.mark.parametrize("by_letters", [True, False])
+@pytest.mark.parametrize("block", [7, 1 << 20])
+def test_units_of_a_column(texts, monkeypatch, by_letters, block):
+    """Cut over whole columns, in blocks of any size, as text by text."""
+    table = replace(pieces.load(), by_letters=by_letters)
+    monkeypatch.setattr(pieces, "_CUT_BYTES", block)
+    odd = ["", " ", "▁", " ▁ ", "a ▁b", "  x", "x  ", "x²³ a1b", "日本  語 ñ². \U0001f9ff x\tÿ", "", None]
+    every = odd + [t for _, t in texts[: 20 if block < 100 else 200]]
+    units, counts = table.cut(pa.array(every, pa.string()))
+    want = [table.units(pieces.prepared(t or "")) for t in every]
+    assert counts.tolist() == [len(w) for w in want]
+    assert pieces.spaced(units).to_pylist() == [u for w in want for u in w]
+    assert table.cut(pa.array([], pa.string()))[1].tolist() == [] and table.cut(pa.array(["", ""]))[1].tolist() == [0, 0]
+
+
+def test_ids_of_a_column():
+    """Units that step back together, long ones, unknown characters; a table that does not read back."""
+    table = pieces.load()
+    units = ["▁the", "▁" + "ab" * 4000, "\U0001f9ff語x", "▁x²³"] * 3 + [f"▁{i}" for i in range(40)]
+    steps = ["A" * len(u) for u in units]  # every character a piece of its own
+    got = piece_encoding.back_track(pa.array(units), pa.array(steps), table)
+    assert got.to_pylist() == [[i for c in u for i in table.spell(c)] for u in units]
+    assert piece_encoding.exactly(pa.array(units), got, table).to_pylist() == [True] * len(units)
+    poor = replace(table, byte_ids=[0] * 256)
+    got = piece_encoding.back_track(pa.array(units), pa.array(steps), poor)
+    assert piece_encoding.exactly(pa.array(units), got, poor).to_pylist() == [all(c in table.ids for c in u) for u in units]
+
+
+def test_a_chunk_keeps_no_object_per_unit():
+    """A chunk of new words asks its owners within a few times its bytes, whatever order its streams come in."""
+    words = [" ".join(f"{'abcdefghij'[i % 10]}{chr(97 + i // 10 % 26)}{chr(97 + i // 260 % 26)}{chr(97 + i // 6760 % 26)}{chr(97 + d)}q" for i in range(60_000)) for d in range(4)]
+    size = sum(map(len, words))
+    streams = [piece_encoding._stream(pa.RecordBatch.from_arrays([pa.array([d], pa.int64()), pa.array([t])], schema=piece_encoding._DOC)) for d, t in enumerate(words)]
+    packed = pa.table({"chunk": [0] * 4, "at": pa.array(range(4), pa.int32()), "docs": streams})
+    ask = piece_encoding._ask(SimpleNamespace(value=pieces.load()), 5)
+    first = ask((pa.scalar(0),), packed)  # tables are made once
+    tracemalloc.start()
+    try:
+        again = ask((pa.scalar(0),), packed.take([2, 0, 3, 1]))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert first.equals(again) and sorted(u for us in first["units"].to_pylist() for u in us) == sorted({u for t in words for u in pieces.load().units(pieces.prepared(t))})
+    assert peak < 12 * size, peak / size  # 18 with the units as strings in a set
+
+
 def brute_passages(texts):
     window, first = 50, {}
     words = [(d, (t or "").encode().split()) for d, t in texts]
