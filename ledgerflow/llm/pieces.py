@@ -119,7 +119,7 @@ _CUT_BYTES = 1 << 18  # of a text that is looked at together
 @cache
 def kinds(by_letters: bool) -> np.ndarray:
     """Kind of every code point: 0 the blank and U+2581, 1 a letter, 2 any other; 2 a letter, too, where units are whole words."""
-    every = "".join(map(chr, range(sys.maxunicode + 1)))
+    every = np.arange(sys.maxunicode + 1, dtype="<u4").tobytes().decode("utf-32-le", "surrogatepass")
     out = np.full(len(every), 2, np.uint8)
     if by_letters:
         for run in re.finditer(f"{_LETTER}+", every):
@@ -136,7 +136,7 @@ def _changes(data: np.ndarray, at: int, end: int, kind_of: np.ndarray, begins: n
         while stop < end and data[stop] & 0xC0 == 0x80:  # inside a character
             stop += 1
         part = data[at:stop]
-        kind = kind_of[np.frombuffer(part.tobytes().decode().encode("utf-32-le"), np.uint32)]
+        kind = kind_of[np.frombuffer(part.tobytes().decode().encode("utf-32-le"), "<u4")]
         earlier = np.concatenate(([before], kind[:-1]))
         changed = (kind != earlier) & (earlier != 0)
         begins[at + np.flatnonzero((part & 0xC0) != 0x80)[changed]] = True

@@ -238,6 +238,18 @@ def test_units_of_a_column(texts, monkeypatch, by_letters, block):
     assert table.cut(pa.array([], pa.string()))[1].tolist() == [] and table.cut(pa.array(["", ""]))[1].tolist() == [0, 0]
 
 
+def test_kinds_are_made_without_an_object_per_character():
+    """Every worker makes the table; one string per code point would take it 70 MB."""
+    tracemalloc.start()
+    try:
+        got = pieces.kinds.__wrapped__(True)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert [int(got[ord(c)]) for c in " ▁aéñ語²9.\t"] == [0, 0, 1, 1, 1, 1, 2, 2, 2, 2]
+    assert peak < 32 << 20, peak
+
+
 def test_ids_of_a_column():
     """Units that step back together, long ones, unknown characters; a table that does not read back."""
     table = pieces.load()
