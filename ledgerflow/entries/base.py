@@ -34,7 +34,8 @@ TEST_PARAMS = dataclasses.replace(DRIVER_PARAMS, calendar_start=dt.date(1995, 1,
 
 
 def warehouse(spark: SparkSession, sf_dir: str, params: Params = DRIVER_PARAMS) -> Warehouse:
-    return Warehouse(DriverTables(spark, sf_dir).raw, params)
+    tables = DriverTables(spark, sf_dir)
+    return Warehouse(tables.raw, params, tables.labelled)
 
 
 def published(df: DataFrame) -> DataFrame:
@@ -64,8 +65,8 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self._tables = DriverTables(spark, sf_dir)
-        self.w = Warehouse(self._tables.raw, DRIVER_PARAMS)
-        self.tested = Warehouse(self._tables.raw, TEST_PARAMS)
+        self.w = Warehouse(self._tables.raw, DRIVER_PARAMS, self._tables.labelled)
+        self.tested = Warehouse(self._tables.raw, TEST_PARAMS, self._tables.labelled)
 
     def __getattr__(self, name: str) -> DataFrame:
         return self._tables.table(name)

@@ -35,6 +35,12 @@ ITEM_HIERARCHY = (
 )
 
 
+def item_labels(w: Warehouse, need: set[str], *extra: str) -> dict[str, DataFrame]:
+    """The item columns that are needed, by the lines' item key; nothing if none is."""
+    used = [c for c in (*ITEM_HIERARCHY, *extra) if c in need]
+    return {"item_code": w.model("item", "item_code", *used)} if used else {}
+
+
 def with_item(w: Warehouse, df: DataFrame, need: set[str], *extra: str, how: str = "left") -> DataFrame:
     used = [c for c in (*ITEM_HIERARCHY, *extra) if c in need]
     if not used and how == "left":

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from ledgerflow.functions import codes, text
 from ledgerflow.operators.joins import lookup
 from ledgerflow.operators.setops import union_bricks
-from ledgerflow.plans.common import with_branch, with_item, with_partner
-from ledgerflow.plans.sales import header_usage, newest_versions, translated, with_header_usage
+from ledgerflow.plans.common import item_labels, with_branch, with_partner
+from ledgerflow.plans.sales import header_usage, newest_versions, translated, usage_labels
 from ledgerflow.plans.warehouse import Warehouse, model
 
 
@@ -65,10 +65,9 @@ def purchase_documents(w: Warehouse, kind: str, need: set[str]) -> DataFrame:
 
 
 def purchase_lines(w: Warehouse, kind: str, need: set[str]) -> DataFrame:
-    lines = w.stage(KINDS[kind].lines).withColumn("document_type", F.lit(kind))
-    if kind == "invoice":
-        lines = with_header_usage(w, lines, "purchases_fiscal_usage_invoice", need)
-    return with_item(w, lines, need, "manufacturer_code")
+    labels = usage_labels(w, "purchases_fiscal_usage_invoice", need) if kind == "invoice" else {}
+    labels |= item_labels(w, need, "manufacturer_code")
+    return w.stage_labelled(KINDS[kind].lines, labels).withColumn("document_type", F.lit(kind))
 
 
 def _register_kind(kind: str) -> None:

@@ -13,7 +13,7 @@ from ledgerflow.functions.predicates import freight_expense
 from ledgerflow.operators.joins import code_or_name, lookup, temporal_left_join
 from ledgerflow.operators.latest import first_per_key, latest_per_key
 from ledgerflow.operators.setops import union_bricks, union_labelled
-from ledgerflow.plans.common import goal_rows, with_branch, with_item, with_partner
+from ledgerflow.plans.common import goal_rows, item_labels, with_branch, with_partner
 from ledgerflow.plans.warehouse import Warehouse, model
 
 
@@ -140,12 +140,17 @@ def header_usage(w: Warehouse, staging: str, need: set[str] | None = None) -> Da
 USAGE_COLUMNS = ("main_usage_id", "main_usage_description")
 
 
+def usage_labels(w: Warehouse, usage: str, need: set[str]) -> dict[str, DataFrame]:
+    """The header usage columns (of a usage model) that are needed, by the document key; nothing if none is."""
+    used = [c for c in USAGE_COLUMNS if c in need]
+    return {"doc_entry": w.model(usage, "doc_entry", *used)} if used else {}
+
+
 def with_header_usage(w: Warehouse, df: DataFrame, usage: str, need: set[str]) -> DataFrame:
     """Attach the header usage (a usage model) on the document key."""
-    used = [c for c in USAGE_COLUMNS if c in need]
-    if not used:
-        return df
-    return df.join(w.model(usage, "doc_entry", *used), "doc_entry", "left")
+    for key, label in usage_labels(w, usage, need).items():
+        df = df.join(label, key, "left")
+    return df
 
 
 def sales_lines(w: Warehouse, kind: str, need: set[str]) -> DataFrame:
@@ -155,13 +160,12 @@ def sales_lines(w: Warehouse, kind: str, need: set[str]) -> DataFrame:
     the line-price table back would only repeat the same row.
     """
     spec = KINDS[kind]
-    lines = w.stage(spec.lines).withColumn("document_type", F.lit(kind))
-    lines = lines.withColumns(
+    labels = usage_labels(w, f"sales_fiscal_usage_{kind}", need) if spec.usage else {}
+    labels |= item_labels(w, need, "manufacturer_code")
+    lines = w.stage_labelled(spec.lines, labels).withColumn("document_type", F.lit(kind))
+    return lines.withColumns(
         {c: F.lower(c) for c in ("item_description", "cfop") if c in lines.columns}
     )
-    if spec.usage:
-        lines = with_header_usage(w, lines, f"sales_fiscal_usage_{kind}", need)
-    return with_item(w, lines, need, "manufacturer_code")
 
 
 def _register_kind(kind: str) -> None:
@@ -234,7 +238,7 @@ def sales_delivery_documents(w: Warehouse, need: set[str]) -> DataFrame:
 
 @model("sales_delivery_lines")
 def sales_delivery_lines(w: Warehouse, need: set[str]) -> DataFrame:
-    return with_item(w, w.stage("delivery_lines_dln1"), need, "manufacturer_code")
+    return w.stage_labelled("delivery_lines_dln1", item_labels(w, need, "manufacturer_code"))
 
 
 @model("sales_installments")

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
 from ledgerflow.contract import COLUMNS, conform
-from ledgerflow.sources.staging import STAGING, project
+from ledgerflow.sources.staging import STAGING, mapping, project
 
 
 @dataclass(frozen=True)
@@ -27,6 +27,8 @@ class Params:
     calendar_end: dt.date = dt.date(2035, 12, 31)
 
 
+# a raw table with frames joined to its rows by a raw column each; None where the source has no such way
+Labelled = Callable[[str, Mapping[str, DataFrame]], DataFrame | None]
 Builder = Callable[["Warehouse", set[str]], DataFrame]
 BUILDERS: dict[str, Builder] = {}
 
@@ -46,8 +48,11 @@ class Warehouse:
     the lookups nobody needs, so a fact does not pay for labels it drops.
     """
 
-    def __init__(self, raw: Callable[[str], DataFrame], params: Params | None = None):
+    def __init__(
+        self, raw: Callable[[str], DataFrame], params: Params | None = None, labelled: Labelled | None = None
+    ):
         self._raw = raw
+        self._labelled = labelled
         self.params = params or Params()
         self._cache: dict[tuple, DataFrame] = {}
 
@@ -62,6 +67,23 @@ class Warehouse:
     def stage(self, name: str) -> DataFrame:
         return self._once(("stage", name), lambda: project(self.raw(STAGING[name][0]), name))
 
+    def stage_labelled(self, name: str, labels: Mapping[str, DataFrame]) -> DataFrame:
+        """Staging projection `name`, left-joined to frames that share one of its columns: column -> frame.
+
+        Where the source can join its rows before it shapes them into the raw table, the
+        joins shuffle those.
+        """
+        source = {staged: column for column, staged, rule in mapping(name) if not rule}
+        if labels and self._labelled and labels.keys() <= source.keys():
+            renamed = {source[key]: label.withColumnRenamed(key, source[key]) for key, label in labels.items()}
+            rows = self._labelled(STAGING[name][0], renamed)
+            if rows is not None:
+                return project(rows, name, *(c for key, label in labels.items() for c in label.columns if c != key))
+        staged = self.stage(name)
+        for key, label in labels.items():
+            staged = staged.join(label, key, "left")
+        return staged
+
     def model(self, name: str, *columns: str) -> DataFrame:
         wanted = list(columns) or COLUMNS[name]
 

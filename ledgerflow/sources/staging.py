@@ -747,15 +747,15 @@ def mapping(name: str) -> list[tuple[str, str, str]]:
     return rows
 
 
-def project(raw: DataFrame, name: str) -> DataFrame:
-    """Apply the staging projection `name` to its raw table."""
+def project(raw: DataFrame, name: str, *carried: str) -> DataFrame:
+    """Apply the staging projection `name` to its raw table; `carried` columns pass as they are."""
     rows = mapping(name)
     cleaned = {source: _CLEANING[rule](F.col(f"`{source}`")) for source, _, rule in rows if rule in _CLEANING}
     columns = [
         f"CAST(`{source}` AS {rule}) AS {staged}" if rule and rule not in _CLEANING else f"`{source}` AS {staged}"
         for source, staged, rule in rows
     ]
-    return (raw.withColumns(cleaned) if cleaned else raw).selectExpr(*columns, STAMP)
+    return (raw.withColumns(cleaned) if cleaned else raw).selectExpr(*columns, STAMP, *carried)
 
 
 def stamp_ingested_at(df: DataFrame, run_ts: Column) -> DataFrame:

@@ -14,7 +14,7 @@ from ledgerflow.entries.base import DRIVER_PARAMS, warehouse
 from ledgerflow.entries.registry import QUERIES
 from ledgerflow.operators import quality
 from ledgerflow.plans.marts import daily_movement
-from ledgerflow.plans.models import BUILDERS, Params
+from ledgerflow.plans.models import BUILDERS, Params, Warehouse
 
 KEYS = {
     "dim_date": ["date"], "dim_item": ["item_code"], "dim_partner": ["partner_code"], "dim_employees": ["employee_code"],
@@ -135,6 +135,43 @@ def test_lean_models_read_fewer_tables(w):
     assert DRIVER_PARAMS.as_of.year == 2001
 
 
+@pytest.mark.parametrize("name", ["sales_invoice_lines", "sales_return_lines", "purchases_invoice_lines", "sales_delivery_lines"])
+def test_lines_are_shaped_behind_their_last_shuffle(spark, sf_dir, name):
+    """Usage and item labels join the driver's lines; a column made of them is in no shuffle."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(warehouse(spark, sf_dir).model(name))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    shuffles = [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
+    assert shuffles and "as decimal(20,6)" in plan.split("Exchange hashpartitioning(", 1)[0]
+    assert plan.count("l_quantity#") and plan.split("Exchange hashpartitioning(", 1)[1].count("as decimal(20,6)") == 0
+    assert plan.count("Exchange hashpartitioning(l_orderkey") == (name != "sales_delivery_lines")
+
+
+@pytest.mark.parametrize("name", ["sales_fiscal_lines", "purchases_fiscal_lines", "sales_delivery_lines"])
+def test_labels_on_the_drivers_lines_equal_labels_on_the_raw_table(spark, sf_dir, name, tmp_path):
+    """Also for lines without a master, a usage or a key, and for documents with two usages."""
+    driver = DriverTables(spark, sf_dir)
+    small = {"lineitem": "l_orderkey <= 60", "orders": "o_orderkey <= 40", "part": "p_partkey % 3 > 0"}
+    for table in ("region", "nation", "customer", "supplier", "events", *small):
+        kept = driver.table(table).where(small.get(table, "true"))
+        if table == "orders":  # a document that has its usage row twice repeats its lines
+            kept = kept.unionByName(kept.where("o_orderkey % 10 = 4"))
+        if table == "lineitem":
+            no_item = kept.where("l_orderkey = 1").withColumn("l_partkey", F.lit(None).cast("bigint"))
+            kept = kept.unionByName(no_item)
+        kept.write.parquet(str(tmp_path / f"{table}.parquet"))
+    odd = DriverTables(spark, str(tmp_path))
+    plain = Warehouse(odd.raw, DRIVER_PARAMS).model(name)
+    labelled = Warehouse(odd.raw, DRIVER_PARAMS, odd.labelled).model(name)
+    assert plain.dtypes == labelled.dtypes and "l_orderkey#" in plan_of(labelled)
+    expected = rows(plain)
+    assert len(expected) > 100 and rows(labelled) == expected
+    assert any(r["item_code"] is None for r in labelled.collect()) and any(r["item_name"] is None for r in labelled.collect())
+    assert rows(labelled.select("doc_entry", "line_number")) == rows(plain.select("doc_entry", "line_number"))
+
+
 def test_daily_rows_shuffle_no_derived_quantity(w):
     """The quantity after the last movement follows from its price and value, behind the last shuffle."""
     plan = plan_of(w.model("fact_daily_inventory_movement"))
