@@ -34,7 +34,7 @@ class DriverTables:
     def labelled(self, name: str, labels: Mapping[str, DataFrame]) -> DataFrame | None:
         """The raw table with the other columns of frames left-joined to it by a raw column each, or None.
 
-        A line of a raw table is two to three times as wide as the driver's line it is
+        A line of a raw table is up to three times as wide as the driver's line it is
         made from, so the joins move the driver's lines and the SELECT shapes them
         behind the last shuffle.
         """
