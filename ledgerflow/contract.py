@@ -7,6 +7,8 @@ grow with the data and would overflow a 32-bit int on a large cluster.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 
 # fixed values: model -> output columns, in output order
@@ -291,8 +293,8 @@ def column_type(model: str, column: str) -> str:
     return _TYPE_OF.get(column, "string")
 
 
-def conform(df: DataFrame, model: str, columns: list[str] | None = None) -> DataFrame:
-    """Project to the contract: order, names and explicit output types.
+def conform(df: DataFrame, model: str, columns: list[str] | None = None, carried: Sequence[str] = ()) -> DataFrame:
+    """Project to the contract: order, names and explicit output types; `carried` columns pass as they are.
 
     Contract columns the frame lacks become typed NULLs, so a document type
     that does not carry an attribute still fits the shared schema.
@@ -302,5 +304,6 @@ def conform(df: DataFrame, model: str, columns: list[str] | None = None) -> Data
         *(
             f"CAST({c if c in have else 'NULL'} AS {column_type(model, c)}) AS {c}"
             for c in columns or COLUMNS[model]
-        )
+        ),
+        *carried,
     )

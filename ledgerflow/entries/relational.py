@@ -21,7 +21,7 @@ from ledgerflow.operators.joins import (
 from ledgerflow.operators.latest import first_per_key, latest_per_key
 from ledgerflow.operators.setops import union_bricks, union_labelled
 from ledgerflow.operators.skew import anti_join, join_lines_to_headers, semi_join
-from ledgerflow.plans.catalogue import CATALOGUE, catalogue_results
+from ledgerflow.plans.catalogue import CATALOGUE, catalogue_results, tested_in_turn
 from ledgerflow.plans.common import goal_rows
 from ledgerflow.plans.marts import days_between, outflow_windows
 from ledgerflow.plans.sales import GOAL_KEY, goals_with_store
@@ -646,8 +646,8 @@ def _declared_sql(model: str) -> str:
 
 @query("dq_catalogue", " UNION ALL ".join(map(_declared_sql, CATALOGUE)))
 def _catalogue(t):
-    """Every declared test of the marts; one pass over each model."""
-    return catalogue_results(t.tested)
+    """Every declared test of the marts; one pass over each model, one model after another."""
+    return tested_in_turn(t.tested)
 
 
 # the sales mart, the items and the tests written for one table

@@ -5,6 +5,8 @@ bounds and the masters its codes are found in. `compiled` turns all of them into
 one aggregation over the model: a row counts for its key once, for each of its
 codes once, and a row that fails row tests once more, with a bit per test, so keys
 that repeat and codes without a master come out of the same grouping as the row tests.
+Where a model's rows already lie by their key, they are counted by it in place, and
+what goes on to that grouping is their codes and what fails.
 """
 
 from __future__ import annotations
@@ -13,11 +15,12 @@ import datetime as dt
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from ledgerflow.operators.setops import union_bricks
 from ledgerflow.plans.warehouse import Warehouse
+from ledgerflow.session import shuffles_freed
 
 _SEPARATOR, _NO_VALUE = "\x1f", "\x1e"
 
@@ -36,6 +39,8 @@ class Declared:
     blank_passes: Sequence[str] = ()
     #: columns whose tests only warn
     warn: Sequence[str] = ()
+    #: the model's last grouping or join is by columns of its key, so that counting by the key moves no row; all codes are of the key
+    by_key: bool = False
 
     def tests(self, model: str) -> Iterator[tuple[str, str, str]]:
         """(test, severity, column) of every declared test; the column of the key test is empty."""
@@ -139,6 +144,7 @@ CATALOGUE: dict[str, Declared] = {
             "outflow_quantity_30d", "outflow_quantity_45d", "outflow_quantity_60d", "outflow_quantity_ytd",
         ],
         found_in={"item_code": ("item", "item_code"), "warehouse_code": ("warehouse", "warehouse_code")},
+        by_key=True,
     ),
     "fact_daily_inventory_movement": Declared(
         key=["date", "item_code", "warehouse_code"],
@@ -147,6 +153,7 @@ CATALOGUE: dict[str, Declared] = {
             "transacted_amount", "movement_count",
         ],
         found_in={"item_code": ("item", "item_code"), "warehouse_code": ("warehouse", "warehouse_code")},
+        by_key=True,
     ),
 }
 
@@ -165,6 +172,39 @@ def _key(columns: Sequence[str]) -> Column:
     return F.concat_ws(_SEPARATOR, *(F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(_NO_VALUE)) for c in columns))
 
 
+def _entry(no: Column, value: Column, n: Column) -> Column:
+    return F.struct(no.cast("bigint").alias("no"), value.alias("value"), n.cast("bigint").alias("n"))
+
+
+def _entries_by_row(rows: DataFrame, declared: Declared, row_tests: Mapping[int, Column], codes: Sequence[Column]) -> DataFrame:
+    """no, value: a row under its key, under each of its codes and, with the marks of the tests it fails, under its key."""
+    marks = F.lit(0).cast("bigint")
+    for i, fails in row_tests.items():
+        marks = marks.bitwiseOR(F.when(fails, F.lit(1 << i)).otherwise(0).cast("bigint"))
+    narrow = rows.select(_key(declared.key).alias("_key"), marks.alias("_marks"), *(c.alias(f"_code{n}") for n, c in enumerate(codes)))
+    entries = [F.struct(F.lit(0).cast("bigint").alias("no"), F.col("_key").alias("value"))]
+    entries += [F.struct(F.lit(n + 1).cast("bigint").alias("no"), F.col(f"_code{n}").alias("value")) for n in range(len(codes))]
+    if row_tests:
+        entries.append(F.struct((-F.col("_marks")).alias("no"), F.when(F.col("_marks") != 0, F.col("_key")).alias("value")))
+    return narrow.select(F.inline(F.array(*entries))).where("value IS NOT NULL")
+
+
+def _entries_by_key(rows: DataFrame, declared: Declared, row_tests: Mapping[int, Column], codes: Sequence[Column]) -> DataFrame:
+    """The same, with their number n, of rows counted by their key: only a key that repeats has an entry, and one per test that rows of it fail."""
+    keys = [F.col(f"`{c}`") for c in declared.key]
+    failing = [F.count(F.when(fails, 1)).alias(f"_fails{i}") for i, fails in row_tests.items()]
+    counted = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *failing)
+    key, times = _key(declared.key), F.col("_n")
+    told = [_entry(F.lit(0), F.when(times > 1, key), times)]
+    told += [_entry(F.lit(-(1 << i)), F.when(F.col(f"_fails{i}") > 0, key), F.col(f"_fails{i}")) for i in row_tests]
+    listed = [_entry(F.lit(n + 1), c, times) for n, c in enumerate(codes)]
+    sound = times == 1
+    for i in row_tests:
+        sound = sound & (F.col(f"_fails{i}") == 0)
+    entries = F.when(sound, F.array(*listed)).otherwise(F.array(*told, *listed))
+    return counted.select(F.inline(entries)).where("value IS NOT NULL")
+
+
 def compiled(model: str, rows: DataFrame, declared: Declared, masters: Mapping[str, DataFrame]) -> DataFrame:
     """One row per declared test of a model: test, severity, failures, sample (a failing key or code).
 
@@ -176,23 +216,20 @@ def compiled(model: str, rows: DataFrame, declared: Declared, masters: Mapping[s
     row_tests = {i: _failing(declared, test, c) for i, (test, _, c) in enumerate(tests) if c and not test.startswith("relationships")}
     if len(tests) > 62:
         raise ValueError(f"{model}: {len(tests)} tests, a row's marks hold 62")
+    if declared.by_key and not set(codes) <= set(declared.key):
+        raise ValueError(f"{model}: only codes of the key are there once rows are counted by it")
 
     def code(column: str) -> Column:
         text = F.col(f"`{column}`").cast("string")
         return F.nullif(text, F.lit("")) if column in declared.blank_passes else text
 
-    marks = F.lit(0).cast("bigint")
-    for i, fails in row_tests.items():
-        marks = marks.bitwiseOR(F.when(fails, F.lit(1 << i)).otherwise(0).cast("bigint"))
-    narrow = rows.select(_key(declared.key).alias("_key"), marks.alias("_marks"), *(code(c).alias(f"_code{n}") for n, c in enumerate(codes)))
     # number 0 is the row under its key, a positive one a code, a negative one the marks of a row that fails, under its key
-    entries = [F.struct(F.lit(0).cast("bigint").alias("no"), F.col("_key").alias("value"))]
-    entries += [F.struct(F.lit(n + 1).cast("bigint").alias("no"), F.col(f"_code{n}").alias("value")) for n in range(len(codes))]
-    if row_tests:
-        entries.append(F.struct((-F.col("_marks")).alias("no"), F.when(F.col("_marks") != 0, F.col("_key")).alias("value")))
-    flat = narrow.select(F.inline(F.array(*entries))).where("value IS NOT NULL")
+    if declared.by_key:
+        flat, n = _entries_by_key(rows, declared, row_tests, [code(c) for c in codes]), F.sum("n")
+    else:
+        flat, n = _entries_by_row(rows, declared, row_tests, [code(c) for c in codes]), F.count(F.lit(1))
     # a key that occurs once has nothing to tell, and it goes before anything is sorted
-    grouped = flat.groupBy("no", "value").agg(F.count(F.lit(1)).alias("n")).where("no <> 0 OR n > 1")
+    grouped = flat.groupBy("no", "value").agg(n.alias("n")).where("no <> 0 OR n > 1")
 
     known = []
     for master in dict.fromkeys(m for m, _ in declared.found_in.values()):
@@ -232,3 +269,18 @@ def catalogue_results(w: Warehouse, models: Sequence[str] | None = None) -> Data
         return compiled(model, w.model(model, *declared.columns()), declared, masters)
 
     return union_bricks(results(m) for m in models or CATALOGUE)
+
+
+def tested_in_turn(w: Warehouse, models: Sequence[str] | None = None) -> DataFrame:
+    """The rows of `catalogue_results`, one model's tests run after another's.
+
+    The disk holds the shuffles of one model at a time instead of those of all. What
+    comes to the driver is a row per declared test.
+    """
+    spark = w.raw("oinv").sparkSession
+    rows: list[Row] = []
+    with shuffles_freed(spark):
+        for name in models or CATALOGUE:
+            counts = catalogue_results(w, [name])
+            rows += counts.collect()
+    return spark.createDataFrame(rows, counts.schema)

@@ -15,7 +15,6 @@ from ledgerflow.functions.measures import (
 )
 from ledgerflow.operators.joins import match_key
 from ledgerflow.operators.setops import union_bricks
-from ledgerflow.operators.skew import join_lines_to_headers
 from ledgerflow.plans.common import store_label, with_item
 from ledgerflow.plans.inventory import in_known_places, quantity_after, stock_rows, with_warehouse
 from ledgerflow.plans.sales import with_header_usage
@@ -144,8 +143,7 @@ def fact_sales(w: Warehouse, need: set[str]) -> DataFrame:
         visible = sales_visible_document() & predicates.not_canceled_return(F.lit(kind), F.col("canceled"))
         visible = visible & sales_scope(kind) if kind == "return" else visible
         documents = documents.where(predicates.force_display(shown, visible))
-        lines = w.model(f"sales_{kind}_lines", *_SALES_LINE)
-        kept = join_lines_to_headers(lines, documents, ["doc_entry"])
+        kept = w.lines_of(f"sales_{kind}_lines", _SALES_LINE, documents, "doc_entry")
         if kind != "return":
             kept = kept.where(predicates.force_display(shown, sales_scope(kind)))
         sign = sales_sign(F.lit(kind), F.col("canceled"))
@@ -194,14 +192,12 @@ _PURCHASE_DOCUMENT = (
 
 @model("fact_purchases")
 def fact_purchases(w: Warehouse, need: set[str]) -> DataFrame:
-    lines = w.model("purchases_invoice_lines", *_PURCHASE_LINE).where(
-        predicates.commercial_purchase(F.col("usage_id"))
-    )
     documents = w.model("purchases_invoice_documents", *_PURCHASE_DOCUMENT).where(
         predicates.purchases_visible(F.col("canceled"), F.col("partner_show_in_bi"), F.col("group_code"))
     )
     documents = with_header_usage(w, documents, "purchases_fiscal_usage_invoice", need)
-    joined = join_lines_to_headers(lines, documents, ["doc_entry"])
+    joined = w.lines_of("purchases_invoice_lines", _PURCHASE_LINE, documents, "doc_entry")
+    joined = joined.where(predicates.commercial_purchase(F.col("usage_id")))
     return joined.withColumns(
         {
             "partner_code": F.col("supplier_code"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -64,10 +65,12 @@ def purchase_documents(w: Warehouse, kind: str, need: set[str]) -> DataFrame:
     return docs
 
 
-def purchase_lines(w: Warehouse, kind: str, need: set[str]) -> DataFrame:
+def purchase_lines(
+    w: Warehouse, kind: str, need: set[str], headers: Mapping[str, DataFrame] | None = None
+) -> DataFrame:
     labels = usage_labels(w, "purchases_fiscal_usage_invoice", need) if kind == "invoice" else {}
     labels |= item_labels(w, need, "manufacturer_code")
-    return w.stage_labelled(KINDS[kind].lines, labels).withColumn("document_type", F.lit(kind))
+    return w.stage_labelled(KINDS[kind].lines, labels, headers).withColumn("document_type", F.lit(kind))
 
 
 def _register_kind(kind: str) -> None:
@@ -76,8 +79,8 @@ def _register_kind(kind: str) -> None:
         return purchase_documents(w, kind, need)
 
     @model(f"purchases_{kind}_lines")
-    def lines(w: Warehouse, need: set[str]) -> DataFrame:
-        return purchase_lines(w, kind, need)
+    def lines(w: Warehouse, need: set[str], headers: Mapping[str, DataFrame] | None = None) -> DataFrame:
+        return purchase_lines(w, kind, need, headers)
 
 
 for _kind in KINDS:

@@ -153,8 +153,8 @@ def with_header_usage(w: Warehouse, df: DataFrame, usage: str, need: set[str]) -
     return df
 
 
-def sales_lines(w: Warehouse, kind: str, need: set[str]) -> DataFrame:
-    """Lines with header usage and item hierarchy.
+def sales_lines(w: Warehouse, kind: str, need: set[str], headers: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """Lines with header usage and item hierarchy, and with their headers where such are given.
 
     Prices are parsed on the line itself: the line key is unique, so joining
     the line-price table back would only repeat the same row.
@@ -162,7 +162,7 @@ def sales_lines(w: Warehouse, kind: str, need: set[str]) -> DataFrame:
     spec = KINDS[kind]
     labels = usage_labels(w, f"sales_fiscal_usage_{kind}", need) if spec.usage else {}
     labels |= item_labels(w, need, "manufacturer_code")
-    lines = w.stage_labelled(spec.lines, labels).withColumn("document_type", F.lit(kind))
+    lines = w.stage_labelled(spec.lines, labels, headers).withColumn("document_type", F.lit(kind))
     return lines.withColumns(
         {c: F.lower(c) for c in ("item_description", "cfop") if c in lines.columns}
     )
@@ -174,8 +174,8 @@ def _register_kind(kind: str) -> None:
         return sales_documents(w, kind, need)
 
     @model(f"sales_{kind}_lines")
-    def lines(w: Warehouse, need: set[str]) -> DataFrame:
-        return sales_lines(w, kind, need)
+    def lines(w: Warehouse, need: set[str], headers: Mapping[str, DataFrame] | None = None) -> DataFrame:
+        return sales_lines(w, kind, need, headers)
 
     spec = KINDS[kind]
     if spec.usage:

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
 from ledgerflow.contract import COLUMNS, conform
+from ledgerflow.operators.skew import join_lines_to_headers
 from ledgerflow.sources.staging import STAGING, mapping, project
 
 
@@ -27,8 +28,9 @@ class Params:
     calendar_end: dt.date = dt.date(2035, 12, 31)
 
 
-# a raw table with frames joined to its rows by a raw column each; None where the source has no such way
-Labelled = Callable[[str, Mapping[str, DataFrame]], DataFrame | None]
+# a raw table with frames joined to its rows by a raw column each, labels left, headers inner; None where the source
+# has no such way
+Labelled = Callable[[str, Mapping[str, DataFrame], Mapping[str, tuple[str, DataFrame]]], DataFrame | None]
 Builder = Callable[["Warehouse", set[str]], DataFrame]
 BUILDERS: dict[str, Builder] = {}
 
@@ -67,19 +69,25 @@ class Warehouse:
     def stage(self, name: str) -> DataFrame:
         return self._once(("stage", name), lambda: project(self.raw(STAGING[name][0]), name))
 
-    def stage_labelled(self, name: str, labels: Mapping[str, DataFrame]) -> DataFrame:
+    def stage_labelled(
+        self, name: str, labels: Mapping[str, DataFrame], headers: Mapping[str, DataFrame] | None = None
+    ) -> DataFrame:
         """Staging projection `name`, left-joined to frames that share one of its columns: column -> frame.
 
-        Where the source can join its rows before it shapes them into the raw table, the
-        joins shuffle those.
+        Of `headers`, given the same way, a line has to have one. Where the source can join its
+        rows before it shapes them into the raw table, the joins shuffle those.
         """
+        headers = headers or {}
         source = {staged: column for column, staged, rule in mapping(name) if not rule}
-        if labels and self._labelled and labels.keys() <= source.keys():
+        if (labels or headers) and self._labelled and labels.keys() | headers.keys() <= source.keys():
             renamed = {source[key]: label.withColumnRenamed(key, source[key]) for key, label in labels.items()}
-            rows = self._labelled(STAGING[name][0], renamed)
+            rows = self._labelled(STAGING[name][0], renamed, {source[key]: (key, header) for key, header in headers.items()})
             if rows is not None:
-                return project(rows, name, *(c for key, label in labels.items() for c in label.columns if c != key))
+                joined = (*headers.items(), *labels.items())
+                return project(rows, name, *(c for key, frame in joined for c in frame.columns if c != key))
         staged = self.stage(name)
+        for key, header in headers.items():
+            staged = join_lines_to_headers(staged, header, [key])
         for key, label in labels.items():
             staged = staged.join(label, key, "left")
         return staged
@@ -94,6 +102,13 @@ class Warehouse:
 
         return self._once(("model", name, tuple(wanted)), make)
 
+    def lines_of(self, name: str, columns: Sequence[str], headers: DataFrame, key: str) -> DataFrame:
+        """Columns of a model of lines, inner-joined to their headers on `key`."""
+        if ("given", name) in self._cache:
+            return join_lines_to_headers(self.model(name, *columns), headers, [key])
+        rows = BUILDERS[name](self, set(columns), {key: headers})
+        return conform(rows, name, [*columns], [c for c in headers.columns if c != key])
+
     def use(self, name: str, table: DataFrame) -> None:
         """Let later models read `name` from a stored table instead of rebuilding it."""
         self._cache[("given", name)] = table

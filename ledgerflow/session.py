@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -38,6 +40,24 @@ def shuffle_partitions(input_bytes: int, cores: int, target_bytes: int = 256 <<
     return max(3 * cores, -(-input_bytes // target_bytes))
 
 
+# whether a query's shuffle files go with its end, or wait until the driver's JVM has collected the query
+FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """The shuffles of a query that is made and run within this block give their disk back when it ends."""
+    before = spark.conf.get(FREED, None)
+    spark.conf.set(FREED, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(FREED)
+        else:
+            spark.conf.set(FREED, before)
+
+
 def shared_folder(spark: SparkSession, default: str | None = None) -> str:
     """The cluster's shared folder (spark.checkpoint.dir).
 

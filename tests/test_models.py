@@ -172,6 +172,35 @@ def test_labels_on_the_drivers_lines_equal_labels_on_the_raw_table(spark, sf_dir
     assert rows(labelled.select("doc_entry", "line_number")) == rows(plain.select("doc_entry", "line_number"))
 
 
+@pytest.mark.parametrize("name", ["fact_sales", "fact_purchases"])
+def test_headers_join_the_drivers_lines(spark, sf_dir, name, tmp_path):
+    """Lines are shaped behind the header join, with the rows of a join of raw tables; one bit of a hash joins, not 64."""
+    driver = DriverTables(spark, sf_dir)
+    for table in ("region", "nation", "customer", "supplier", "events", "part", "orders", "lineitem"):
+        kept = driver.table(table).where({"lineitem": "l_orderkey <= 600", "orders": "o_orderkey <= 500"}.get(table, "true"))
+        if table == "lineitem":  # lines without a document, without an item, and twice
+            no_item = kept.where("l_orderkey = 4").withColumn("l_partkey", F.lit(None).cast("bigint"))
+            kept = kept.unionByName(kept.where("l_orderkey = 1").withColumn("l_orderkey", F.lit(None).cast("bigint")))
+            kept = kept.unionByName(no_item).unionByName(kept.where("l_orderkey = 12"))
+        kept.write.parquet(str(tmp_path / f"{table}.parquet"))
+    odd = DriverTables(spark, str(tmp_path))
+    plain, narrow = Warehouse(odd.raw, DRIVER_PARAMS).model(name), Warehouse(odd.raw, DRIVER_PARAMS, odd.labelled).model(name)
+    assert plain.dtypes == narrow.dtypes
+    expected = rows(plain)
+    assert len(expected) > 20 and rows(narrow) == expected
+    given = Warehouse(odd.raw, DRIVER_PARAMS, odd.labelled)
+    for lines in ("sales_invoice_lines", "sales_return_lines", "purchases_invoice_lines"):
+        given.use(lines, given.model(lines))
+    assert rows(given.model(name)) == expected
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(warehouse(spark, sf_dir).model(name))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "l_extendedprice#" in plan.split("Exchange hashpartitioning(", 1)[0]
+    assert "& 1) AS _split" in plan
+
+
 def test_daily_rows_shuffle_no_derived_quantity(w):
     """The quantity after the last movement follows from its price and value, behind the last shuffle."""
     plan = plan_of(w.model("fact_daily_inventory_movement"))

@@ -298,6 +298,70 @@ def test_declared_tests_carry_no_column_per_test(spark, sf_dir):
     ], key=repr)
 
 
+def test_rows_that_lie_by_their_key_are_counted_in_place(spark, sf_dir):
+    """The same results, and no key that is sound goes on to the grouping of entries."""
+    from ledgerflow.entries.base import TEST_PARAMS, warehouse
+    from ledgerflow.plans import catalogue
+    from ledgerflow.plans.catalogue import CATALOGUE, Declared, catalogue_results, compiled
+
+    df = spark.createDataFrame(
+        [("a", 1, 5), ("a", 1, None), ("a", None, None), ("a", None, 0), ("b", None, 9), (None, 2, None), ("", 2, 1), ("c", 7, 2)], "k string, n int, v int"
+    )
+    masters = {"m": spark.createDataFrame([("a",), ("a",), (None,)], "code string")}
+    tests = {"required": ["n", "v", "k"], "at_least": {"v": 1}, "one_of": {"n": (1, 2)}}
+    for found in ({}, {"found_in": {"k": ("m", "code")}}, {"found_in": {"k": ("m", "code")}, "blank_passes": ["k"]}):
+        for key in (["k", "n"], ["k"]):
+            by_row, by_key = (Declared(key=key, **tests, **found, by_key=b) for b in (False, True))
+            assert rows(compiled("t", df, by_key, masters)) == rows(compiled("t", df, by_row, masters))
+            assert rows(compiled("t", df.where("false"), by_key, masters)) == rows(compiled("t", df.where("false"), by_row, masters))
+    with pytest.raises(ValueError, match="codes of the key"):
+        compiled("t", df, Declared(key=["n"], found_in={"k": ("m", "code")}, by_key=True), masters)
+    name = "fact_daily_inventory_movement"
+    w, declared = warehouse(spark, sf_dir, TEST_PARAMS), CATALOGUE[name]
+    days = w.model(name, *declared.columns())
+    entries = catalogue._entries_by_key(days, declared, {}, [F.col("item_code"), F.col("warehouse_code")])
+    assert entries.count() == 2 * days.count() and entries.where("no <= 0").count() == 0
+    assert plan_of(catalogue_results(w, [name])).count("Exchange hashpartitioning(movement_date") == 1
+    assert "Exchange hashpartitioning(date" not in plan_of(catalogue_results(w, [name]))
+
+
+def test_models_are_tested_in_turn(spark, sf_dir, monkeypatch):
+    """A model's shuffle files are gone before the next one is read; the session's setting is as it was."""
+    from ledgerflow.entries.registry import QUERIES
+    from ledgerflow.entries.base import warehouse
+    from ledgerflow.plans import catalogue
+    from ledgerflow.session import FREED
+
+    def files() -> set[str]:
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(",")
+        return {f.rpartition("/")[2] for f in found.split(",") if "/shuffle_" in f}
+
+    lazily, left, asked = catalogue.catalogue_results, [], []
+
+    def watched(w, models):
+        left.append(len(files() - before))
+        asked.extend(models)
+        return lazily(w, models)
+
+    small = {m: catalogue.CATALOGUE[m] for m in ("fact_purchases", "fact_goals", "dim_item")}
+    w = warehouse(spark, sf_dir)
+    expected = lazily(w, list(small))
+    held = rows(expected)
+    monkeypatch.setattr(catalogue, "CATALOGUE", small)
+    monkeypatch.setattr(catalogue, "catalogue_results", watched)
+    for had in (None, "false"):
+        if had:
+            spark.conf.set(FREED, had)
+        before = files()
+        assert before
+        got = QUERIES["dq_catalogue"](spark, sf_dir)
+        left.append(len(files() - before))
+        assert spark.conf.get(FREED, None) == had and got.columns == expected.columns
+        assert rows(catalogue.tested_in_turn(w)) == held and got.count() == len(held)
+    spark.conf.unset(FREED)
+    assert asked == 4 * list(small) and not any(left)
+
+
 def test_catalogue_holds_the_contract_columns():
     from ledgerflow.contract import COLUMNS
     from ledgerflow.plans.catalogue import CATALOGUE
